@@ -17,7 +17,7 @@ def keyword_category(
         text = F.concat_ws(" ", text, F.nullif(F.lower(transaction_type), F.lit("")))
     category = F.when(description.isNull(), F.lit(C.OTHER_CATEGORY))
     for name, phrases in rules:
-        category = category.when(text.rlike(C.phrase_pattern(phrases)), F.lit(name))
+        category = category.when(text.rlike(C.grouped_pattern(phrases)), F.lit(name))
     return category.otherwise(F.lit(C.OTHER_CATEGORY))
 
 

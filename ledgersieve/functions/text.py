@@ -2,45 +2,47 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, functions as F
 
 from ledgersieve import config as C
 from ledgersieve.schema import MONEY
 
+WHITE_SPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
+
 
 def strip(text: Column) -> Column:
     """Remove white space of any kind at both ends (``trim`` only removes spaces)."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def collapse_spaces(text: Column) -> Column:
-    return F.regexp_replace(text, r"\s+", " ")
+    """Every run of white space becomes one space; single spaces are left alone."""
+    return F.regexp_replace(text, r"\s{2,}|[^\S ]", " ")
 
 
-def _without(text: Column, patterns) -> Column:
-    return reduce(lambda c, p: F.regexp_replace(c, p, ""), patterns, text)
+def prefixes_in_order(patterns) -> str:
+    """One expression that removes each anchored prefix at most once, in the given order."""
+    return "(?i)^" + "".join(f"(?:{p.removeprefix('^')})?" for p in patterns)
 
 
 def clean_description(text: Column) -> Column:
-    """Drop payment-rail prefixes and a trailing reference; keep the text if nothing is left."""
-    original = strip(text)
-    patterns = ["(?i)" + p for p in (*C.DESCRIPTION_PREFIXES, C.DESCRIPTION_REFERENCE)]
-    cleaned = strip(collapse_spaces(_without(original, patterns)))
-    return F.when(original == "", text).otherwise(
-        F.coalesce(F.nullif(cleaned, F.lit("")), original)
-    )
+    """Drop payment-rail prefixes and a trailing reference; blank text stays as it is.
+
+    A prefix ends with white space and a reference starts with it, so something
+    is always left of a text that is not blank.
+    """
+    without = F.regexp_replace(strip(text), prefixes_in_order(C.DESCRIPTION_PREFIXES), "")
+    without = F.regexp_replace(without, "(?i)" + C.DESCRIPTION_REFERENCE, "")
+    return F.when(strip(text) == "", text).otherwise(strip(collapse_spaces(without)))
 
 
 def normalize_vendor(text: Column) -> Column:
     """Upper-case vendor key without rails, references, company forms and punctuation."""
-    original = strip(text)
-    patterns = (
-        *C.VENDOR_PREFIXES, C.VENDOR_REFERENCE, C.VENDOR_COMPANY_WORDS, C.VENDOR_PUNCTUATION,
-    )
-    vendor = strip(collapse_spaces(_without(F.upper(original), patterns)))
-    return F.when(original == "", text).otherwise(vendor)
+    vendor = F.regexp_replace(F.upper(strip(text)), prefixes_in_order(C.VENDOR_PREFIXES), "")
+    vendor = F.regexp_replace(vendor, C.VENDOR_REFERENCE, "")
+    vendor = F.regexp_replace(vendor, C.VENDOR_COMPANY_WORDS, "")
+    vendor = F.translate(vendor, C.VENDOR_PUNCTUATION, "")
+    return F.when(strip(text) == "", text).otherwise(strip(collapse_spaces(vendor)))
 
 
 def _or_unknown(*candidates: Column) -> Column:

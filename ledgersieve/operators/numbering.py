@@ -23,29 +23,28 @@ def group_offsets(
 ) -> DataFrame:
     """Number of rows ahead of each finest group, from one row with count ``n`` per group.
 
-    The coarsest level is summed up first, so its running total is over as many
-    rows as that level has values (days, prefixes), not over all groups.  The
-    other levels run in parallel, one window partition per parent group.
+    Every level is summed up on its own before its running total, so a window
+    partition only holds the distinct values of one level inside one parent group:
+    the days of the table, the files of a day, the blocks of a file.
     """
-    within = list(within)
-    top = [*within, *levels[0]]
-    before = Window.partitionBy(*within).orderBy(*levels[0]).rowsBetween(Window.unboundedPreceding, -1)
-    ahead = (
-        counts.groupBy(*top).agg(F.sum(n).alias("_n0"))
-        .select(*top, F.coalesce(F.sum("_n0").over(before), F.lit(0)).alias("_ahead"))
-    )
-    parent, inner = top, F.lit(0)
-    for level in levels[1:]:
-        own = [*parent, *level]
-        upto = Window.partitionBy(*parent).orderBy(*level).rangeBetween(
-            Window.unboundedPreceding, Window.currentRow)
-        inner = inner + F.sum(n).over(upto) - F.sum(n).over(Window.partitionBy(*own))
-        parent = own
-    return (
-        counts.withColumn("_inner", inner)
-        .join(ahead, top)
-        .select(*parent, (F.col("_ahead") + F.col("_inner")).cast("bigint").alias("_offset"))
-    )
+    parent = list(within)
+    keys = [*parent, *[c for level in levels for c in level]]
+    offsets, ahead = counts, F.lit(0)
+    for depth, level in enumerate(levels):
+        before = (
+            Window.partitionBy(*parent).orderBy(*level)
+            .rowsBetween(Window.unboundedPreceding, -1)
+        )
+        parent = [*parent, *level]
+        name = f"_ahead{depth}"
+        if depth == len(levels) - 1:
+            offsets = offsets.withColumn(name, F.sum(n).over(before))
+        else:
+            totals = counts.groupBy(*parent).agg(F.sum(n).alias("_n"))
+            offsets = offsets.join(
+                totals.select(*parent, F.sum("_n").over(before).alias(name)), parent)
+        ahead = ahead + F.coalesce(F.col(name), F.lit(0))
+    return offsets.select(*keys, ahead.cast("bigint").alias("_offset"))
 
 
 def dense_sequence(
