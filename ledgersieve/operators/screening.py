@@ -302,8 +302,16 @@ def run_statistics(transactions: DataFrame, rule: C.WeekendRule = C.DEFAULT.week
         F.greatest(floor, p95).alias("weekend_threshold"), floor.alias("weekend_threshold_floor"))
 
 
-def weekend_hits(transactions: DataFrame, rule: C.WeekendRule = C.DEFAULT.weekend) -> DataFrame:
-    threshold = run_statistics(transactions, rule).select("weekend_threshold").scalar()
+def _threshold(transactions: DataFrame, rule: C.WeekendRule, stats: DataFrame | None) -> Column:
+    """The threshold as a scalar subquery; ``stats`` is a written ``run_statistics`` row."""
+    row = run_statistics(transactions, rule) if stats is None else stats
+    return row.select("weekend_threshold").scalar()
+
+
+def weekend_hits(
+    transactions: DataFrame, rule: C.WeekendRule = C.DEFAULT.weekend, stats: DataFrame | None = None
+) -> DataFrame:
+    threshold = _threshold(transactions, rule, stats)
     return (
         debits(transactions)
         .filter((F.weekday("date") >= 5) & (F.col("debit") > F.lit(rule.floor).cast("decimal(18,2)")))
@@ -315,9 +323,11 @@ def _day_name() -> Column:
     return F.when(F.weekday("date") == 5, F.lit("Sat")).otherwise(F.lit("Sun"))
 
 
-def weekend_single(transactions: DataFrame, rule: C.WeekendRule = C.DEFAULT.weekend) -> DataFrame:
+def weekend_single(
+    transactions: DataFrame, rule: C.WeekendRule = C.DEFAULT.weekend, stats: DataFrame | None = None
+) -> DataFrame:
     """One alert per hit, if there are only a few."""
-    hits = weekend_hits(transactions, rule)
+    hits = weekend_hits(transactions, rule, stats)
     few = hits.agg(F.count(F.lit(1)).alias("n")).scalar() <= rule.collapse_above
     ids = F.array("txn_id")
     return _draft(
@@ -335,9 +345,11 @@ def weekend_single(transactions: DataFrame, rule: C.WeekendRule = C.DEFAULT.week
     )
 
 
-def weekend_collapsed(transactions: DataFrame, rule: C.WeekendRule = C.DEFAULT.weekend) -> DataFrame:
+def weekend_collapsed(
+    transactions: DataFrame, rule: C.WeekendRule = C.DEFAULT.weekend, stats: DataFrame | None = None
+) -> DataFrame:
     """One summary alert for more than a few hits."""
-    hits = weekend_hits(transactions, rule)
+    hits = weekend_hits(transactions, rule, stats)
     summary = hits.agg(
         F.count(F.lit(1)).alias("n"), F.sum("debit").alias("total"),
         F.min("date").alias("first"), F.max("date").alias("last"),
@@ -355,7 +367,7 @@ def weekend_collapsed(transactions: DataFrame, rule: C.WeekendRule = C.DEFAULT.w
         .orderBy("minus", "txn_seq").limit(rule.listed_top)
         .agg(F.sort_array(F.collect_list(F.struct("minus", "txn_seq", "label"))).alias("items")).scalar()
     )
-    threshold = run_statistics(transactions, rule).select("weekend_threshold").scalar()
+    threshold = _threshold(transactions, rule, stats)
     full = summary.select("*", first_ids.alias("ids"), top.alias("top"), threshold.alias("threshold"))
     count, ids = F.col("n").cast("string"), _field(F.col("ids"), "txn_id")
     return _draft(
@@ -486,14 +498,17 @@ def number_alerts(drafts: DataFrame) -> DataFrame:
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in FINDINGS])
 
 
-def draft_alerts(transactions: DataFrame, config: C.ScreeningConfig = C.DEFAULT) -> DataFrame:
+def draft_alerts(
+    transactions: DataFrame, config: C.ScreeningConfig = C.DEFAULT, stats: DataFrame | None = None
+) -> DataFrame:
+    """All rules; ``stats`` is a written ``run_statistics`` row, computed here if absent."""
     drafts = [
         duplicate_payments(transactions, config.duplicate),
         new_counterparties(transactions, config.counterparty),
         round_amounts(transactions, config.round_amount),
         split_payments(transactions, config.split),
-        weekend_single(transactions, config.weekend),
-        weekend_collapsed(transactions, config.weekend),
+        weekend_single(transactions, config.weekend, stats),
+        weekend_collapsed(transactions, config.weekend, stats),
         high_velocity(transactions, config.velocity),
         vendor_growth(transactions, config.growth),
     ]
