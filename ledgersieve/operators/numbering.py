@@ -60,7 +60,9 @@ def dense_sequence(
     recomputed task gives the same numbers.
     """
     keys = [*within, *[c for level in levels for c in level]]
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    # The null filter is the one the joins imply; stated here, every use of the
+    # counts has the same plan and Spark computes it once.
+    counts = rows.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     offsets = group_offsets(counts, levels, within)
     position = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return (

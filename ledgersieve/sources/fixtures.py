@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ledgersieve.functions.classify import classify
 from ledgersieve.functions.text import clean_description, normalize_vendor, signed_amount
 from ledgersieve.operators.numbering import dense_sequence, transaction_ids
-from ledgersieve.schema import MONEY
+from ledgersieve.schema import MONEY, TRANSACTIONS
 from ledgersieve.sources.staging import stage
 
 PURPOSES = (
@@ -98,20 +98,26 @@ def statement_rows(spark: SparkSession, sf_dir: str, calendar: str = "actual") -
     )
 
 
-def canonical(rows: DataFrame) -> DataFrame:
-    """Statement rows to the canonical transactions table."""
+def enrich(rows: DataFrame) -> DataFrame:
+    """Add cleaned text, vendor, category, direction and signed amount."""
     described = rows.withColumn("description_clean", clean_description(F.col("description")))
-    enriched = classify(described).withColumn(
+    return classify(described).withColumn(
         "vendor_normalized", normalize_vendor(F.col("description_clean"))
     ).withColumn("amount_signed", signed_amount(F.col("debit"), F.col("credit")))
-    return transaction_ids(enriched).select(
-        "txn_id", "txn_seq", "date", "description", "description_clean", "vendor_normalized",
-        "debit", "credit", "amount_signed", "operation_type", "direction", "bank",
-        "source_file", "source_sheet", "source_row",
-    )
+
+
+def with_ids(enriched: DataFrame) -> DataFrame:
+    """Number enriched rows and bring the columns into their published order."""
+    return transaction_ids(enriched).select(*TRANSACTIONS.fieldNames())
 
 
 def transactions(spark: SparkSession, sf_dir: str, calendar: str = "actual") -> DataFrame:
-    """The canonical transactions of one scale, written once per application."""
-    name = f"transactions-{calendar}-" + sf_dir.strip("/").replace("/", "-")
-    return stage(spark, name, lambda: canonical(statement_rows(spark, sf_dir, calendar)))
+    """The canonical transactions of one scale, written once per application.
+
+    The enriched rows are written before numbering, which reads four narrow columns
+    of them to count and the whole rows once.
+    """
+    name = f"{calendar}-" + sf_dir.strip("/").replace("/", "-")
+    enriched = lambda: enrich(statement_rows(spark, sf_dir, calendar))
+    return stage(
+        spark, f"transactions-{name}", lambda: with_ids(stage(spark, f"enriched-{name}", enriched)))
