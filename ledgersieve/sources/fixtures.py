@@ -9,10 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgersieve.functions.classify import classify
-from ledgersieve.functions.text import clean_description, normalize_vendor, signed_amount
 from ledgersieve.operators.numbering import dense_sequence, transaction_ids
 from ledgersieve.schema import MONEY, TRANSACTIONS
+from ledgersieve.sources.intake import enriched
 from ledgersieve.sources.staging import stage
 
 PURPOSES = (
@@ -98,17 +97,9 @@ def statement_rows(spark: SparkSession, sf_dir: str, calendar: str = "actual") -
     )
 
 
-def enrich(rows: DataFrame) -> DataFrame:
-    """Add cleaned text, vendor, category, direction and signed amount."""
-    described = rows.withColumn("description_clean", clean_description(F.col("description")))
-    return classify(described).withColumn(
-        "vendor_normalized", normalize_vendor(F.col("description_clean"))
-    ).withColumn("amount_signed", signed_amount(F.col("debit"), F.col("credit")))
-
-
-def with_ids(enriched: DataFrame) -> DataFrame:
+def with_ids(rows: DataFrame) -> DataFrame:
     """Number enriched rows and bring the columns into their published order."""
-    return transaction_ids(enriched).select(*TRANSACTIONS.fieldNames())
+    return transaction_ids(rows).select(*TRANSACTIONS.fieldNames())
 
 
 def transactions(spark: SparkSession, sf_dir: str, calendar: str = "actual") -> DataFrame:
@@ -118,6 +109,79 @@ def transactions(spark: SparkSession, sf_dir: str, calendar: str = "actual") ->
     of them to count and the whole rows once.
     """
     name = f"{calendar}-" + sf_dir.strip("/").replace("/", "-")
-    enriched = lambda: enrich(statement_rows(spark, sf_dir, calendar))
+    rows = lambda: enriched(statement_rows(spark, sf_dir, calendar))
     return stage(
-        spark, f"transactions-{name}", lambda: with_ids(stage(spark, f"enriched-{name}", enriched)))
+        spark, f"transactions-{name}", lambda: with_ids(stage(spark, f"enriched-{name}", rows)))
+
+
+# --- statement grids ----------------------------------------------------------
+
+SHEET = "Sheet1"
+DATA_START = {"ALPHA": 8, "BETA": 4, "GAMMA": 3}
+OPENING = {"ALPHA": "$10,000.00", "BETA": "(1,500.25)"}
+
+
+def statement_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The statement rows as cell grids of three layouts, plus one file without a header.
+
+    ALPHA has debit and credit columns below a preamble with both balances, BETA
+    one signed amount, GAMMA money in and out with a type and a blank header cell.
+    Each file ends with lines that are not transactions.
+    """
+    name = "statement-rows-" + sf_dir.strip("/").replace("/", "-")
+    rows = stage(spark, name, lambda: statement_rows(spark, sf_dir))
+    money = lambda c: F.format_number(c, 2)
+    plain = lambda c: F.col(c).cast("string")
+    body_cells = (
+        F.when(F.col("bank") == "ALPHA", F.array(
+            F.date_format("date", "yyyy-MM-dd"), "description",
+            F.coalesce(money("debit"), F.lit("0")), money("credit")))
+        .when(F.col("bank") == "BETA", F.array(
+            F.date_format("date", "MM/dd/yyyy"), "description",
+            F.coalesce(F.concat(F.lit("-"), plain("debit")), plain("credit"))))
+        .otherwise(F.array(
+            F.date_format("date", "d MMM yyyy"), F.lit("TRF"), F.lit(None).cast("string"), "description",
+            money("debit"), money("credit")))
+    )
+    start = F.when(F.col("bank") == "ALPHA", DATA_START["ALPHA"]).when(
+        F.col("bank") == "BETA", DATA_START["BETA"]).otherwise(DATA_START["GAMMA"])
+    body = rows.select(
+        "source_file", "source_sheet", (F.col("source_row") - 2 + start).cast("bigint").alias("row_no"),
+        body_cells.alias("cells"))
+
+    totals = rows.groupBy("bank").agg(
+        F.count(F.lit(1)).alias("n"), F.max("date").alias("last"),
+        (F.coalesce(F.sum("credit"), F.lit(0)) - F.coalesce(F.sum("debit"), F.lit(0))).alias("net"))
+    last_row = F.col("n") + start - 1
+    of = lambda bank, row_no, *cells: F.when(F.col("bank") == bank, F.struct(
+        row_no.cast("bigint").alias("row_no"),
+        F.array(*[c if isinstance(c, Column) else F.lit(c).cast("string") for c in cells]).alias("cells")))
+    at = lambda i: F.lit(i)
+    after = lambda i: last_row + i
+    day = F.date_format("last", "MM/dd/yyyy")
+    closing = F.format_number((F.lit(10000).cast(MONEY) + F.col("net")), 2)
+    around = [
+        of("ALPHA", at(1), "ALPHA BANK", "statement of account"),
+        of("ALPHA", at(2), "Opening balance", None, OPENING["ALPHA"]),
+        of("ALPHA", at(3), "Closing balance", F.concat(F.lit("$ "), closing)),
+        of("ALPHA", at(4), None),
+        of("ALPHA", at(7), "Date", "Description", "Debit", "Credit", "Balance"),
+        of("ALPHA", after(1), None, "Total", "5.00"),
+        of("ALPHA", after(2), "n/a", "not a dated line", "7.00"),
+        of("BETA", at(1), "Beginning balance", OPENING["BETA"]),
+        of("BETA", at(3), "Posting Date", "Narrative", "Amount"),
+        of("BETA", after(1), day, "Closing balance", "5 000.00"),
+        of("BETA", after(2), day, "   ", "9.00"),
+        of("GAMMA", at(2), "Value Date", "Type", None, "Details", "Money Out", "Money In"),
+        of("GAMMA", after(1), "1 Jan 2002", "TRF", None, "adjustment with no amount", "0", "n/a"),
+        of("GAMMA", after(2), "2 Jan 2002", "TRF", None, "adjustment on both sides", "1.00", "2.00"),
+    ]
+    lines = totals.select(
+        F.concat("bank", F.lit("_statement.csv")).alias("source_file"), F.lit(SHEET).alias("source_sheet"),
+        F.explode(F.filter(F.array(*around), lambda x: x.isNotNull())).alias("x"),
+    ).select("source_file", "source_sheet", "x.row_no", "x.cells")
+    notes = spark.read.parquet(f"{sf_dir}/region.parquet").select(
+        F.lit("NOTES_regions.csv").alias("source_file"), F.lit(SHEET).alias("source_sheet"),
+        (F.col("r_regionkey") + 1).cast("bigint").alias("row_no"),
+        F.array("r_name").alias("cells"))
+    return body.unionByName(lines).unionByName(notes)
