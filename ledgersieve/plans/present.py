@@ -25,3 +25,10 @@ def plain_alerts(alerts: DataFrame) -> DataFrame:
     links = F.array_join(F.transform("txns", lambda t: F.concat(t["grp"], F.lit(":"), t["txn_id"])), ", ")
     keys = [c for c in alerts.columns if c.startswith("k_") or c == "rule_no"]
     return plain(alerts.withColumn("links", links).drop("txns", *keys))
+
+
+def rounded(df: DataFrame, digits: int) -> DataFrame:
+    """Ratios (DOUBLE columns) rounded, so that the last bits of a division do not matter."""
+    return df.select(*[
+        F.round(f.name, digits).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+        for f in df.schema.fields])

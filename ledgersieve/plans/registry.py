@@ -2,56 +2,278 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgersieve.operators import screening as R
-from ledgersieve.plans.present import plain, plain_alerts
-from ledgersieve.sources.fixtures import transactions
-from ledgersieve.sources.staging import stage
+from ledgersieve import config as C
+from ledgersieve.functions import classify as K, text as X
+from ledgersieve.operators import analytics as A, findings as R, quality as Q, screening as S, tables as T
+from ledgersieve.operators.numbering import ensure_transaction_ids
+from ledgersieve.plans.consolidate import Consolidated, consolidate, screened
+from ledgersieve.plans.present import plain, plain_alerts, rounded
+from ledgersieve.sources import fixtures as V, intake as I
+from ledgersieve.sources.grid import read_grid
+from ledgersieve.sources.sinks import write_transactions
+from ledgersieve.sources.staging import stage, table_path
 
 
 def _slug(sf_dir: str) -> str:
     return sf_dir.strip("/").replace("/", "-")
 
 
+def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return V.transactions(spark, sf_dir)
+
+
+def folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return V.transactions(spark, sf_dir, "folded")
+
+
+def intake(spark: SparkSession, sf_dir: str) -> Consolidated:
+    """The statement grids of one scale, consolidated."""
+    name = f"intake-{_slug(sf_dir)}"
+    grid = stage(spark, f"{name}-grid", lambda: V.statement_grid(spark, sf_dir))
+    return consolidate(spark, grid, name)
+
+
 def statistics(spark: SparkSession, sf_dir: str, calendar: str = "actual") -> DataFrame:
     """The one-row run statistics, written once so that every reader has the number at hand."""
-    return stage(spark, f"run-statistics-{calendar}-{_slug(sf_dir)}",
-                 lambda: R.run_statistics(transactions(spark, sf_dir, calendar)))
+    name = f"{calendar}-{_slug(sf_dir)}-statistics"
+    return stage(spark, name, lambda: S.run_statistics(V.transactions(spark, sf_dir, calendar)))
 
 
 def findings(spark: SparkSession, sf_dir: str, calendar: str = "actual") -> DataFrame:
-    """Numbered findings, written once: drafts first, then the numbered table."""
-    name = f"{calendar}-{_slug(sf_dir)}"
+    found, _ = screened(spark, V.transactions(spark, sf_dir, calendar), f"{calendar}-{_slug(sf_dir)}")
+    return found
+
+
+# --- queries that take a few lines of their own ---------------------------------------
+
+def cleaned_text(spark, sf_dir):
+    rows = transactions(spark, sf_dir).select("txn_id", "description")
+    cleaned = rows.withColumn("description_clean", X.clean_description(F.col("description")))
+    return cleaned.withColumn("vendor_normalized", X.normalize_vendor(F.col("description_clean")))
+
+
+def vendor_keys(spark, sf_dir):
+    rows = transactions(spark, sf_dir)
+    return rows.groupBy(X.screening_vendor(rows.columns).alias("vendor_key")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("debit").alias("debit"), F.sum("credit").alias("credit"))
+
+
+def concentration_keys(spark, sf_dir):
+    """Vendor keys where payroll rows have a blank vendor, so that the fallback is used."""
+    blank = F.when(F.col("operation_type") == "Payroll & Benefits", F.lit(" ")).otherwise(F.col("vendor_normalized"))
+    rows = transactions(spark, sf_dir).withColumn("vendor_normalized", blank)
+    return rows.groupBy(X.concentration_vendor(rows.columns).alias("vendor_key")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def source_pointers(spark, sf_dir):
+    return transactions(spark, sf_dir).select(
+        "txn_id", X.source_pointer(F.col("source_file"), F.col("source_sheet"), F.col("source_row")).alias("source"))
+
+
+def keyword_categories(spark, sf_dir):
+    return transactions(spark, sf_dir).select(
+        "txn_id", K.keyword_category(F.col("description")).alias("category"))
+
+
+def categories_with_type(spark, sf_dir):
+    """Receipts classified by description and the customer's segment as transaction type."""
+    read = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
+    rows = read("orders").join(read("customer"), F.col("o_custkey") == F.col("c_custkey")).select(
+        F.concat(F.lit("Order of "), "c_name").alias("description"), F.col("c_mktsegment").alias("type"),
+        F.col("o_totalprice").cast("decimal(18,2)").alias("credit"))
+    category = K.keyword_category(F.col("description"), F.col("type"))
+    return rows.groupBy(category.alias("category")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("credit").alias("credit"))
+
+
+def category_corrections(spark, sf_dir):
+    rows = transactions(spark, sf_dir).withColumn("category", K.keyword_category(F.col("description")))
+    return rows.groupBy("category", "operation_type", "direction").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("amount_signed").alias("amount"))
+
+
+def fallback_ids(spark, sf_dir):
+    rows = transactions(spark, sf_dir).drop("txn_id", "txn_seq")
+    return ensure_transaction_ids(rows).select("source_file", "source_sheet", "source_row", "txn_id")
+
+
+def merged_layouts(spark, sf_dir):
+    """Payments without a credit column and receipts without a debit column, by name."""
+    rows = transactions(spark, sf_dir)
+    merged = I.merge_layouts([
+        rows.filter(F.col("direction") == "Outflow").select("source_file", "date", "description", "debit"),
+        rows.filter(F.col("direction") == "Inflow").select("description", "date", "credit", "source_file")])
+    return merged.groupBy("source_file").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("debit").alias("debit"), F.sum("credit").alias("credit"),
+        F.count_if(F.col("credit").isNull()).alias("without_credit"))
 
-    def drafts() -> DataFrame:
-        return R.draft_alerts(transactions(spark, sf_dir, calendar), stats=statistics(spark, sf_dir, calendar))
 
-    def numbered() -> DataFrame:
-        return R.number_alerts(stage(spark, f"drafts-{name}", drafts))
+def text_grid(spark, sf_dir):
+    """Statement lines written as text files, read back as a grid with row numbers."""
+    name = f"text-{_slug(sf_dir)}"
 
-    return stage(spark, f"findings-{name}", numbered)
+    def checked() -> DataFrame:
+        path = table_path(spark, f"{name}-lines")
+        quoted = lambda c: F.concat(F.lit('"'), F.col(c).cast("string"), F.lit('"'))
+        transactions(spark, sf_dir).select(F.concat_ws(
+            ",", quoted("date"), quoted("description"), F.coalesce(F.col("debit").cast("string"), F.lit("")),
+            F.coalesce(F.col("credit").cast("string"), F.lit(""))).alias("value")
+        ).write.mode("overwrite").text(path)
+        return read_grid(spark, path, width=6)
+
+    grid = stage(spark, f"{name}-grid", checked)
+    files = grid.groupBy("source_file").agg(
+        F.count(F.lit(1)).alias("n"), F.min("row_no").alias("low"), F.max("row_no").alias("high"),
+        F.countDistinct("row_no").alias("places"),
+        F.count(X.parse_date(F.get("cells", F.lit(0)))).alias("dates"),
+        F.sum(X.parse_amount(F.get("cells", F.lit(2)))).alias("debit"),
+        F.sum(X.parse_amount(F.get("cells", F.lit(3)))).alias("credit"))
+    dense = (F.col("low") == 1) & (F.col("high") == F.col("n")) & (F.col("places") == F.col("n"))
+    return files.agg(
+        F.sum("n").alias("lines"), F.sum("dates").alias("dates"), F.sum("debit").alias("debit"),
+        F.sum("credit").alias("credit"), F.count_if(~dense).alias("files_with_gaps"))
+
+
+def written_months(spark, sf_dir):
+    """The transactions written by month and read back."""
+    name = f"sink-{_slug(sf_dir)}"
+    path = table_path(spark, name)
+    write_transactions(transactions(spark, sf_dir), path)
+    return spark.read.parquet(path).groupBy(F.col("month").cast("string").alias("month")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("amount_signed").alias("amount"))
+
+
+def total_check(rows: DataFrame) -> DataFrame:
+    return A.totals_agree(rows, A.cash_flow(rows).select("total_inflow", "total_outflow"))
+
+
+def file_columns(spark, sf_dir):
+    """Detected formats with one column per role."""
+    roles = ("date", "description", "balance", "debit", "credit", "amount", "type")
+    formats = intake(spark, sf_dir).formats
+    return formats.select(
+        "source_file", "source_sheet", "bank", "header_row", "format_type",
+        *[F.col("columns")[r].alias(f"{r}_column") for r in roles])
+
+
+def metric_comparison(spark, sf_dir):
+    """The dashboard of the statement view against the consolidated grids, which hold a few more rows."""
+    run = intake(spark, sf_dir)
+    published = stage(spark, f"dashboard-{_slug(sf_dir)}", lambda: Q.dashboard_metrics(
+        transactions(spark, sf_dir), run.opening))
+    return rounded(Q.compare_metrics(published, Q.dashboard_metrics(run.transactions, run.opening)), 4)
 
 
 def queries() -> dict:
     out = {}
 
+    def add(name, run):
+        out[name] = lambda spark, sf_dir: plain(run(spark, sf_dir))
+
     def rule(name, function, calendar="actual", stats=False):
         def run(spark, sf_dir):
             extra = {"stats": statistics(spark, sf_dir, calendar)} if stats else {}
-            return plain_alerts(function(transactions(spark, sf_dir, calendar), **extra))
+            return plain_alerts(function(V.transactions(spark, sf_dir, calendar), **extra))
         out[name] = run
 
-    rule("duplicate_payments", R.duplicate_payments)
-    rule("new_counterparties", R.new_counterparties)
-    rule("round_amounts", R.round_amounts)
-    rule("split_payments", R.split_payments)
-    rule("weekend_single", R.weekend_single, stats=True)
-    rule("weekend_collapsed", R.weekend_collapsed, stats=True)
-    rule("high_velocity", R.high_velocity)
-    rule("vendor_growth", R.vendor_growth, "folded")
-    out["run_statistics"] = lambda s, d: plain(statistics(s, d))
+    # text, vendor keys and classification
+    add("transactions", transactions)
+    add("cleaned_text", cleaned_text)
+    add("vendor_keys", vendor_keys)
+    add("concentration_keys", concentration_keys)
+    add("source_pointers", source_pointers)
+    add("keyword_categories", keyword_categories)
+    add("categories_with_type", categories_with_type)
+    add("category_corrections", category_corrections)
+    add("fallback_ids", fallback_ids)
+
+    # screening
+    rule("duplicate_payments", S.duplicate_payments)
+    rule("new_counterparties", S.new_counterparties)
+    rule("round_amounts", S.round_amounts)
+    rule("split_payments", S.split_payments)
+    rule("weekend_single", S.weekend_single, stats=True)
+    rule("weekend_collapsed", S.weekend_collapsed, stats=True)
+    out["weekend_few"] = lambda s, d: plain_alerts(weekend_few(s, d))
+    rule("high_velocity", S.high_velocity)
+    rule("vendor_growth", S.vendor_growth, "folded")
+    add("run_statistics", statistics)
     out["findings"] = lambda s, d: plain_alerts(findings(s, d))
     out["findings_folded"] = lambda s, d: plain_alerts(findings(s, d, "folded"))
-    out["transactions"] = lambda s, d: plain(transactions(s, d))
+
+    # analytics
+    def analytic(name, function, digits=None):
+        def run(spark, sf_dir):
+            result = function(transactions(spark, sf_dir))
+            return result if digits is None else rounded(result, digits)
+        add(name, run)
+
+    analytic("benford", A.benford, 6)
+    analytic("benford_test", A.benford_test, 6)
+    analytic("cash_flow", A.cash_flow, 6)
+    add("cash_position", lambda s, d: rounded(A.cash_position(transactions(s, d), intake(s, d).opening), 6))
+    analytic("monthly_trend", A.monthly_trend)
+    analytic("monthly_totals", A.monthly_totals)
+    analytic("vendor_concentration", A.vendor_concentration, 6)
+    analytic("category_outflows", A.category_outflows, 6)
+    analytic("category_inflows", A.category_inflows, 6)
+    analytic("category_summary", A.category_summary)
+    analytic("business_profile", A.business_profile, 6)
+    analytic("transactions_per_file", A.transactions_per_file)
+    analytic("total_check", total_check)
+
+    # findings reports
+    add("priority_counts", lambda s, d: R.priority_counts(findings(s, d)))
+    add("flagged_amounts", lambda s, d: rounded(R.flagged_amounts(
+        findings(s, d, "folded"), folded(s, d)), 6))
+    add("top_categories", lambda s, d: R.top_categories(findings(s, d)))
+    add("rule_coverage", lambda s, d: R.rule_coverage(findings(s, d)))
+    add("alerts_table", lambda s, d: R.alerts_table(findings(s, d, "folded")))
+    add("evidence_index", lambda s, d: R.evidence_index(findings(s, d), transactions(s, d)))
+    add("evidence_index_folded", lambda s, d: R.evidence_index(findings(s, d, "folded"), folded(s, d)))
+
+    # integrity
+    add("transaction_issues", lambda s, d: Q.transaction_issues(V.damaged_transactions(transactions(s, d))))
+    add("unknown_references", lambda s, d: Q.unknown_references(
+        folded(s, d), V.damaged_findings(findings(s, d, "folded"))))
+    add("growth_issues", lambda s, d: Q.growth_issues(
+        folded(s, d), V.damaged_findings(findings(s, d, "folded"))))
+    add("duplicate_issues", lambda s, d: Q.duplicate_issues(
+        transactions(s, d), V.damaged_findings(findings(s, d))))
+    add("metric_comparison", metric_comparison)
+
+    # intake
+    add("text_grid", text_grid)
+    add("file_columns", file_columns)
+    add("rejected_files", lambda s, d: intake(s, d).rejected)
+    add("intake_summary", lambda s, d: I.intake_summary(intake(s, d).parsed))
+    add("intake_transactions", lambda s, d: intake(s, d).transactions)
+    add("merged_layouts", merged_layouts)
+    add("opening_balances", lambda s, d: intake(s, d).opening)
+    add("closing_balances", lambda s, d: intake(s, d).closing)
+    add("first_rows", lambda s, d: I.first_rows(transactions(s, d)))
+    add("reconciliation", lambda s, d: reconciled(s, d))
+    add("reconciliation_rows", lambda s, d: Q.reconciliation_rows(reconciled(s, d)))
+
+    # configuration tables and sinks
+    add("threshold_table", lambda s, d: T.threshold_table(statistics(s, d)))
+    add("run_calculations", lambda s, d: T.run_calculations(statistics(s, d)))
+    add("written_months", written_months)
     return out
+
+
+# A floor near the largest payments, so that few hits remain and are reported one by one.
+WEEKEND_FEW = C.WeekendRule(floor="104970")
+
+
+def weekend_few(spark, sf_dir) -> DataFrame:
+    rows = transactions(spark, sf_dir)
+    stats = stage(spark, f"few-{_slug(sf_dir)}-statistics", lambda: S.run_statistics(rows, WEEKEND_FEW))
+    return S.weekend_single(rows, WEEKEND_FEW, stats)
+
+
+def reconciled(spark, sf_dir) -> DataFrame:
+    run = intake(spark, sf_dir)
+    return Q.reconciliation(run.transactions, run.opening, run.closing)

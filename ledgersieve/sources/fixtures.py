@@ -185,3 +185,39 @@ def statement_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("r_regionkey") + 1).cast("bigint").alias("row_no"),
         F.array("r_name").alias("cells"))
     return body.unionByName(lines).unionByName(notes)
+
+
+# --- damaged tables for the integrity checks ------------------------------------
+
+def damaged_transactions(transactions: DataFrame) -> DataFrame:
+    """The whole table with one kind of damage per category."""
+    has = lambda name: F.col("operation_type") == name
+    return transactions.withColumns({
+        "txn_id": F.when(has("Software & IT"), F.lit(None))
+        .when(has("Insurance & Security"), F.lit("TXN_00001")).otherwise(F.col("txn_id")),
+        "debit": F.when(has("Rent & Facilities"), -F.col("debit")).otherwise(F.col("debit")).cast(MONEY),
+        "credit": F.when(has("Payroll & Benefits"), F.col("debit")).otherwise(F.col("credit")).cast(MONEY),
+        "direction": F.when(has("Taxes & Government"), F.lit("Inflow"))
+        .when(has("Card Settlement (Income)"), F.lit("Outflow")).otherwise(F.col("direction")),
+        "date": F.when(has("Shipping & Logistics"), F.lit(None)).otherwise(F.col("date")).cast("date"),
+    })
+
+
+def damaged_findings(findings: DataFrame) -> DataFrame:
+    """All findings with one kind of damage per vendor purpose."""
+    by = lambda word: F.col("vendor").startswith(word)
+    duplicate = F.col("category") == "Duplicate Payment"
+    growth = F.col("category") == "Vendor Concentration Growth"
+    renamed = F.transform("txns", lambda t: F.struct(
+        t["grp"].alias("grp"), F.replace(t["txn_id"], F.lit("TXN_"), F.lit("TXN_X")).alias("txn_id")))
+    return findings.withColumns({
+        "evidence": F.when(duplicate & by("CONSULTING"), F.replace("evidence", F.lit("tolerance"), F.lit("range")))
+        .when(duplicate & by("RETAIL"), F.replace("evidence", F.lit("$"), F.lit("EUR ")))
+        .otherwise(F.col("evidence")),
+        "date_2": F.when(duplicate & by("MISC"), F.date_add("date_1", 9)).otherwise(F.col("date_2")),
+        "date_1": F.when(growth & by("WHOLESALE"), F.add_months("date_1", -1))
+        .when(growth & by("RETAIL"), F.lit(None)).otherwise(F.col("date_1")).cast("date"),
+        "txns": F.when(duplicate & by("WHOLESALE"), F.slice("txns", 1, 1))
+        .when(growth & by("CONSULTING"), F.filter("txns", lambda t: t["grp"] == "Latest"))
+        .when(by("HOSTING"), renamed).otherwise(F.col("txns")),
+    })

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle import rules as Q
+from oracle import reports, rules as Q
 from oracle.base import text, with_txn
 
 
@@ -29,4 +29,4 @@ def oracle_sql() -> dict[str, str]:
     cols, _ = Q.shown("fnd")
     for name, calendar in (("findings", "actual"), ("findings_folded", "folded")):
         out[name] = Q.findings_query(f"SELECT alert_seq, alert_id, {cols} FROM fnd", calendar)
-    return out
+    return {**out, **reports.queries()}
