@@ -3,11 +3,21 @@
 from __future__ import annotations
 
 import datetime as dt
+import itertools
 from decimal import Decimal
 
 from ledgersieve.operators.numbering import transaction_ids
 from ledgersieve.schema import TRANSACTIONS
+from ledgersieve.operators.screening import draft_alerts, number_alerts
 from ledgersieve.sources.intake import enriched
+from ledgersieve.sources.staging import stage
+
+_number = itertools.count()
+
+
+def written(spark, build):
+    """Write a table and read it back, as the plans do between their steps."""
+    return stage(spark, f"test-{next(_number)}", build)
 
 SOURCE = ("date date, description string, debit decimal(18,2), credit decimal(18,2), bank string, "
           "source_file string, source_sheet string, source_row bigint")
@@ -41,9 +51,15 @@ def transactions(spark, rows, partitions=None):
         named = (named.join(over, ["source_file", "source_row"], "left")
                  .selectExpr("*", "coalesce(forced, operation_type) AS op")
                  .drop("forced", "operation_type").withColumnRenamed("op", "operation_type"))
-    return transaction_ids(named).select(*TRANSACTIONS.fieldNames())
+    rows_table = written(spark, lambda: named)
+    return written(spark, lambda: transaction_ids(rows_table).select(*TRANSACTIONS.fieldNames()))
+
+
+def findings(spark, table):
+    drafts = written(spark, lambda: draft_alerts(table))
+    return written(spark, lambda: number_alerts(drafts))
 
 
-def frame(spark, rows):
-    """Transactions as a parsed list of dicts in id order, for brute-force checks."""
-    return [r.asDict() for r in transactions(spark, rows).orderBy("txn_seq").collect()]
+def frame(table):
+    """A transactions table as a list of dicts in id order, for brute-force checks."""
+    return [r.asDict() for r in table.orderBy("txn_seq").collect()]
