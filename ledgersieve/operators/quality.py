@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ledgersieve import config as C
 from ledgersieve.functions.text import money_text, month_text
 from ledgersieve.operators import analytics as A
+from ledgersieve.operators.findings import listed_links, named_only
 from ledgersieve.schema import TOTAL
 
 ISSUE_COLUMNS = ("check", "severity", "alert_id", "detail", "n")
@@ -130,8 +131,8 @@ def _issues(rows: DataFrame, severity: str, checks: dict[str, tuple[Column, Colu
 
 def unknown_references(transactions: DataFrame, findings: DataFrame) -> DataFrame:
     """Ids named by a finding that no transaction has."""
-    named = findings.select("alert_id", F.explode("txns").alias("t")).select("alert_id", "t.txn_id")
-    missing = named.join(transactions.select("txn_id"), "txn_id", "left_anti")
+    named = listed_links(findings)
+    missing = named.join(named_only(transactions.select("txn_id"), named), "txn_id", "left_anti")
     return _issue(missing, "unknown txn id", "error", F.col("txn_id"))
 
 
@@ -152,7 +153,8 @@ def growth_issues(transactions: DataFrame, findings: DataFrame) -> DataFrame:
         "growth baseline ids missing": (F.size(ids("Baseline")) == 0, F.lit(None)),
         "growth latest ids missing": (F.size(ids("Latest")) == 0, F.lit(None)),
     })
-    months = transactions.select("txn_id", month_text(F.col("date")).alias("month"))
+    known = named_only(transactions.select("txn_id", "date"), listed_links(target))
+    months = known.select("txn_id", month_text(F.col("date")).alias("month"))
     single = (
         target.filter(~no_dates)
         .select("alert_id", base.alias("base"), late.alias("late"), F.explode("txns").alias("t"))
@@ -172,7 +174,8 @@ def duplicate_issues(
 ) -> DataFrame:
     """Duplicate alerts: two known ids, both amounts and the tolerance named, days right."""
     target = findings.filter(F.col("category") == C.RULE_NAMES[0])
-    amounts = transactions.select("txn_id", "debit", F.lit(True).alias("known"))
+    known = named_only(transactions.select("txn_id", "debit"), listed_links(target))
+    amounts = known.withColumn("known", F.lit(True))
     found = (
         target.select("alert_id", "evidence", "date_1", "date_2", F.size("txns").alias("ids"),
                       F.explode_outer("txns").alias("t"))

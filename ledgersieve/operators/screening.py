@@ -9,6 +9,7 @@ whole, whatever one vendor, day or amount holds.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -135,8 +136,15 @@ def duplicate_pairs(transactions: DataFrame, rule: C.DuplicateRule = C.DEFAULT.d
     )
 
 
-def duplicate_payments(transactions: DataFrame, rule: C.DuplicateRule = C.DEFAULT.duplicate) -> DataFrame:
-    pairs = duplicate_pairs(transactions, rule)
+def duplicate_payments(
+    transactions: DataFrame, rule: C.DuplicateRule = C.DEFAULT.duplicate, pairs: DataFrame | None = None
+) -> DataFrame:
+    """Alerts for ``duplicate_pairs``.
+
+    Given as a written table, the pairs have a known size: while they are small they
+    are sent to the transactions, which then stay where they are.
+    """
+    pairs = duplicate_pairs(transactions, rule) if pairs is None else pairs
     # One join for both sides of a pair: the pair is listed twice and folded again.
     sides = pairs.select(
         "*", F.posexplode(F.array("seq_1", "seq_2")).alias("side", "txn_seq"))
@@ -168,16 +176,21 @@ def duplicate_payments(transactions: DataFrame, rule: C.DuplicateRule = C.DEFAUL
 
 # --- new counterparties --------------------------------------------------------
 
-def new_counterparties(transactions: DataFrame, rule: C.CounterpartyRule = C.DEFAULT.counterparty) -> DataFrame:
-    """A large payment on the first day a vendor is paid.
+def _large(rule: C.CounterpartyRule) -> Column:
+    return F.col("debit") > F.lit(rule.min_amount).cast("decimal(18,2)")
+
+
+def first_large_payments(
+    transactions: DataFrame, rule: C.CounterpartyRule = C.DEFAULT.counterparty
+) -> DataFrame:
+    """``txn_seq`` of the first large payment on the first day a vendor is paid.
 
     Ids follow the date, so the smallest id among a vendor's large payments lies on
     the first day with one; a single aggregation finds it.
     """
-    paid = debits(transactions)
-    large = F.col("debit") > F.lit(rule.min_amount).cast("decimal(18,2)")
-    firsts = (
-        paid.groupBy("vendor_key")
+    large = _large(rule)
+    return (
+        debits(transactions).groupBy("vendor_key")
         .agg(F.min("date").alias("first_date"),
              F.min(F.when(large, F.col("date"))).alias("large_date"),
              F.min(F.when(large, F.col("txn_seq"))).alias("txn_seq"))
@@ -185,9 +198,16 @@ def new_counterparties(transactions: DataFrame, rule: C.CounterpartyRule = C.DEF
         .filter(~contains_any(F.col("vendor_key"), rule.excluded_words))
         .select("txn_seq")
     )
+
+
+def new_counterparties(
+    transactions: DataFrame, rule: C.CounterpartyRule = C.DEFAULT.counterparty, firsts: DataFrame | None = None
+) -> DataFrame:
+    """Alerts for ``first_large_payments``, which may be given as a written table."""
+    firsts = first_large_payments(transactions, rule) if firsts is None else firsts
     ids = F.array("txn_id")
     return _draft(
-        paid.filter(large).join(firsts, "txn_seq", "left_semi"), 2, "P1", "HIGH",
+        debits(transactions).filter(_large(rule)).join(firsts, "txn_seq", "left_semi"), 2, "P1", "HIGH",
         k_vendor=F.col("vendor_key"), k_seq=F.col("txn_seq"),
         vendor=F.col("vendor_key"), amount=F.col("debit"), amount_type="Transaction Amount",
         date_1=F.col("date"), bank=F.col("bank"), operation_type=F.col("operation_type"),
@@ -498,13 +518,23 @@ def number_alerts(drafts: DataFrame) -> DataFrame:
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in FINDINGS])
 
 
+@dataclass(frozen=True)
+class Prepared:
+    """Small results the rules build on; written tables, so that their size is known."""
+
+    stats: DataFrame
+    pairs: DataFrame
+    firsts: DataFrame
+
+
 def draft_alerts(
-    transactions: DataFrame, config: C.ScreeningConfig = C.DEFAULT, stats: DataFrame | None = None
+    transactions: DataFrame, config: C.ScreeningConfig = C.DEFAULT, prepared: Prepared | None = None
 ) -> DataFrame:
-    """All rules; ``stats`` is a written ``run_statistics`` row, computed here if absent."""
+    """All rules; what ``prepared`` holds is computed inside the query if it is absent."""
+    stats, pairs, firsts = (prepared.stats, prepared.pairs, prepared.firsts) if prepared else (None, None, None)
     drafts = [
-        duplicate_payments(transactions, config.duplicate),
-        new_counterparties(transactions, config.counterparty),
+        duplicate_payments(transactions, config.duplicate, pairs),
+        new_counterparties(transactions, config.counterparty, firsts),
         round_amounts(transactions, config.round_amount),
         split_payments(transactions, config.split),
         weekend_single(transactions, config.weekend, stats),

@@ -49,13 +49,24 @@ def consolidate(spark: SparkSession, grid: DataFrame, name: str) -> Consolidated
     )
 
 
+def prepared(
+    spark: SparkSession, transactions: DataFrame, name: str, config: C.ScreeningConfig = C.DEFAULT
+) -> S.Prepared:
+    """Run statistics, duplicate pairs and first large payments, each written once."""
+    put = lambda part, build: stage(spark, f"{name}-{part}", build)
+    return S.Prepared(
+        stats=put("statistics", lambda: S.run_statistics(transactions, config.weekend)),
+        pairs=put("pairs", lambda: S.duplicate_pairs(transactions, config.duplicate)),
+        firsts=put("firsts", lambda: S.first_large_payments(transactions, config.counterparty)))
+
+
 def screened(
     spark: SparkSession, transactions: DataFrame, name: str, config: C.ScreeningConfig = C.DEFAULT
 ) -> tuple[DataFrame, DataFrame]:
-    """``(findings, run statistics)``: statistics, drafts and numbered findings, each written once."""
-    stats = stage(spark, f"{name}-statistics", lambda: S.run_statistics(transactions, config.weekend))
-    drafts = stage(spark, f"{name}-drafts", lambda: S.draft_alerts(transactions, config, stats))
-    return stage(spark, f"{name}-findings", lambda: S.number_alerts(drafts)), stats
+    """``(findings, run statistics)``; the drafts are written before they are numbered."""
+    ready = prepared(spark, transactions, name, config)
+    drafts = stage(spark, f"{name}-drafts", lambda: S.draft_alerts(transactions, config, ready))
+    return stage(spark, f"{name}-findings", lambda: S.number_alerts(drafts)), ready.stats
 
 
 def publish(

@@ -8,7 +8,7 @@ from ledgersieve import config as C
 from ledgersieve.functions import classify as K, text as X
 from ledgersieve.operators import analytics as A, findings as R, quality as Q, screening as S, tables as T
 from ledgersieve.operators.numbering import ensure_transaction_ids
-from ledgersieve.plans.consolidate import Consolidated, consolidate, screened
+from ledgersieve.plans.consolidate import Consolidated, consolidate, prepared, screened
 from ledgersieve.plans.present import plain, plain_alerts, rounded
 from ledgersieve.sources import fixtures as V, intake as I
 from ledgersieve.sources.grid import read_grid
@@ -35,10 +35,12 @@ def intake(spark: SparkSession, sf_dir: str) -> Consolidated:
     return consolidate(spark, grid, name)
 
 
-def statistics(spark: SparkSession, sf_dir: str, calendar: str = "actual") -> DataFrame:
-    """The one-row run statistics, written once so that every reader has the number at hand."""
-    name = f"{calendar}-{_slug(sf_dir)}-statistics"
-    return stage(spark, name, lambda: S.run_statistics(V.transactions(spark, sf_dir, calendar)))
+def ready(spark: SparkSession, sf_dir: str, calendar: str = "actual") -> S.Prepared:
+    return prepared(spark, V.transactions(spark, sf_dir, calendar), f"{calendar}-{_slug(sf_dir)}")
+
+
+def statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ready(spark, sf_dir).stats
 
 
 def findings(spark: SparkSession, sf_dir: str, calendar: str = "actual") -> DataFrame:
@@ -172,9 +174,9 @@ def queries() -> dict:
     def add(name, run):
         out[name] = lambda spark, sf_dir: plain(run(spark, sf_dir))
 
-    def rule(name, function, calendar="actual", stats=False):
+    def rule(name, function, calendar="actual", needs=None):
         def run(spark, sf_dir):
-            extra = {"stats": statistics(spark, sf_dir, calendar)} if stats else {}
+            extra = {needs: getattr(ready(spark, sf_dir, calendar), needs)} if needs else {}
             return plain_alerts(function(V.transactions(spark, sf_dir, calendar), **extra))
         out[name] = run
 
@@ -190,12 +192,12 @@ def queries() -> dict:
     add("fallback_ids", fallback_ids)
 
     # screening
-    rule("duplicate_payments", S.duplicate_payments)
-    rule("new_counterparties", S.new_counterparties)
+    rule("duplicate_payments", S.duplicate_payments, needs="pairs")
+    rule("new_counterparties", S.new_counterparties, needs="firsts")
     rule("round_amounts", S.round_amounts)
     rule("split_payments", S.split_payments)
-    rule("weekend_single", S.weekend_single, stats=True)
-    rule("weekend_collapsed", S.weekend_collapsed, stats=True)
+    rule("weekend_single", S.weekend_single, needs="stats")
+    rule("weekend_collapsed", S.weekend_collapsed, needs="stats")
     out["weekend_few"] = lambda s, d: plain_alerts(weekend_few(s, d))
     rule("high_velocity", S.high_velocity)
     rule("vendor_growth", S.vendor_growth, "folded")

@@ -15,10 +15,12 @@ def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
     session = (
-        SparkSession.builder.master("local[8]").appName("tests")
+        SparkSession.builder.master("local[4]").appName("tests")
         .config("spark.sql.shuffle.partitions", "2").config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "6g")
         .config("spark.sql.session.timeZone", "UTC")
+        # Tables of a few rows: compiling a plan would cost far more than running it.
+        .config("spark.sql.codegen.wholeStage", "false").config("spark.sql.codegen.factoryMode", "NO_CODEGEN")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared"))).getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     yield session
