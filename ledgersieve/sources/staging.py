@@ -8,6 +8,7 @@ pruning and filter push-down, and gives the planner exact sizes.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,3 +43,10 @@ def stage(spark: SparkSession, name: str, build) -> DataFrame:
         build().write.mode("overwrite").parquet(path)
         _staged[key] = path
     return spark.read.parquet(_staged[key])
+
+
+def settled(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+    """Write a result under a name of its own and read it back; nothing is remembered."""
+    path = table_path(spark, f"{label}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
