@@ -1,6 +1,6 @@
 """Reconciliation, integrity checks and published-versus-recomputed comparison.
 
-Checks return issues ``(check, severity, alert_id, detail, n)``; an empty result
+Checks return issues ``(check_name, severity, alert_id, detail, n)``; an empty result
 means nothing was found.
 """
 
@@ -16,7 +16,7 @@ from ledgersieve.operators import analytics as A
 from ledgersieve.operators.findings import listed_links, named_only
 from ledgersieve.schema import TOTAL
 
-ISSUE_COLUMNS = ("check", "severity", "alert_id", "detail", "n")
+ISSUE_COLUMNS = ("check_name", "severity", "alert_id", "detail", "n")
 
 
 class ValidationError(Exception):
@@ -99,7 +99,7 @@ def transaction_issues(transactions: DataFrame) -> DataFrame:
         ("date missing", "warning", F.col("no_date")),
     ]
     items = F.array(*[
-        F.struct(F.lit(c).alias("check"), F.lit(s).alias("severity"), F.lit(None).cast("string").alias("alert_id"),
+        F.struct(F.lit(c).alias("check_name"), F.lit(s).alias("severity"), F.lit(None).cast("string").alias("alert_id"),
                  F.lit(None).cast("string").alias("detail"), n.cast("bigint").alias("n"))
         for c, s, n in checks])
     return (
@@ -113,18 +113,18 @@ def transaction_issues(transactions: DataFrame) -> DataFrame:
 def _issue(rows: DataFrame, check: str, severity: str, detail: Column, bad: Column | None = None) -> DataFrame:
     kept = rows if bad is None else rows.filter(bad)
     return kept.select(
-        F.lit(check).alias("check"), F.lit(severity).alias("severity"), "alert_id",
+        F.lit(check).alias("check_name"), F.lit(severity).alias("severity"), "alert_id",
         detail.cast("string").alias("detail"), F.lit(1).cast("bigint").alias("n"))
 
 
 def _issues(rows: DataFrame, severity: str, checks: dict[str, tuple[Column, Column]]) -> DataFrame:
     """Several predicates over the same rows in one pass: ``{check: (is bad, detail)}``."""
     items = F.array(*[
-        F.when(bad, F.struct(F.lit(check).alias("check"), detail.cast("string").alias("detail")))
+        F.when(bad, F.struct(F.lit(check).alias("check_name"), detail.cast("string").alias("detail")))
         for check, (bad, detail) in checks.items()])
     return (
         rows.select("alert_id", F.explode(F.filter(items, lambda i: i.isNotNull())).alias("i"))
-        .select("i.check", F.lit(severity).alias("severity"), "alert_id", "i.detail",
+        .select("i.check_name", F.lit(severity).alias("severity"), "alert_id", "i.detail",
                 F.lit(1).cast("bigint").alias("n"))
     )
 
@@ -216,7 +216,7 @@ def enforce(issues: DataFrame, strict: bool = False) -> int:
     tolerated = ("direction of a debit", "direction of a credit", "date missing")
     counted = issues.agg(
         F.coalesce(F.sum(F.when(F.col("severity") == "error", F.col("n"))), F.lit(0)).alias("errors"),
-        F.count_if(~F.col("check").isin(*tolerated)).alias("failing")).first()
+        F.count_if(~F.col("check_name").isin(*tolerated)).alias("failing")).first()
     if strict and counted["failing"] > 0:
         raise ValidationError(f"{counted['failing']} integrity checks failed")
     return counted["errors"]

@@ -27,7 +27,7 @@ class Consolidated:
     grid: DataFrame
     formats: DataFrame
     rejected: DataFrame
-    parsed: DataFrame
+    lines: DataFrame
     transactions: DataFrame
     opening: DataFrame
     closing: DataFrame
@@ -37,12 +37,14 @@ def consolidate(spark: SparkSession, grid: DataFrame, name: str) -> Consolidated
     """Detect layouts, project, normalise, enrich and number the rows of a grid."""
     put = lambda part, build: stage(spark, f"{name}-{part}", build)
     formats = put("formats", lambda: I.file_formats(grid))
-    parsed = put("parsed", lambda: I.parsed_lines(I.projected_lines(grid, formats)))
-    rows = put("rows", lambda: I.enriched(I.statement_rows(parsed)))
+    # One pass over the grid: every line below a header, parsed and enriched.  The
+    # transactions and the counts of kept and removed lines both read this table.
+    lines = put("lines", lambda: I.enriched(I.parsed_lines(I.projected_lines(grid, formats))))
+    rows = I.statement_rows(lines)
     transactions = put(
         "transactions", lambda: transaction_ids(rows).select(*TRANSACTIONS.fieldNames()))
     return Consolidated(
-        grid=grid, formats=formats, parsed=parsed, transactions=transactions,
+        grid=grid, formats=formats, lines=lines, transactions=transactions,
         rejected=put("rejected", lambda: I.rejected_files(grid, formats)),
         opening=put("opening", lambda: B.opening_balances(grid, rows)),
         closing=put("closing", lambda: B.closing_balances(grid, rows)),
@@ -97,6 +99,9 @@ def publish(
         "exclusions": K.exclusion_table(spark),
         "run_calculations": K.run_calculations(stats),
         "rejected_files": run.rejected,
+        "intake_summary": I.intake_summary(run.lines),
+        "cash_position": A.cash_position(txns, run.opening),
+        "business_profile": A.business_profile(txns),
     }
     for table, frame in tables.items():
         paths[table] = f"{out}/{table}"

@@ -250,7 +250,7 @@ def queries() -> dict:
     add("text_grid", text_grid)
     add("file_columns", file_columns)
     add("rejected_files", lambda s, d: intake(s, d).rejected)
-    add("intake_summary", lambda s, d: I.intake_summary(intake(s, d).parsed))
+    add("intake_summary", lambda s, d: I.intake_summary(intake(s, d).lines))
     add("intake_transactions", lambda s, d: intake(s, d).transactions)
     add("merged_layouts", merged_layouts)
     add("opening_balances", lambda s, d: intake(s, d).opening)

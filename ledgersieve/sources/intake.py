@@ -118,15 +118,14 @@ def parsed_lines(lines: DataFrame) -> DataFrame:
         .withColumn("credit", zero_to_null(
             F.when(by_sign, inflow_part(F.col("signed"))).otherwise(parse_amount(F.col("credit_text")))))
         .withColumn("is_transaction", F.col("date").isNotNull() & ~blank)
-        .drop("signed")
+        .withColumnsRenamed({"description_text": "description", "type_text": "type_original"})
+        .drop("signed", "date_text", "debit_text", "credit_text", "amount_text")
     )
 
 
 def statement_rows(parsed: DataFrame) -> DataFrame:
     """Only transactions: a readable date and a description."""
-    return parsed.filter("is_transaction").select(
-        "date", F.col("description_text").alias("description"), "debit", "credit", "bank",
-        *FILE_KEYS, "source_row", F.col("type_text").alias("type_original"))
+    return parsed.filter("is_transaction").drop("is_transaction", "format_type")
 
 
 def enriched(rows: DataFrame) -> DataFrame:

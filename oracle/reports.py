@@ -230,7 +230,7 @@ bad AS (
   FROM txn
 ),
 chk AS (
-  SELECT 'missing txn id' AS "check", 'error' AS severity, count(*) FILTER (id IS NULL) AS n FROM bad
+  SELECT 'missing txn id' AS check_name, 'error' AS severity, count(*) FILTER (id IS NULL) AS n FROM bad
   UNION ALL SELECT 'txn id not unique', 'error', count(*) - count(DISTINCT COALESCE(id, '')) FROM bad
   UNION ALL SELECT 'negative debit or credit', 'error', count(*) FILTER (debit < 0 OR credit < 0) FROM bad
   UNION ALL SELECT 'debit and credit both filled', 'error', count(*) FILTER (debit > 0 AND credit > 0) FROM bad
@@ -272,7 +272,7 @@ g AS (SELECT *, strftime(date_1, '%Y-%m') AS base, strftime(date_2, '%Y-%m') AS
 gx AS (SELECT k.*, g.base, g.late, strftime(t.d, '%Y-%m') AS m FROM dlk k JOIN g USING (alert_id) LEFT JOIN txn t USING (txn_id)
        WHERE g.date_1 IS NOT NULL AND g.date_2 IS NOT NULL),
 iss AS (
-  SELECT 'growth dates missing' AS "check", alert_id, NULL AS detail FROM g WHERE date_1 IS NULL OR date_2 IS NULL
+  SELECT 'growth dates missing' AS check_name, alert_id, NULL AS detail FROM g WHERE date_1 IS NULL OR date_2 IS NULL
   UNION ALL SELECT 'growth evidence months', alert_id, base || ' & ' || late FROM g
     WHERE NOT (contains(evidence, base) AND contains(evidence, late))
   UNION ALL SELECT 'growth baseline segment month', alert_id, sb FROM g WHERE sb <> '' AND sb <> base
@@ -294,14 +294,14 @@ p AS (SELECT f.alert_id, f.evidence, abs(date_diff('day', f.date_1, f.date_2)) A
 ok AS (SELECT *, CAST(regexp_extract(evidence, '(\\d+)\\s*day\\(s\\)\\s*apart', 1) AS INTEGER) AS said
        FROM p WHERE ids = 2 AND unknown = 0),
 iss AS (
-  SELECT 'duplicate not two ids' AS "check", alert_id, CAST(ids AS VARCHAR) AS detail FROM p WHERE ids <> 2
+  SELECT 'duplicate not two ids' AS check_name, alert_id, CAST(ids AS VARCHAR) AS detail FROM p WHERE ids <> 2
   UNION ALL SELECT 'duplicate id unknown', alert_id, CAST(unknown AS VARCHAR) FROM p WHERE ids = 2 AND unknown > 0
   UNION ALL SELECT 'duplicate amounts not named', alert_id, evidence FROM ok WHERE unnamed > 0
   UNION ALL SELECT 'duplicate tolerance not named', alert_id, evidence FROM ok WHERE NOT contains(lower(evidence), 'tolerance')
   UNION ALL SELECT 'duplicate days differ', alert_id, CAST(said AS VARCHAR) || ' ' || CAST(days AS VARCHAR) FROM ok WHERE said <> days
   UNION ALL SELECT 'duplicate days too far', alert_id, CAST(days AS VARCHAR) FROM ok WHERE days > 3
 )"""
-ISSUE_SELECT = "SELECT \"check\", 'warning' AS severity, alert_id, detail, CAST(1 AS BIGINT) AS n FROM iss"
+ISSUE_SELECT = "SELECT check_name, 'warning' AS severity, alert_id, detail, CAST(1 AS BIGINT) AS n FROM iss"
 
 
 def evidence(calendar: str) -> str:
@@ -435,10 +435,10 @@ def queries() -> dict[str, str]:
         "evidence_index_folded": evidence("folded"),
         # integrity
         "transaction_issues": with_txn(
-            "SELECT \"check\", severity, CAST(NULL AS VARCHAR) AS alert_id, CAST(NULL AS VARCHAR) AS detail, n "
+            "SELECT check_name, severity, CAST(NULL AS VARCHAR) AS alert_id, CAST(NULL AS VARCHAR) AS detail, n "
             "FROM chk WHERE n > 0", extra=DAMAGED_TXN),
         "unknown_references": Q.findings_query(
-            "SELECT 'unknown txn id' AS \"check\", 'error' AS severity, alert_id, txn_id AS detail, CAST(1 AS BIGINT) AS n "
+            "SELECT 'unknown txn id' AS check_name, 'error' AS severity, alert_id, txn_id AS detail, CAST(1 AS BIGINT) AS n "
             "FROM dlk WHERE txn_id NOT IN (SELECT txn_id FROM txn)", "folded", f"{LINKS},{DAMAGED_FND}"),
         "growth_issues": Q.findings_query(ISSUE_SELECT, "folded", f"{LINKS},{DAMAGED_FND},{GROWTH_ISSUES}"),
         "duplicate_issues": Q.findings_query(ISSUE_SELECT, "actual", f"{LINKS},{DAMAGED_FND},{DUPLICATE_ISSUES}"),

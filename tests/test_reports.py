@@ -131,13 +131,13 @@ def test_checks(spark):
     assert Q.enforce(issues) == 1
     with pytest.raises(Q.ValidationError):
         Q.enforce(issues, strict=True)
-    bad = {r.check for r in Q.duplicate_issues(table, V.damaged_findings(found)).collect()}
+    bad = {r.check_name for r in Q.duplicate_issues(table, V.damaged_findings(found)).collect()}
     assert bad == {"duplicate tolerance not named", "duplicate days differ", "duplicate days too far"}
     unknown = found.withColumn("txns", F.expr("transform(txns, t -> named_struct('grp', t.grp, 'txn_id', 'TXN_9'))"))
-    assert {r.check for r in Q.duplicate_issues(table, unknown).collect()} == {"duplicate id unknown"}
+    assert {r.check_name for r in Q.duplicate_issues(table, unknown).collect()} == {"duplicate id unknown"}
     assert Q.unknown_references(table, unknown).count() == 4 + 4
     nothing = Q.transaction_issues(table.limit(0)).collect()
-    assert [r.check for r in nothing] == ["empty transactions"]
+    assert [r.check_name for r in nothing] == ["empty transactions"]
 
 
 def test_metric_comparison(spark):
