@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgersieve.llm import words as W
 from ledgersieve.llm.components import components
-from ledgersieve.llm.store import written
+from ledgersieve.llm.store import text_key, without, written
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: A pair at 0.8 is missed by all bands with probability (1 - 0.8**4)**20 = 3e-5.
@@ -106,7 +106,7 @@ def _bits(ids: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, k: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(doc_id, node, n_shingles, bands): node stands for the shingle set, null without words."""
+    """(doc_id, key, node, n_shingles, bands): node stands for the shingle set, null without words."""
     def run(batches):
         for batch in batches:
             ids = batch.column(0)
@@ -115,11 +115,13 @@ def sketches(docs: DataFrame, k: int = SHINGLE, bands: int = BANDS, rows: int =
                 n = np.diff(np.searchsorted(owner, np.arange(j - i + 1)))
                 sign = signatures(owner, hashes, 1 + np.log(count), j - i, bands * rows)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(i, j - i), _keys_array(_set_key(owner, hashes, j - i), n > 0), pa.array(n),
-                     _lists(_band_keys(sign, bands, rows), bands)], names=["doc_id", "node", "n_shingles", "bands"])
+                    [ids.slice(i, j - i), batch.column(2).slice(i, j - i),
+                     _keys_array(_set_key(owner, hashes, j - i), n > 0), pa.array(n),
+                     _lists(_band_keys(sign, bands, rows), bands)],
+                    names=["doc_id", "key", "node", "n_shingles", "bands"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, node binary, n_shingles long, bands array<long>")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), text_key()).mapInArrow(
+        run, "doc_id long, key long, node binary, n_shingles long, bands array<long>")
 
 
 def _shingles(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
@@ -184,6 +186,15 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, threshold: float = SIMILA
     doc_ids are allowed; rows that repeat are members of one class; other columns are
     left aside.  An empty table gives no rows.
     """
+    return _classes(docs, k, threshold, bands, rows).drop("key")
+
+
+def kept(docs: DataFrame, k: int = SHINGLE, threshold: float = SIMILARITY) -> DataFrame:
+    """Rows of ``docs``, with all their columns, that ``near_duplicates`` keeps."""
+    return without(docs, _classes(docs, k, threshold, BANDS, ROWS).where(~F.col("keep")))
+
+
+def _classes(docs: DataFrame, k: int, threshold: float, bands: int, rows: int) -> DataFrame:
     rows_of = written(sketches(docs, k, bands, rows), "sketches")
     nodes = written(rows_of.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.min_by("bands", F.coalesce("doc_id", F.lit(-1))).alias("bands"),
@@ -238,9 +249,9 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, threshold: float = SIMILA
     placed = (classes.join(named, "root").join(degree, "node", "left")
               .select("node", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).alias("n_links"),
                       (F.col("node") == F.col("first")).alias("leads"), F.col("low")))
-    out = rows_of.select("doc_id", "node").join(placed, "node", "left")
+    out = rows_of.select("doc_id", "key", "node").join(placed, "node", "left")
     return out.select(
-        "doc_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        "doc_id", "key", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("class_size", F.lit(1)).alias("class_size"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
         F.when(F.col("node").isNull(), True).otherwise(
             F.col("leads") & F.col("doc_id").eqNullSafe(F.col("low"))).alias("keep"))

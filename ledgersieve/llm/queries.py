@@ -2,15 +2,26 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgersieve.llm import winnow
+from ledgersieve.llm.bpe import encode_decode
 from ledgersieve.llm.minhash import near_duplicates
 from ledgersieve.llm.store import table
 from ledgersieve.llm.toxicity import toxicity
 
 
+#: Files of public tokenizers, the same on every machine.
+TOKENIZERS = os.environ.get("LEDGERSIEVE_TOKENIZERS", "/opt/tokenizers")
+
+
+def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -19,9 +30,13 @@ def op7_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_distinct_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_decode(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op6_toxicity, op7_prob_minhash)}
+    return {f.__name__: f for f in (op4_winnowing, op6_toxicity, op7_prob_minhash, op8_distinct_word_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_winnowing": winnow.ORACLE_SQL}

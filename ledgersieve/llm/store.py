@@ -71,3 +71,17 @@ def parts(spark: SparkSession) -> int:
 def ascii_lower(column):
     """A-Z to a-z, every other character as it is."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def text_key():
+    """64 bits that tell texts of one doc_id apart."""
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
+def without(docs: DataFrame, flagged: DataFrame) -> DataFrame:
+    """Rows of ``docs``, with all their columns, whose (doc_id, text) is not in ``flagged`` (doc_id, key)."""
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+                       F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"))
+    gone = flagged.select(F.col("doc_id").alias("g_id"), F.col("key").alias("g_key"))
+    return rows.join(gone, rows["doc_id"].eqNullSafe(gone["g_id"]) & (rows["key"] == gone["g_key"]),
+                     "left_anti").select("row.*")
