@@ -7,15 +7,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgersieve.llm import winnow
+from ledgersieve.llm import pii, winnow
 from ledgersieve.llm.bpe import encode_decode
+from ledgersieve.llm.katz import lm_scores
 from ledgersieve.llm.minhash import near_duplicates
 from ledgersieve.llm.store import table
 from ledgersieve.llm.toxicity import toxicity
 
 
-#: Files of public tokenizers, the same on every machine.
-TOKENIZERS = os.environ.get("LEDGERSIEVE_TOKENIZERS", "/opt/tokenizers")
+
+
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """A public tokenizer's file, at the same path on every machine."""
+    folder = os.environ.get("LEDGERSIEVE_TOKENIZERS")
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,11 +40,20 @@ def op7_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_distinct_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode_decode(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
+    return encode_decode(table(spark, sf_dir, "documents"), vocabulary())
+
+
+def op9_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
+def op10_boosted_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_winnowing, op6_toxicity, op7_prob_minhash, op8_distinct_word_bpe)}
+    return {f.__name__: f for f in (op4_winnowing, op6_toxicity, op7_prob_minhash, op8_distinct_word_bpe, op9_katz_backoff,
+                                    op10_boosted_candidates)}
 
 
 def oracle_sql() -> dict[str, str]:
