@@ -7,11 +7,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgersieve.llm import pii, winnow
+from ledgersieve.llm import chat, pii, winnow
+from ledgersieve.llm.ann import nearest
 from ledgersieve.llm.bpe import encode_decode
 from ledgersieve.llm.katz import lm_scores
 from ledgersieve.llm.minhash import near_duplicates
+from ledgersieve.llm.sentences import repeated_sentences
 from ledgersieve.llm.store import table
+from ledgersieve.llm.suffixes import repeated_passages
 from ledgersieve.llm.toxicity import toxicity
 
 
@@ -27,10 +30,27 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_hilbert_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+def op2_sparse_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
+def op3_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_sentences(table(spark, sf_dir, "documents"))
+
+
 def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_digests(chat.with_probe(table(spark, sf_dir, "conversations")))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -52,9 +72,11 @@ def op10_boosted_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_winnowing, op6_toxicity, op7_prob_minhash, op8_distinct_word_bpe, op9_katz_backoff,
-                                    op10_boosted_candidates)}
+    return {f.__name__: f for f in (
+        op1_hilbert_curves, op2_sparse_suffixes, op3_sentence_spans, op4_winnowing, op5_reply_trees, op6_toxicity,
+        op7_prob_minhash, op8_distinct_word_bpe, op9_katz_backoff, op10_boosted_candidates)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_winnowing": winnow.ORACLE_SQL}
+    """SQL for the operators it can express; the others are tested against brute force."""
+    return {"op4_winnowing": winnow.ORACLE_SQL, "op5_reply_trees": chat.ORACLE_SQL}
