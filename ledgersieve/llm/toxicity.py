@@ -77,22 +77,30 @@ def ftrl(rows: list[tuple[np.ndarray, int]], epochs: int = EPOCHS) -> Weights:
     return Weights(kept, weights(z[kept], n[kept]))
 
 
-def train(labelled: DataFrame, max_rows: int = MAX_ROWS, epochs: int = EPOCHS) -> DataFrame:
-    """(place, weight) learnt from ``labelled`` (doc_id, text, label).
+def sample(labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
+    """(doc_id, label, h): about ``max_rows`` labelled documents at most, whose labels may be used.
 
-    Rows without a label are left out.  At most about ``max_rows`` rows are used, chosen
-    by a hash of doc_id and text, so the choice is the same in every run.  Rows of one
-    shard are taken in the order of that hash.  No labelled row gives no weights, and
-    every text then scores one half.
+    They are chosen by a hash of doc_id, so the choice is the same in every run.  Rows
+    without a label or a doc_id are left out; a doc_id with several labels is toxic if
+    one says so.
     """
-    known = labelled.where("label is not null").select(
-        F.col("text").cast("string").alias("text"), F.col("label").cast("int").alias("label"),
-        F.xxhash64(F.col("doc_id"), F.col("text")).alias("h"))
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("label")).where(
+        "label is not null and doc_id is not null").where(fold() != 0)
+    known = known.groupBy("doc_id").agg(F.max("label").alias("label")).withColumn("h", F.xxhash64("doc_id"))
     total = known.count()
     if total > max_rows:
         known = known.where(F.pmod(F.xxhash64("h"), F.lit(1 << 20)) < int(max_rows / total * (1 << 20)))
+    return known
+
 
-    shards = -(-min(max(total, 1), max_rows) // SHARD_ROWS)
+def train(docs: DataFrame, labelled: DataFrame, max_rows: int = MAX_ROWS, epochs: int = EPOCHS) -> DataFrame:
+    """(place, weight) learnt from the texts of ``docs`` that ``labelled`` (doc_id, label, h) names.
+
+    ``labelled`` has at most about ``max_rows`` rows, and is broadcast for that.  Rows of
+    one shard are taken in the order of the hash.  No labelled row gives no weights, and
+    every text then scores one half.
+    """
+    shards = -(-max(labelled.count(), 1) // SHARD_ROWS)
 
     def run(batches):
         rows = []
@@ -105,8 +113,10 @@ def train(labelled: DataFrame, max_rows: int = MAX_ROWS, epochs: int = EPOCHS) -
         yield pa.RecordBatch.from_arrays([pa.array(learnt.place), pa.array(learnt.value.astype(np.float64))],
                                          names=["place", "weight"])
 
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = texts.join(F.broadcast(labelled), "doc_id")
     shard = F.pmod(F.xxhash64("h", F.lit(1)), F.lit(shards)).cast("int")
-    dealt = known.withColumn("shard", shard).repartition(shards, "shard").sortWithinPartitions("shard", "h")
+    dealt = rows.withColumn("shard", shard).repartition(shards, "shard").sortWithinPartitions("shard", "h", "text")
     learnt = dealt.select("text", "label").mapInArrow(run, "place long, weight double")
     mixed = learnt.groupBy("place").agg((F.sum("weight") / shards).alias("weight"))
     return mixed.orderBy(F.abs("weight").desc(), "place").limit(MAX_WEIGHTS)
@@ -118,28 +128,49 @@ def collected(weights: DataFrame) -> Weights:
     return Weights(table["place"].to_numpy().astype(np.int64), table["weight"].to_numpy())
 
 
+def _scores(weights: Weights):
+    """A function from an array of texts to their scores."""
+    dense = np.zeros(1 << SPACE_BITS, np.float32)
+    dense[weights.place] = weights.value
+
+    def run(texts: pa.Array) -> np.ndarray:
+        out = [np.empty(0)]
+        for _, _, words in W.each_slice(texts):
+            found, border = features(words)
+            sums = np.r_[0.0, np.cumsum(dense[found], dtype=np.float64)]
+            out.append(dense[BIAS] + sums[border[1:]] - sums[border[:-1]])
+        return 1 / (1 + np.exp(-np.clip(np.concatenate(out), -35, 35)))
+
+    return run
+
+
 def score(docs: DataFrame, weights: Weights) -> DataFrame:
     """``docs`` (doc_id, text) with score, 0 to 1; null and empty texts get the score of the bias."""
     shared = docs.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches):
-        place, value = shared.value
-        dense = np.zeros(1 << SPACE_BITS, np.float32)
-        dense[place] = value
+        scores = _scores(shared.value)
         for batch in batches:
-            out = []
-            for i, j, words in W.each_slice(batch.column(1)):
-                found, border = features(words)
-                sums = np.r_[0.0, np.cumsum(dense[found], dtype=np.float64)]
-                out.append(dense[BIAS] + sums[border[1:]] - sums[border[:-1]])
-            margin = np.concatenate(out) if out else np.empty(0)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(margin, -35, 35))))], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores(batch.column(1)))],
+                                             names=["doc_id", "score"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         run, "doc_id long, score double")
 
 
+def kept(docs: DataFrame, weights: Weights) -> DataFrame:
+    """Rows of ``docs``, with all their columns, whose score is below one half."""
+    shared = docs.sparkSession.sparkContext.broadcast(weights)
+    place = docs.columns.index("text")
+
+    def run(batches):
+        scores = _scores(shared.value)
+        for batch in batches:
+            yield batch.filter(pa.array(scores(batch.column(place)) < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def fold() -> "F.Column":
     """crc32 of the decimal doc_id mod 5; 0 is held out of training."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
@@ -147,17 +178,13 @@ def fold() -> "F.Column":
 
 def model(docs: DataFrame, labels: DataFrame) -> Weights:
     """Weights learnt from the documents whose labels may be used."""
-    known = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
-        F.max("toxic").alias("label"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(fold() != 0).join(known, "doc_id")
-    return collected(written(train(rows), "toxicity"))
+    return collected(written(train(docs, written(sample(labels), "labelled")), "toxicity"))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted for each row of ``docs``.
 
-    Learns ``labels.toxic`` from the rows whose crc32(doc_id) mod 5 is not 0.  A doc_id
-    with several labels is toxic if one says so.  A null doc_id is not held out (false)
+    Learns ``labels.toxic`` from rows whose crc32(doc_id) mod 5 is not 0.  A null doc_id is not held out (false)
     and is scored like any other; repeated rows are scored each.
     """
     scored = score(docs, model(docs, labels))
