@@ -20,8 +20,9 @@ from ledgersieve.llm.hilbert import hilbert_keys
 from ledgersieve.llm.store import written
 
 CURVES, DIMENSIONS, BITS = 14, 6, 6
-#: A curve has RANGES ranges; a query sees its own and REACH on either side.
-RANGES, REACH = 200, 10
+#: A curve has RANGES ranges of equal counts (fewer where they would hold less than LEAST_ROWS);
+#: a query sees its own and, on either side, the share REACH of them.
+RANGES, LEAST_ROWS, REACH = 200, 64, 0.05
 #: Rows of a range, and queries, that one task holds at most (by more splits beyond it).
 TASK_ROWS = 4096
 #: Vectors the grids are fitted on, chosen by a hash of vec_id; all vectors are indexed.
@@ -115,7 +116,7 @@ def _best(k: int):
     return run
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, curves: int = CURVES, reach: int = REACH,
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, curves: int = CURVES, reach: float = REACH,
             seed: int = 7) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest of ``vectors`` found for each of ``queries``.
 
@@ -136,10 +137,11 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, curves: int = C
     asked = written(asked, "queries")
     fitted = _fit(nodes, total)
     placed = written(_keyed(nodes, fitted, curves, seed), "places")
-    cuts = {}
-    steps = F.lit([i / RANGES for i in range(1, RANGES)])
+    cuts, ranges = {}, max(1, min(RANGES, total // LEAST_ROWS))
+    aside = -(-int(reach * ranges * 1000) // 1000)
+    steps = F.array(*(F.lit(i / ranges) for i in range(ranges)))
     for r in placed.groupBy("size", "curve").agg(F.percentile_approx("place", steps, 20_000).alias("c")).collect():
-        cuts[(r["size"], r["curve"])] = np.array(r["c"])
+        cuts[(r["size"], r["curve"])] = np.array(r["c"][1:])
 
     def ranged(df: DataFrame, splits: int) -> DataFrame:
         def run(batches):
@@ -157,13 +159,13 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, curves: int = C
             "part", F.pmod(F.xxhash64("vec_id"), F.lit(splits)).cast("int"))
 
     n_asked = asked.count()
-    width = (2 * reach + 1) / RANGES
-    splits = max(1, -(-total // (RANGES * TASK_ROWS)))
+    width = (2 * aside + 1) / ranges
+    splits = max(1, -(-total // (ranges * TASK_ROWS)))
     chunks = max(1, -(-int(n_asked * width) // TASK_ROWS))
     blocks = ranged(placed, splits).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
     wanted = ranged(_keyed(asked, fitted, curves, seed), chunks).withColumnRenamed("part", "chunk")
     wanted = wanted.withColumn("range", F.explode(F.sequence(
-        F.greatest(F.col("range") - reach, F.lit(0)), F.least(F.col("range") + reach, F.lit(RANGES - 1)))))
+        F.greatest(F.col("range") - aside, F.lit(0)), F.least(F.col("range") + aside, F.lit(ranges - 1)))))
     wanted = wanted.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(splits - 1))))
     key = ["size", "curve", "range", "part", "chunk"]
     found = blocks.groupBy(*key).cogroup(wanted.groupBy(*key)).applyInArrow(
