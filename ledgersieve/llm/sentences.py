@@ -2,7 +2,8 @@
 
 A sentence ends at a full stop, question or exclamation mark before white space, or at a
 line's end.  Sentences are cut further before words chosen by their hash, one in ``CUT``,
-so a passage copied into the middle of another sentence is cut as before.  A run is the
+so a passage copied into the middle of another sentence is cut as before; a piece has
+``LONGEST`` words at most.  A run is the
 fewest consecutive sentences, ``RUN`` at least, that have ``LEAST_WORDS`` words together.
 Every run is hashed by its words; runs are joined over all documents, and the sentences
 of every run that is not the first of its kind are removed.
@@ -18,7 +19,7 @@ from ledgersieve.llm import words as W
 from ledgersieve.llm.spans import bit_table, in_table, merged
 from ledgersieve.llm.store import written
 
-RUN, CUT = 3, 8
+RUN, CUT, LONGEST = 3, 8, 64
 #: Fewer words say too little: short sentences repeat by chance.
 LEAST_WORDS = 15
 _MARK = np.zeros(256, bool)
@@ -39,7 +40,9 @@ def sentence_starts(words: W.Words) -> np.ndarray:
     begin[1:] = sums[words.start[1:]] > sums[words.end[:-1]]
     begin[words.first[:-1][np.diff(words.first) > 0]] = True
     begin |= W.mix(words.hash) % np.uint64(CUT) == 0
-    return np.flatnonzero(begin)
+    place = np.flatnonzero(begin)
+    within = np.arange(n) - np.repeat(place, np.diff(np.r_[place, n]))
+    return np.flatnonzero(within % LONGEST == 0)
 
 
 def runs(words: W.Words):

@@ -3,12 +3,14 @@
 A suffix is retained where a minimiser stands: in every window of ``WINDOW`` consecutive
 8-grams the one of smallest hash.  The choice depends on the words alone, so two copies of
 a passage retain the same suffixes, about two in ``WINDOW + 1``.  Suffixes that begin with
-the same ``PREFIX`` words are sorted by what follows and each is compared with its
-neighbours, and with the first of them; a match is then extended to the left and right.
+the same ``PREFIX`` words are sorted by what follows, and again by what stands before;
+each is compared with its neighbours in both orders and with the first of all, and a match
+is extended to the left and right.
 
 A passage of ``PREFIX + WINDOW - 1`` = 50 words or more that occurs elsewhere always
-retains a suffix with its first 35 words in the passage, so none is missed; what is
-reported is at least 35 words long.
+retains a suffix with its first 35 words in the passage, so none is missed.  A reported
+span is at least 35 words long; up to 15 words at a passage's ends may be left out if the
+copy that shares them is no neighbour.
 """
 
 from __future__ import annotations
@@ -118,20 +120,25 @@ def repeats(docs: DataFrame) -> DataFrame:
         group, first, held = None, None, []
         out = []
 
-        def settle(row, before, after):
-            """The span of ``row``, extended by an earlier neighbour or the first."""
+        def settle(row, others):
+            """The span of ``row``, extended by those of ``others`` that come earlier."""
             h, doc, at, left, right, first_doc, first_at = row
             more_left = more_right = 0
-            for other in (before, after, first):
+            for other in others:
                 if other is not None and (other[1], other[2]) < (doc, at):
                     more_left = max(more_left, _common(left, other[3]))
                     more_right = max(more_right, _common(right, other[4]))
             out.append((doc, at - more_left, at + PREFIX + more_right, first_doc, first_at))
 
         def ended():
+            # ``held`` is in the order of what follows; the other order is by what stands before.
+            turned = sorted(range(len(held)), key=lambda n: (held[n][3].tobytes(), held[n][1], held[n][2]))
+            place = {n: m for m, n in enumerate(turned)}
             for n, row in enumerate(held):
                 if (row[1], row[2]) != (row[5], row[6]):
-                    settle(row, held[n - 1] if n else None, held[n + 1] if n + 1 < len(held) else None)
+                    m = place[n]
+                    beside = [*held[max(n - 1, 0) : n], *held[n + 1 : n + 2], *(held[x] for x in turned[max(m - 1, 0) : m + 2] if x != n)]
+                    settle(row, [*beside, first])
 
         def batch_of(rows):
             columns = list(zip(*rows)) or [[]] * 5
