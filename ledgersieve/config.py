@@ -59,11 +59,18 @@ DATE_FORMATS = (
     (r"^\d{1,2}\.\d{1,2}\.\d{4}$", "d.M.yyyy"),
     (r"^\d{1,2}/\d{1,2}/\d{2}$", "M/d/yy"),
     (r"^\d{1,2}/\d{1,2}/\d{2}$", "d/M/yy"),
-    (r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy"),
-    (r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", "d-MMM-yyyy"),
-    (r"^[A-Za-z]{3} \d{1,2}, \d{4}$", "MMM d, yyyy"),
+    (r"^\d{4}\d{2}\d{2}$", "yyyyMMdd"),
 )
-TIME_OF_DAY = r"[ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?$"
+# Dates with a month name: the shape, and which groups are day, month and year.
+_MONTH = (
+    r"((?i:jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|"
+    r"sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?))\.?"
+)
+MONTH_NAME_DATES = (
+    (rf"^(\d{{1,2}})(?:st|nd|rd|th)?[ \-/]+{_MONTH}[ ,\-/]+(\d{{4}}|\d{{2}})$", (1, 2, 3)),
+    (rf"^{_MONTH}[ \-]+(\d{{1,2}})(?:st|nd|rd|th)?[ ,\-]+(\d{{4}})$", (2, 1, 3)),
+)
+TIME_OF_DAY = r"[ T]\d{1,2}:\d{2}(:\d{2}([.,]\d+)?)? ?([AaPp]\.?[Mm]\.?)? ?(Z|UTC|GMT|[+-]\d{2}:?\d{2})?$"
 
 # ---------------------------------------------------------------------------
 # Payment-rail prefixes and trailing references

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgersieve import config as C
-from ledgersieve.functions.text import contains_any
+from ledgersieve.functions.text import contains_any, plain_spaces
 
 
 def keyword_category(
     description: Column, transaction_type: Column | None = None, rules=C.CATEGORY_PHRASES
 ) -> Column:
     """First category with a phrase in the lower-cased description (plus the type, if given)."""
-    text = F.lower(description)
+    text = F.lower(plain_spaces(description))
     if transaction_type is not None:
         text = F.concat_ws(" ", text, F.nullif(F.lower(transaction_type), F.lit("")))
     category = F.when(description.isNull(), F.lit(C.OTHER_CATEGORY))

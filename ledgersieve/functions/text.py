@@ -10,6 +10,16 @@ from ledgersieve.schema import MONEY
 WHITE_SPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
 
 
+# Spaces beyond ASCII: exports often hold the no-break space.
+WIDE_SPACES = "\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
+def plain_spaces(text: Column) -> Column:
+    """Every white-space character beyond ASCII as a plain space."""
+    wide = F.translate(text, WIDE_SPACES, " " * len(WIDE_SPACES))
+    return F.when(text.rlike(r"[^\x00-\x7F]"), wide).otherwise(text)
+
+
 def strip(text: Column) -> Column:
     """Remove white space of any kind at both ends (``trim`` only removes spaces)."""
     return F.btrim(text, F.lit(WHITE_SPACE))
@@ -31,18 +41,18 @@ def clean_description(text: Column) -> Column:
     A prefix ends with white space and a reference starts with it, so something
     is always left of a text that is not blank.
     """
-    without = F.regexp_replace(strip(text), prefixes_in_order(C.DESCRIPTION_PREFIXES), "")
+    without = F.regexp_replace(strip(plain_spaces(text)), prefixes_in_order(C.DESCRIPTION_PREFIXES), "")
     without = F.regexp_replace(without, "(?i)" + C.DESCRIPTION_REFERENCE, "")
-    return F.when(strip(text) == "", text).otherwise(strip(collapse_spaces(without)))
+    return F.when(strip(plain_spaces(text)) == "", text).otherwise(strip(collapse_spaces(without)))
 
 
 def normalize_vendor(text: Column) -> Column:
     """Upper-case vendor key without rails, references, company forms and punctuation."""
-    vendor = F.regexp_replace(F.upper(strip(text)), prefixes_in_order(C.VENDOR_PREFIXES), "")
+    vendor = F.regexp_replace(F.upper(strip(plain_spaces(text))), prefixes_in_order(C.VENDOR_PREFIXES), "")
     vendor = F.regexp_replace(vendor, C.VENDOR_REFERENCE, "")
     vendor = F.regexp_replace(vendor, C.VENDOR_COMPANY_WORDS, "")
     vendor = F.translate(vendor, C.VENDOR_PUNCTUATION, "")
-    return F.when(strip(text) == "", text).otherwise(strip(collapse_spaces(vendor)))
+    return F.when(strip(plain_spaces(text)) == "", text).otherwise(strip(collapse_spaces(vendor)))
 
 
 def _or_unknown(*candidates: Column) -> Column:
@@ -88,10 +98,15 @@ def month_text(date: Column) -> Column:
 
 def parse_date(text: Column) -> Column:
     """Text to date over the configured formats; anything else is null, never an error."""
-    day = F.regexp_replace(strip(text), C.TIME_OF_DAY, "")
+    day = F.regexp_replace(strip(plain_spaces(text)), C.TIME_OF_DAY, "")
     attempts = [
         F.when(day.rlike(shape), F.try_to_timestamp(day, F.lit(fmt))) for shape, fmt in C.DATE_FORMATS
     ]
+    for shape, (d, m, y) in C.MONTH_NAME_DATES:
+        part = lambda i: F.regexp_extract(day, shape, i)  # noqa: B023, E731
+        year = F.when(F.length(part(y)) == 2, F.concat(F.lit("20"), part(y))).otherwise(part(y))
+        named = F.concat_ws(" ", part(d), F.initcap(F.substring(part(m), 1, 3)), year)
+        attempts.append(F.when(day.rlike(shape), F.try_to_timestamp(named, F.lit("d MMM yyyy"))))
     return F.coalesce(*attempts).cast("date")
 
 
@@ -118,9 +133,10 @@ def signed_amount(debit: Column, credit: Column) -> Column:
 
 
 def column_letter(position: Column) -> Column:
-    """0-based column position to its spreadsheet letter (up to two letters)."""
-    letter = lambda n: F.char(n + F.lit(65))
-    tens = F.floor(position / 26).cast("int")
-    return F.when(position < 26, letter(position)).otherwise(
-        F.concat(letter(tens - 1), letter(position % 26))
-    )
+    """0-based column position to its spreadsheet letters (up to three, 18,278 columns)."""
+    letter = lambda n: F.char((n % 26).cast("int") + F.lit(65))
+    at = position.cast("int")
+    second, third = F.floor(at / 26 - 1), F.floor((at - 702) / 676)
+    return F.concat(
+        F.when(at >= 702, letter(third)).otherwise(F.lit("")),
+        F.when(at >= 26, letter(second)).otherwise(F.lit("")), letter(at))

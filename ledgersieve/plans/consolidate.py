@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgersieve import config as C
 from ledgersieve.operators import analytics as A, findings as R, quality as Q, screening as S, tables as K
@@ -17,7 +17,7 @@ from ledgersieve.operators.numbering import transaction_ids
 from ledgersieve.schema import TRANSACTIONS
 from ledgersieve.sources import balances as B, intake as I
 from ledgersieve.sources.sinks import write_table, write_transactions
-from ledgersieve.sources.staging import stage
+from ledgersieve.sources.staging import settled
 
 
 @dataclass(frozen=True)
@@ -34,41 +34,48 @@ class Consolidated:
 
 
 def consolidate(spark: SparkSession, grid: DataFrame, name: str) -> Consolidated:
-    """Detect layouts, project, normalise, enrich and number the rows of a grid."""
-    put = lambda part, build: stage(spark, f"{name}-{part}", build)
-    formats = put("formats", lambda: I.file_formats(grid))
+    """Detect layouts, project, normalise, enrich and number the rows of a grid.
+
+    Every table is written to a folder of this run alone.  The grid is written first:
+    all later steps read that, and layouts and balances only its leading rows.
+    """
+    put = lambda part, df: settled(spark, df, f"{name}-{part}")
+    grid = put("grid", grid)
+    leading = put("leading", grid.filter(F.col("row_no") <= max(C.HEADER_SCAN_ROWS, C.OPENING_SCAN_ROWS, C.CLOSING_SCAN_ROWS)))
+    formats = put("formats", I.file_formats(leading))
     # One pass over the grid: every line below a header, parsed and enriched.  The
     # transactions and the counts of kept and removed lines both read this table.
-    lines = put("lines", lambda: I.enriched(I.parsed_lines(I.projected_lines(grid, formats))))
+    lines = put("lines", I.enriched(I.parsed_lines(I.projected_lines(grid, formats))))
     rows = I.statement_rows(lines)
-    transactions = put(
-        "transactions", lambda: transaction_ids(rows).select(*TRANSACTIONS.fieldNames()))
+    transactions = put("transactions", transaction_ids(rows).select(*TRANSACTIONS.fieldNames()))
     return Consolidated(
         grid=grid, formats=formats, lines=lines, transactions=transactions,
-        rejected=put("rejected", lambda: I.rejected_files(grid, formats)),
-        opening=put("opening", lambda: B.opening_balances(grid, rows)),
-        closing=put("closing", lambda: B.closing_balances(grid, rows)),
+        rejected=put("rejected", I.rejected_files(grid, formats)),
+        opening=put("opening", B.opening_balances(leading, rows)),
+        closing=put("closing", B.closing_balances(leading, rows)),
     )
 
 
 def prepared(
-    spark: SparkSession, transactions: DataFrame, name: str, config: C.ScreeningConfig = C.DEFAULT
+    spark: SparkSession, transactions: DataFrame, name: str, config: C.ScreeningConfig = C.DEFAULT,
+    stats: DataFrame | None = None,
 ) -> S.Prepared:
-    """Run statistics, duplicate pairs and first large payments, each written once."""
-    put = lambda part, build: stage(spark, f"{name}-{part}", build)
+    """Run statistics, duplicate pairs and first large payments, each written for this run."""
+    put = lambda part, df: settled(spark, df, f"{name}-{part}")
     return S.Prepared(
-        stats=put("statistics", lambda: S.run_statistics(transactions, config.weekend)),
-        pairs=put("pairs", lambda: S.duplicate_pairs(transactions, config.duplicate)),
-        firsts=put("firsts", lambda: S.first_large_payments(transactions, config.counterparty)))
+        stats=put("statistics", S.run_statistics(transactions, config.weekend)) if stats is None else stats,
+        pairs=put("pairs", S.duplicate_pairs(transactions, config.duplicate)),
+        firsts=put("firsts", S.first_large_payments(transactions, config.counterparty)))
 
 
 def screened(
-    spark: SparkSession, transactions: DataFrame, name: str, config: C.ScreeningConfig = C.DEFAULT
+    spark: SparkSession, transactions: DataFrame, name: str, config: C.ScreeningConfig = C.DEFAULT,
+    ready: S.Prepared | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """``(findings, run statistics)``; the drafts are written before they are numbered."""
-    ready = prepared(spark, transactions, name, config)
-    drafts = stage(spark, f"{name}-drafts", lambda: S.draft_alerts(transactions, config, ready))
-    return stage(spark, f"{name}-findings", lambda: S.number_alerts(drafts)), ready.stats
+    ready = prepared(spark, transactions, name, config) if ready is None else ready
+    drafts = settled(spark, S.draft_alerts(transactions, config, ready), f"{name}-drafts")
+    return settled(spark, S.number_alerts(drafts), f"{name}-findings"), ready.stats
 
 
 def publish(
@@ -78,17 +85,15 @@ def publish(
     """Screen a consolidated run, check it and write every table under ``out``."""
     txns = run.transactions
     findings, stats = screened(spark, txns, name, config)
-    issues = stage(spark, f"{name}-issues", lambda: Q.all_issues(txns, findings))
+    issues = settled(spark, Q.all_issues(txns, findings), f"{name}-issues")
     Q.enforce(issues, strict)
-    dashboard = stage(spark, f"{name}-dashboard", lambda: Q.dashboard_metrics(txns, run.opening))
     reconciled = Q.reconciliation(txns, run.opening, run.closing)
     paths = {"transactions": f"{out}/transactions"}
     write_transactions(txns, paths["transactions"], file_format)
     tables = {
         "findings": R.alerts_table(findings),
         "evidence": R.evidence_index(findings, txns),
-        "dashboard": dashboard,
-        "dashboard_check": Q.compare_metrics(dashboard, Q.dashboard_metrics(txns, run.opening)),
+        "dashboard": Q.dashboard_metrics(txns, run.opening),
         "monthly_trend": A.monthly_trend(txns),
         "benford": A.benford(txns),
         "vendor_concentration": A.vendor_concentration(txns),
@@ -106,4 +111,9 @@ def publish(
     for table, frame in tables.items():
         paths[table] = f"{out}/{table}"
         write_table(frame, paths[table], file_format)
+    # What was written against what the written transactions give.
+    read = lambda table: spark.read.format(file_format).load(paths[table])
+    again = Q.dashboard_metrics(read("transactions").select(*txns.columns), run.opening)
+    paths["dashboard_check"] = f"{out}/dashboard_check"
+    write_table(Q.compare_metrics(read("dashboard"), again), paths["dashboard_check"], file_format)
     return paths

@@ -13,7 +13,7 @@ from ledgersieve.plans.present import plain, plain_alerts, rounded
 from ledgersieve.sources import fixtures as V, intake as I
 from ledgersieve.sources.grid import read_grid
 from ledgersieve.sources.sinks import write_transactions
-from ledgersieve.sources.staging import stage, table_path
+from ledgersieve.sources.staging import settled, stage, table_path
 
 
 def _slug(sf_dir: str) -> str:
@@ -28,24 +28,37 @@ def folded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.transactions(spark, sf_dir, "folded")
 
 
+_runs: dict[tuple[str, str], object] = {}
+
+
+def once(spark: SparkSession, name: str, build):
+    """The tables of one scale and calendar, built by the first query that needs them."""
+    key = (spark.sparkContext.applicationId, name)
+    if key not in _runs:
+        _runs[key] = build()
+    return _runs[key]
+
+
 def intake(spark: SparkSession, sf_dir: str) -> Consolidated:
     """The statement grids of one scale, consolidated."""
     name = f"intake-{_slug(sf_dir)}"
-    grid = stage(spark, f"{name}-grid", lambda: V.statement_grid(spark, sf_dir))
-    return consolidate(spark, grid, name)
+    return once(spark, name, lambda: consolidate(spark, V.statement_grid(spark, sf_dir), name))
 
 
-def ready(spark: SparkSession, sf_dir: str, calendar: str = "actual") -> S.Prepared:
-    return prepared(spark, V.transactions(spark, sf_dir, calendar), f"{calendar}-{_slug(sf_dir)}")
+def statistics(spark: SparkSession, sf_dir: str, calendar: str = "actual") -> DataFrame:
+    name = f"{calendar}-{_slug(sf_dir)}-statistics"
+    rows = V.transactions(spark, sf_dir, calendar)
+    return once(spark, name, lambda: settled(spark, S.run_statistics(rows, C.DEFAULT.weekend), name))
 
 
-def statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ready(spark, sf_dir).stats
+def ready(spark: SparkSession, sf_dir: str, calendar: str = "actual") -> S.Prepared:
+    name, rows = f"{calendar}-{_slug(sf_dir)}", V.transactions(spark, sf_dir, calendar)
+    return once(spark, f"{name}-ready", lambda: prepared(spark, rows, name, stats=statistics(spark, sf_dir, calendar)))
 
 
 def findings(spark: SparkSession, sf_dir: str, calendar: str = "actual") -> DataFrame:
-    found, _ = screened(spark, V.transactions(spark, sf_dir, calendar), f"{calendar}-{_slug(sf_dir)}")
-    return found
+    name, rows = f"{calendar}-{_slug(sf_dir)}", V.transactions(spark, sf_dir, calendar)
+    return once(spark, f"{name}-findings", lambda: screened(spark, rows, name, ready=ready(spark, sf_dir, calendar))[0])
 
 
 # --- queries that take a few lines of their own ---------------------------------------
@@ -123,7 +136,7 @@ def text_grid(spark, sf_dir):
             ",", quoted("date"), quoted("description"), F.coalesce(F.col("debit").cast("string"), F.lit("")),
             F.coalesce(F.col("credit").cast("string"), F.lit(""))).alias("value")
         ).write.mode("overwrite").text(path)
-        return read_grid(spark, path, width=6)
+        return read_grid(spark, path)
 
     grid = stage(spark, f"{name}-grid", checked)
     files = grid.groupBy("source_file").agg(

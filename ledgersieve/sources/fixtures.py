@@ -132,15 +132,20 @@ def statement_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stage(spark, name, lambda: statement_rows(spark, sf_dir))
     money = lambda c: F.format_number(c, 2)
     plain = lambda c: F.col(c).cast("string")
+    in_turn = lambda *formats: F.element_at(F.array(*[F.date_format("date", f) for f in formats]),
+                                            F.col("source_row").cast("int") % len(formats) + 1)
+    alpha_date = in_turn("yyyy-MM-dd", "yyyyMMdd", "yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy-MM-dd HH:mm:ss'+00:00'")
+    beta_date = in_turn("MM/dd/yyyy", "MM/dd/yyyy h:mm a", "MMMM d, yyyy")
+    gamma_date = in_turn("d MMM yyyy", "d MMMM yyyy", "dd-MMM-yyyy", "MMM d yyyy")
     body_cells = (
         F.when(F.col("bank") == "ALPHA", F.array(
-            F.date_format("date", "yyyy-MM-dd"), "description",
+            alpha_date, "description",
             F.coalesce(money("debit"), F.lit("0")), money("credit")))
         .when(F.col("bank") == "BETA", F.array(
-            F.date_format("date", "MM/dd/yyyy"), "description",
+            beta_date, "description",
             F.coalesce(F.concat(F.lit("-"), plain("debit")), plain("credit"))))
         .otherwise(F.array(
-            F.date_format("date", "d MMM yyyy"), F.lit("TRF"), F.lit(None).cast("string"), "description",
+            gamma_date, F.lit("TRF"), F.lit(None).cast("string"), "description",
             money("debit"), money("credit")))
     )
     start = F.when(F.col("bank") == "ALPHA", DATA_START["ALPHA"]).when(

@@ -36,7 +36,12 @@ _staged: dict[tuple[str, str], str] = {}
 
 
 def stage(spark: SparkSession, name: str, build) -> DataFrame:
-    """Write ``build()`` under ``name`` once per application and read it back."""
+    """Write ``build()`` under ``name`` once per application and read it back.
+
+    Only for inputs that a name fully describes (a scale, a calendar).  A run over a
+    grid or with settings of its own uses :func:`settled`, which never meets another
+    run's table.
+    """
     key = (spark.sparkContext.applicationId, name)
     if key not in _staged:
         path = table_path(spark, name)

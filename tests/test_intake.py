@@ -162,3 +162,30 @@ def test_first_sheet_and_merge(spark):
     assert [r.cells for r in G.first_sheet(grid, sheets).collect()] == [["a"]]
     merged = I.merge_layouts([spark.range(1).selectExpr("id a", "1 b"), spark.range(1).selectExpr("2 b", "3 c")])
     assert merged.columns == ["a", "b", "c"] and merged.count() == 2
+
+
+def test_splits_may_change_between_scans_and_wide_lines_are_whole(spark, tmp_path):
+    """The grid is built under one split setting and read under another."""
+    folder = tmp_path / "wide"
+    folder.mkdir()
+    (folder / "A_wide.csv").write_text("".join(",".join(f"{i}.{c}" for c in range(40)) + "\n" for i in range(1, 800)))
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum")
+    try:
+        for name, value in zip(names, ("20000", "10", "7")):
+            spark.conf.set(name, value)
+        grid = G.read_grid(spark, str(folder))
+        for name, value in zip(names, ("3000", "10", "2")):
+            spark.conf.set(name, value)
+        assert grid.count() == 799
+        wrong = F.get("cells", F.lit(39)) != F.concat(F.col("row_no").cast("string"), F.lit(".39"))
+        assert grid.filter(wrong | (F.size("cells") != 40)).count() == 0
+    finally:
+        for name in names:
+            spark.conf.unset(name)
+
+
+def test_cells_of_a_line(spark):
+    lines = ['a,b', ',a,,', '"x, y","say ""hi""",z', '"",b', '"open,b', 'a;b', '', '"a"b,c']
+    got = spark.createDataFrame([(x,) for x in lines], "v string").select(G.split_cells(F.col("v"))).collect()
+    assert [r[0] for r in got] == [["a", "b"], [None, "a", None, None], ["x, y", 'say "hi"', "z"], [None, "b"], ['"open', "b"],
+                                   ["a;b"], [None], ['"a"b', "c"]]

@@ -50,3 +50,22 @@ def test_publish(spark, tmp_path):
     assert read("rejected_files").count() == 1
     months = read("transactions").select("month").distinct().count()
     assert months == run.transactions.select(F.date_format("date", "yyyy-MM")).distinct().count()
+
+
+def test_runs_of_one_name_do_not_meet(spark):
+    """Two grids, and two configurations, under the same name."""
+    from dataclasses import replace
+
+    from ledgersieve import config as C
+    from ledgersieve.plans.consolidate import screened
+
+    def grid(text):
+        rows = [("A_x.csv", "Sheet1", n + 1, cells) for n, cells in enumerate(
+            [["Date", "Description", "Debit", "Credit"], ["2024-01-02", text, "150", None], ["2024-01-06", text, "150", None]])]
+        return spark.createDataFrame(rows, "source_file string, source_sheet string, row_no bigint, cells array<string>")
+
+    one, two = (consolidate(spark, grid(t), "june").transactions for t in ("Alpha goods", "Beta goods"))
+    assert {r.description for r in two.collect()} == {"Beta goods"} and {r.description for r in one.collect()} == {"Alpha goods"}
+    wide = replace(C.DEFAULT, duplicate=replace(C.DEFAULT.duplicate, max_days_apart=5))
+    found = [screened(spark, one, "june", c)[0].filter("category = 'Duplicate Payment'").count() for c in (C.DEFAULT, wide)]
+    assert found == [0, 1]

@@ -109,3 +109,19 @@ def test_source_pointer_and_column_letter(spark):
     assert one.select(X.source_pointer(F.lit("f"), F.lit("s"), F.lit(3))).first()[0] == "f | s | R3"
     letters = [one.select(X.column_letter(F.lit(i))).first()[0] for i in (0, 25, 26, 27, 52)]
     assert letters == ["A", "Z", "AA", "AB", "BA"]
+
+
+def test_date_forms(spark):
+    forms = ["January 5, 2024", "5 January 2024", "20240105", "2024-01-05T00:00:00Z", "2024-01-05 00:00:00 +00:00",
+             "01/05/2024 3:00 PM", "05-Jan-24", "5 Jan 24", "Jan 5 2024", "5 sept 2024", "Sept. 5, 2024", "JAN\u00a05, 2024", "5th May 2024"]
+    rows = spark.createDataFrame([(f,) for f in forms], "t string").select(X.parse_date(F.col("t")).cast("string")).collect()
+    month = lambda f: "09" if "ept" in f else "05" if "May" in f else "01"
+    assert [r[0] for r in rows] == [f"2024-{month(f)}-05" for f in forms]
+    none = spark.createDataFrame([("Marble 5, 2024",), ("20241305",), ("5 2024",), ("Total 1 2024",)], "t string")
+    assert [r[0] for r in none.select(X.parse_date(F.col("t"))).collect()] == [None] * 4
+
+
+def test_wide_spaces_are_spaces(spark):
+    row = spark.createDataFrame([("ACH\u00a0PAYMENT - ACME\u00a0INC", "ACH PAYMENT - ACME INC")], "a string, b string")
+    a, b, c, d = row.select(*(f(F.col(x)) for f in (X.clean_description, X.normalize_vendor) for x in "ab")).first()
+    assert a == b and c == d
