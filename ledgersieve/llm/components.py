@@ -29,7 +29,7 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
         two = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = two.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = two.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = written(large.where("u <> v").distinct(), label)
+        large = written(large.where("u <> v"), label)
         # Smaller neighbours, and the node itself.
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))

@@ -125,7 +125,7 @@ def sketches(docs: DataFrame, k: int = SHINGLE, bands: int = BANDS, rows: int =
 
 
 def _shingles(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
-    """(node, shingles) of the candidate ``nodes`` (node, doc_id), written.
+    """(node, sid, shingles) of the candidate ``nodes`` (node, doc_id), written; sid numbers the rows.
 
     A bit table of fixed size (2**24 bits, whatever the input) thins the scan, so that
     only candidates' texts are shingled again and shuffled; the join behind it is exact.
@@ -156,7 +156,24 @@ def _shingles(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
         run, "doc_id long, node binary, shingles array<long>").where("node is not null")
     wanted = nodes.select("node", F.coalesce("doc_id", F.lit(0)).alias("w_id"))
     one = found.join(wanted, (found.node == wanted.node) & (F.coalesce(found.doc_id, F.lit(0)) == wanted.w_id), "left_semi")
-    return written(one.dropDuplicates(["node"]).select("node", "shingles"), "shingles")
+    one = one.dropDuplicates(["node"])
+    return written(one.select("node", F.monotonically_increasing_id().alias("sid"), "shingles"), "shingles")
+
+
+def _bounds(sets: DataFrame) -> DataFrame:
+    """(node, n, own) of each candidate, written: its shingles, and those no other candidate has."""
+    lone = (sets.select("sid", F.explode("shingles").alias("s")).groupBy("s").agg(
+        F.count(F.lit(1)).alias("c"), F.min("sid").alias("sid")).where("c = 1").groupBy("sid").agg(
+        F.count(F.lit(1)).alias("own")))
+    return written(sets.select("node", "sid", F.size("shingles").alias("n")).join(lone, "sid", "left").select(
+        "node", "n", F.coalesce("own", F.lit(0)).cast("int").alias("own")), "bounds")
+
+
+def _possible(threshold: float, n, own, other_n, other_own):
+    """False only where two sets can't be ``threshold`` alike: no more than the shingles that
+    neither has alone can be common."""
+    common = F.least(n - own, other_n - other_own)
+    return common >= F.lit(threshold) * (n + other_n - common)
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -177,10 +194,11 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, threshold: float = SIMILA
     shingle set with other sets; ``keep`` is true for one document of a class (the
     smallest doc_id, null last; rows that repeat it share the answer).  Documents with the same shingle set are one node, however many.
 
-    In a bucket of a band, all members are compared with a few pivots; members that are
-    by then in the pivots' class need no further comparison, the others go on to twice as
-    many pivots, until each pair of a bucket has been compared or is in one class.  So
-    nothing is capped, and a group of thousands of copies costs a few rows per member.
+    In a bucket of a band, all members are compared with its hub, then with a few pivots;
+    members that are by then in a pivot's class need no further comparison, the others go
+    on to more pivots, until each pair of a bucket is in one class, has been compared, or
+    is ruled out by an exact bound: shingles that only one candidate has can't be common.
+    So nothing is capped, and a group of thousands of copies costs a few rows per member.
 
     Null and empty texts, and texts without words, are alone in their class; null
     doc_ids are allowed; rows that repeat are members of one class; other columns are
@@ -197,47 +215,56 @@ def kept(docs: DataFrame, k: int = SHINGLE, threshold: float = SIMILARITY) -> Da
 def _classes(docs: DataFrame, k: int, threshold: float, bands: int, rows: int) -> DataFrame:
     rows_of = written(sketches(docs, k, bands, rows), "sketches")
     nodes = written(rows_of.where("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.min_by("bands", F.coalesce("doc_id", F.lit(-1))).alias("bands"),
-        F.max("n_shingles").alias("n")), "nodes")
-    members = nodes.select("node", "n", F.explode("bands").alias("band"))
-    crowded = members.groupBy("band").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("hub")).where("c > 1")
-    members = written(members.join(crowded, "band").select("band", "node", "n", "hub"), "members")
+        F.min("doc_id").alias("doc_id"), F.min_by("bands", F.coalesce("doc_id", F.lit(-1))).alias("bands")), "nodes")
+    members = nodes.select("node", F.explode("bands").alias("band"))
+    crowded = members.groupBy("band").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    members = written(members.join(crowded, "band"), "members")
     sets = _shingles(docs, nodes.join(members, "node", "left_semi").select("node", "doc_id"), k)
-
-    def sized(left, right):
-        """Sets of very different size can't be alike; a bound, not an estimate."""
-        return F.least(left, right) >= F.lit(threshold) * F.greatest(left, right)
-
-    # First every member with the smallest of its bucket.
-    sizes = nodes.select(F.col("node").alias("hub"), F.col("n").alias("hub_n"))
-    pairs = (members.where("node <> hub").select("hub", "node", "n").distinct().join(sizes, "hub")
-             .where(sized(F.col("n"), F.col("hub_n"))).select(F.col("hub").alias("a"), F.col("node").alias("b")))
+    bounds = _bounds(sets)
+
+    # A set that has too many shingles alone is like no other.  The hub of a bucket is the
+    # member that meets the most others in all bands: near the text that was copied.
+    able = bounds.where(F.col("n") - F.col("own") >= F.lit(threshold) * F.col("n"))
+    met = members.groupBy("node").agg(F.sum("c").alias("met"))
+    members = written(members.select("band", "node").join(able, "node").join(met, "node"), "members")
+    hubs = members.groupBy("band").agg(F.max_by("node", F.struct("met", "node")).alias("hub"))
+    hub_bounds = bounds.select(F.col("node").alias("hub"), F.col("n").alias("hn"), F.col("own").alias("ho"))
+    pairs = (members.join(hubs, "band").where("node <> hub").select("hub", "node", "n", "own").distinct()
+             .join(hub_bounds, "hub").where(_possible(threshold, F.col("n"), F.col("own"), F.col("hn"), F.col("ho")))
+             .select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct())
     tried = written(pairs, "pairs")
     links = written(_linked(tried, sets, threshold), "links")
-    tried = tried.select("a", "b")
-    pivots = 4
+    pivots, grown = 16, True
     while True:
-        roots = written(components(links), "roots")
-        now = (members.join(roots, "node", "left").select("band", "node", "n", F.coalesce("root", "node").alias("root")))
+        if grown:
+            roots = written(components(links), "roots")
+        now = members.join(roots, "node", "left").select("band", "node", "n", "own", "met", F.coalesce("root", "node").alias("root"))
         mixed = now.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
                                         F.count(F.lit(1)).alias("size")).where("lo <> hi").select("band", "size")
         now = written(now.join(mixed, "band"), "mixed")
-        order = Window.partitionBy("band").orderBy("node")
-        heads = (now.select("band", "node", "n", "root", F.row_number().over(order).alias("place"))
+        left = now.agg(F.max("size")).first()[0]
+        grown = False
+        if left is None:
+            break
+        order = Window.partitionBy("band").orderBy(F.desc("met"), "node")
+        heads = (now.select("band", "node", "n", "own", "met", "root", F.row_number().over(order).alias("place"))
                  .where(F.col("place") <= pivots))
-        heads = heads.select("band", F.col("node").alias("a"), F.col("n").alias("an"), F.col("root").alias("ar"))
-        fresh = (now.join(heads, "band").where((F.col("ar") != F.col("root")) & sized(F.col("n"), F.col("an")))
-                 .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+        heads = heads.select(F.col("band").alias("hb"), F.col("node").alias("an"), F.col("n").alias("ac"), F.col("own").alias("ao"), F.col("root").alias("ar"))
+        fresh = (now.join(heads, (F.col("band") == F.col("hb")) & (F.col("ar") != F.col("root"))
+                          & _possible(threshold, F.col("n"), F.col("own"), F.col("ac"), F.col("ao")))
+                 .select(F.least("an", "node").alias("a"), F.greatest("an", "node").alias("b")).distinct()
                  .join(tried, ["a", "b"], "left_anti"))
         fresh = written(fresh, "pairs")
-        left = now.agg(F.max("size")).first()[0]
         if not fresh.isEmpty():
-            links = written(links.unionByName(_linked(fresh, sets, threshold)), "links")
             tried = tried.unionByName(fresh)
-        if left is None or pivots >= left:
+            more = written(_linked(fresh, sets, threshold), "links")
+            if not more.isEmpty():
+                links, grown = links.unionByName(more), True
+        if pivots >= left:
             break
-        pivots *= 4
-    roots = written(components(links), "roots")
+        pivots *= 32
+    if grown:
+        roots = written(components(links), "roots")
     degree = (links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
               .groupBy("node").agg(F.count(F.lit(1)).alias("n_links")))
     classes = (nodes.select("node", F.col("doc_id").alias("low")).join(roots, "node", "left")
