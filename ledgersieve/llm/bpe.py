@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 from ledgersieve.llm import words as W
 from ledgersieve.llm.store import text_key, written
 
-HEAD_WORDS = 1 << 19
+HEAD_WORDS = 1 << 20
 LETTER, NUMBER, OTHER, SPACE, SPECIAL = range(5)
 
 
@@ -187,21 +187,24 @@ def word_table(docs: DataFrame, path: str) -> DataFrame:
             data = gather(flat, begin, size[at])
             border = np.r_[0, np.cumsum(size[at])].astype(np.int32)
             word = pa.Array.from_buffers(pa.binary(), len(unique), [None, pa.py_buffer(border), pa.py_buffer(data)])
-            yield pa.RecordBatch.from_arrays([pa.array(unique.view(np.int64)), word, pa.array(total)], names=["h", "word", "n"])
+            yield pa.RecordBatch.from_arrays([word, pa.array(total)], names=["word", "n"])
 
     def encode(batches):
         tokenizer = _tokenizer(path)
         for batch in batches:
-            texts = [w.decode("utf-8") for w in batch.column(1).to_pylist()]
+            data = batch.column(0).cast(pa.string())
+            raw, offsets = W.text_bytes(data)
+            h = W.span_hash(W.BYTE_VALUE[raw], offsets[:-1], offsets[1:])
+            texts = data.to_pylist()
             ids = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
             border = np.cumsum([0, *map(len, ids)]).astype(np.int32)
             flat = np.fromiter((i for x in ids for i in x), np.int32, border[-1])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.ListArray.from_arrays(border, pa.array(flat))], names=["h", "n", "ids"])
+                [pa.array(h.view(np.int64)), batch.column(1), pa.ListArray.from_arrays(border, pa.array(flat))], names=["h", "n", "ids"])
 
-    words = docs.select(F.col("text").cast("string")).mapInArrow(count, "h long, word binary, n long")
-    distinct = words.groupBy("h").agg(F.min("word").alias("word"), F.sum("n").alias("n"))
-    return written(distinct.select("h", "word", "n").mapInArrow(encode, "h long, n long, ids array<int>"), "words")
+    words = docs.select(F.col("text").cast("string")).mapInArrow(count, "word binary, n long")
+    distinct = words.groupBy("word").agg(F.sum("n").alias("n"))
+    return written(distinct.select("word", "n").mapInArrow(encode, "h long, n long, ids array<int>"), "words")
 
 
 class Table:
@@ -267,7 +270,7 @@ def encode_decode(docs: DataFrame, path: str, digests: bool = True, head_words:
     head = docs.sparkSession.sparkContext.broadcast(head_table(words, head_words))
 
     def pack(batches):
-        squeeze = zstandard.ZstdCompressor(level=1)
+        squeeze = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             packed = [squeeze.compress(t.encode()) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())],
