@@ -279,9 +279,11 @@ def split_groups(transactions: DataFrame, rule: C.SplitRule = C.DEFAULT.split) -
 
 def split_payments(transactions: DataFrame, rule: C.SplitRule = C.DEFAULT.split) -> DataFrame:
     keys = ["date", "vendor_key"]
-    rows = debits(transactions).select(*keys, "txn_seq", "txn_id", "source_file", "source_sheet", "source_row")
-    listed = _first_rows(rows, keys, ["txn_seq"], rule.listed_ids)
     groups = split_groups(transactions, rule)
+    # Only payments of a qualifying vendor-day are ranked.
+    rows = (debits(transactions).select(*keys, "txn_seq", "txn_id", "source_file", "source_sheet", "source_row")
+            .join(groups.select(*keys), keys, "left_semi"))
+    listed = _first_rows(rows, keys, ["txn_seq"], rule.listed_ids)
     found = listed.withColumn("source", F.when(F.col("_rank") <= rule.listed_sources, _pointer())).join(groups, keys)
     gathered = found.groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct("_rank", "txn_id", "source"))).alias("items"),

@@ -4,9 +4,11 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import compare, connect
+from ledgersieve.plans import registry
+from oracle import catalog
 
 SF_DIR = "/root/testdata/sf0.001"
-SQL = entry.oracle_sql()
+SQL = catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +23,8 @@ def compiled(spark):
 
 
 def test_every_query_has_sql():
-    assert sorted(entry.queries()) == sorted(SQL)
+    assert sorted(registry.queries()) == sorted(SQL)
+    assert set(SQL) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
