@@ -78,10 +78,29 @@ def text_key():
     return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
+#: Entries of the table that tells which rows a join may touch, at any size of input.
+BUCKETS = 1 << 20
+
+
+def parted(rows: DataFrame, marks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows that may meet a ``key`` of ``marks``, and those that can't.
+
+    Keys are told apart by their bucket; the table of marked buckets has at most
+    ``BUCKETS`` numbers (8 MB) and is broadcast for that.  So an exact join with few
+    marks shuffles few texts, and with many marks no more than all of them.
+    """
+    bucket = F.pmod("key", F.lit(BUCKETS)).cast("int").alias("bucket")
+    marked = F.broadcast(marks.select(bucket).distinct())
+    rows = rows.withColumn("bucket", bucket)
+    return rows.join(marked, "bucket", "left_semi").drop("bucket"), rows.join(marked, "bucket", "left_anti").drop("bucket")
+
+
 def without(docs: DataFrame, flagged: DataFrame) -> DataFrame:
     """Rows of ``docs``, with all their columns, whose (doc_id, text) is not in ``flagged`` (doc_id, key)."""
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
                        F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"))
+    flagged = written(flagged.select("doc_id", "key"), "flagged")
+    maybe, never = parted(rows, flagged)
     gone = flagged.select(F.col("doc_id").alias("g_id"), F.col("key").alias("g_key"))
-    return rows.join(gone, rows["doc_id"].eqNullSafe(gone["g_id"]) & (rows["key"] == gone["g_key"]),
-                     "left_anti").select("row.*")
+    left = maybe.join(gone, maybe["doc_id"].eqNullSafe(gone["g_id"]) & (maybe["key"] == gone["g_key"]), "left_anti")
+    return never.unionByName(left).select("row.*")

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgersieve.llm.store import ascii_lower, text_key, without, written
+from ledgersieve.llm.store import ascii_lower, parted, text_key, without, written
 
 GRAM, GRAMS = 5, 6
 WINDOW = GRAM + GRAMS - 1
@@ -110,7 +110,8 @@ def _contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     # A set of places in one text: no longer than ten times the text.
     spans = written(spans.groupBy("doc_id", "key").agg(F.collect_set(F.struct("s", "m")).alias("spans")), "spans")
     same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["key"] == b["key"])
-    texts = source.join(spans, same(source, spans)).select(source["doc_id"], source["key"], "text", "spans")
+    maybe, _ = parted(source, spans)
+    texts = maybe.join(spans, same(maybe, spans)).select(maybe["doc_id"], maybe["key"], "text", "spans")
     texts = texts.withColumn("words", word_list(F.col("text")))
     tried = texts.select("doc_id", "key", F.explode(F.transform("spans", lambda x: F.struct(
         x["s"].alias("s"), x["m"].alias("m"), _digest("words", x["s"], x["m"]).alias("digest")))).alias("x")).select(
