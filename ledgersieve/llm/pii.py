@@ -21,7 +21,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgersieve.llm.store import text_key, written
+from ledgersieve.llm.store import parted, text_key, written
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 
@@ -224,9 +224,10 @@ def redacted(docs: DataFrame) -> DataFrame:
     merged = (every.withColumn("block", block).groupBy("doc_id", "key", "block").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.min_by("kind", F.struct("start", "end", "kind")).alias("kind")))
     merged = merged.groupBy("doc_id", "key").agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias("cuts"))
-    merged = merged.select(F.col("doc_id").alias("s_id"), F.col("key").alias("s_key"), "cuts")
+    merged = written(merged.select(F.col("doc_id").alias("s_id"), F.col("key").alias("s_key"), "cuts"), "cuts")
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
                        F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"))
+    rows, never = parted(rows, merged.select(F.col("s_key").alias("key")))
     rows = rows.join(merged, rows["doc_id"].eqNullSafe(merged["s_id"]) & (rows["key"] == merged["s_key"]), "left")
     text = F.col("row")["text"].cast("string")
     part = lambda a, b: F.substring(text, (a + 1).cast("int"), (b - a).cast("int"))
@@ -245,4 +246,4 @@ def redacted(docs: DataFrame) -> DataFrame:
             return F.when(F.col("cuts").isNull(), F.col("row")[c]).otherwise(F.length("new")).cast(kinds[c]).alias(c)
         return F.col("row")[c].alias(c)
 
-    return rows.select(*(column(c) for c in docs.columns))
+    return rows.select(*(column(c) for c in docs.columns)).unionByName(never.select("row.*"))
