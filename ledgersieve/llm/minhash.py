@@ -169,11 +169,32 @@ def _bounds(sets: DataFrame) -> DataFrame:
         "node", "n", F.coalesce("own", F.lit(0)).cast("int").alias("own")), "bounds")
 
 
-def _possible(threshold: float, n, own, other_n, other_own):
-    """False only where two sets can't be ``threshold`` alike: no more than the shingles that
-    neither has alone can be common."""
-    common = F.least(n - own, other_n - other_own)
-    return common >= F.lit(threshold) * (n + other_n - common)
+def _anchored(members: DataFrame, hubs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, anchor, shared): one hub for each member, the same for most of a group, and what they have in common."""
+    near = members.join(hubs, "band").groupBy("node").agg(F.max_by("hub", F.struct("hub_met", "hub")).alias("anchor"))
+    a = sets.select("node", F.col("shingles").alias("sa"))
+    b = sets.select(F.col("node").alias("anchor"), F.col("shingles").alias("sb"))
+    return written(near.join(a, "node").join(b, "anchor").select(
+        "node", "anchor", F.size(F.array_intersect("sa", "sb")).alias("shared")), "anchors")
+
+
+def _possible(threshold: float, a: str, b: str):
+    """False only where two sets can't be ``threshold`` alike; exact, from counts alone.
+
+    Shingles that one set has alone can't be common.  If both have the same anchor, what
+    is common lies in the anchor, or outside it and is alone in neither.
+    """
+    of = lambda side, name: F.col(f"{side}_{name}")
+    n, own, shared = (lambda side: of(side, "n")), (lambda side: of(side, "own")), (lambda side: of(side, "shared"))
+    common = F.least(n(a) - own(a), n(b) - own(b))
+    outside = F.greatest(F.least(n(a) - shared(a) - own(a), n(b) - shared(b) - own(b)), F.lit(0))
+    same = of(a, "anchor") == of(b, "anchor")
+    common = F.when(same, F.least(common, F.least(shared(a), shared(b)) + outside)).otherwise(common)
+    return common >= F.lit(threshold) * (n(a) + n(b) - common)
+
+
+def _sided(side: str, *names: str):
+    return [F.col(c).alias(f"{side}_{c}") for c in names]
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -227,10 +248,16 @@ def _classes(docs: DataFrame, k: int, threshold: float, bands: int, rows: int) -
     able = bounds.where(F.col("n") - F.col("own") >= F.lit(threshold) * F.col("n"))
     met = members.groupBy("node").agg(F.sum("c").alias("met"))
     members = written(members.select("band", "node").join(able, "node").join(met, "node"), "members")
-    hubs = members.groupBy("band").agg(F.max_by("node", F.struct("met", "node")).alias("hub"))
-    hub_bounds = bounds.select(F.col("node").alias("hub"), F.col("n").alias("hn"), F.col("own").alias("ho"))
-    pairs = (members.join(hubs, "band").where("node <> hub").select("hub", "node", "n", "own").distinct()
-             .join(hub_bounds, "hub").where(_possible(threshold, F.col("n"), F.col("own"), F.col("hn"), F.col("ho")))
+    hubs = members.groupBy("band").agg(F.max_by("node", F.struct("met", "node")).alias("hub"), F.max("met").alias("hub_met"))
+    hubs = written(hubs, "hubs")
+    facts = ("node", "n", "own", "anchor", "shared")
+    anchors = _anchored(members, hubs, sets)
+    members = written(members.join(anchors, "node"), "members")
+    about = members.select(*facts).distinct()
+    pairs = (members.join(hubs, "band").where("node <> hub").select("hub", "node").distinct()
+             .join(about.select(*_sided("x", *facts)).withColumnRenamed("x_node", "node"), "node")
+             .join(about.select(*_sided("y", *facts)).withColumnRenamed("y_node", "hub"), "hub")
+             .where(_possible(threshold, "x", "y"))
              .select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct())
     tried = written(pairs, "pairs")
     links = written(_linked(tried, sets, threshold), "links")
@@ -238,7 +265,8 @@ def _classes(docs: DataFrame, k: int, threshold: float, bands: int, rows: int) -
     while True:
         if grown:
             roots = written(components(links), "roots")
-        now = members.join(roots, "node", "left").select("band", "node", "n", "own", "met", F.coalesce("root", "node").alias("root"))
+        now = members.join(roots, "node", "left").select(
+            "band", *facts, "met", F.coalesce("root", "node").alias("root"))
         mixed = now.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
                                         F.count(F.lit(1)).alias("size")).where("lo <> hi").select("band", "size")
         now = written(now.join(mixed, "band"), "mixed")
@@ -247,12 +275,11 @@ def _classes(docs: DataFrame, k: int, threshold: float, bands: int, rows: int) -
         if left is None:
             break
         order = Window.partitionBy("band").orderBy(F.desc("met"), "node")
-        heads = (now.select("band", "node", "n", "own", "met", "root", F.row_number().over(order).alias("place"))
-                 .where(F.col("place") <= pivots))
-        heads = heads.select(F.col("band").alias("hb"), F.col("node").alias("an"), F.col("n").alias("ac"), F.col("own").alias("ao"), F.col("root").alias("ar"))
-        fresh = (now.join(heads, (F.col("band") == F.col("hb")) & (F.col("ar") != F.col("root"))
-                          & _possible(threshold, F.col("n"), F.col("own"), F.col("ac"), F.col("ao")))
-                 .select(F.least("an", "node").alias("a"), F.greatest("an", "node").alias("b")).distinct()
+        heads = now.withColumn("place", F.row_number().over(order)).where(F.col("place") <= pivots)
+        heads = heads.select(F.col("band").alias("y_band"), *_sided("y", *facts, "root"))
+        others = now.select("band", *_sided("x", *facts, "root"))
+        fresh = (others.join(heads, (F.col("band") == F.col("y_band")) & (F.col("x_root") != F.col("y_root")) & _possible(threshold, "x", "y"))
+                 .select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
                  .join(tried, ["a", "b"], "left_anti"))
         fresh = written(fresh, "pairs")
         if not fresh.isEmpty():
