@@ -52,9 +52,11 @@ def paths(messages: DataFrame, branches: int = 1) -> DataFrame:
             break
         # ``sum`` covers the node and all before ``up``; ``far`` counts the steps to ``up``, or to the root.
         high = step.select("tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("far").alias("far2"), F.col("sum").alias("sum2"))
-        step = written(step.join(high, ["tree", "up"], "left").select(
+        # Only nodes that have not met their root go on, so a few long chains cost no more than themselves.
+        moved = step.where("up is not null").join(high, ["tree", "up"], "left").select(
             "tree", "node", F.col("up2").alias("up"), (F.col("far") + F.coalesce("far2", F.lit(0))).alias("far"),
-            (F.col("sum") + F.coalesce("sum2", F.lit(0.0))).alias("sum"), "score"), "tree")
+            (F.col("sum") + F.coalesce("sum2", F.lit(0.0))).alias("sum"), "score")
+        step = written(step.where("up is null").select(*moved.columns).unionByName(moved), "tree")
     depth = step.where("up is null").select("tree", "node", F.col("far").alias("place"), (F.col("sum") / (F.col("far") + 1)).alias("mean"))
     best = Window.partitionBy("tree").orderBy(F.desc("mean"), "node")
     chosen = (leaves.join(depth, ["tree", "node"]).withColumn("rank", F.row_number().over(best))
