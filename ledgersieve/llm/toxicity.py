@@ -3,7 +3,9 @@
 Features are the distinct hashed words, word pairs and skip-grams (one or two words left
 out between) of the whole text.  FTRL-proximal keeps two numbers per coordinate, so each
 coordinate has its own learning rate, and its L1 term leaves most weights exactly zero.
-Only the non-zero weights are kept; they are what scoring broadcasts.
+Only the non-zero weights are kept; they are what scoring broadcasts.  The bias has no L1
+term.  Where no coordinate but the bias has a weight, nothing tells texts apart: no text
+is then predicted toxic, and none is dropped.
 
 Training is parameter mixing: Spark deals the labelled rows to shards, each
 runs the sequential rule over its rows, and a coordinate's weight is the mean over
@@ -62,19 +64,20 @@ def ftrl(rows: list[tuple[np.ndarray, int]], epochs: int = EPOCHS) -> Weights:
     z = np.zeros(1 << SPACE_BITS, np.float32)
     n = np.zeros(1 << SPACE_BITS, np.float32)
 
-    def weights(zi, ni):
-        return np.where(np.abs(zi) <= L1, 0.0, -(zi - np.sign(zi) * L1) / ((BETA + np.sqrt(ni)) / ALPHA + L2))
+    def weights(zi, ni, place):
+        least = np.where(place == BIAS, 0.0, L1)
+        return np.where(np.abs(zi) <= least, 0.0, -(zi - np.sign(zi) * least) / ((BETA + np.sqrt(ni)) / ALPHA + L2))
 
     for _ in range(epochs):
         for place, label in rows:
             zi, ni = z[place], n[place]
-            w = weights(zi, ni)
+            w = weights(zi, ni, place)
             gradient = 1 / (1 + np.exp(-np.clip(w.sum(), -35, 35))) - label
             more = ni + gradient * gradient
             z[place] = zi + gradient - (np.sqrt(more) - np.sqrt(ni)) / ALPHA * w
             n[place] = more
-    kept = np.flatnonzero(np.abs(z) > L1)
-    return Weights(kept, weights(z[kept], n[kept]))
+    kept = np.flatnonzero((np.abs(z) > L1) | ((np.arange(len(z)) == BIAS) & (z != 0)))
+    return Weights(kept, weights(z[kept], n[kept], kept))
 
 
 def sample(labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
@@ -119,7 +122,7 @@ def train(docs: DataFrame, labelled: DataFrame, max_rows: int = MAX_ROWS, epochs
     dealt = rows.withColumn("shard", shard).repartition(shards, "shard").sortWithinPartitions("shard", "h", "text")
     learnt = dealt.select("text", "label").mapInArrow(run, "place long, weight double")
     mixed = learnt.groupBy("place").agg((F.sum("weight") / shards).alias("weight"))
-    return mixed.orderBy(F.abs("weight").desc(), "place").limit(MAX_WEIGHTS)
+    return mixed.orderBy(F.col("place") != BIAS, F.abs("weight").desc(), "place").limit(MAX_WEIGHTS)
 
 
 def collected(weights: DataFrame) -> Weights:
@@ -128,6 +131,11 @@ def collected(weights: DataFrame) -> Weights:
     return Weights(table["place"].to_numpy().astype(np.int64), table["weight"].to_numpy())
 
 
+def learnt(weights: Weights) -> bool:
+    """Whether any coordinate but the bias has a weight."""
+    return bool(np.any((weights.place != BIAS) & (weights.value != 0)))
+
+
 def _scores(weights: Weights):
     """A function from an array of texts to their scores."""
     dense = np.zeros(1 << SPACE_BITS, np.float32)
@@ -159,7 +167,9 @@ def score(docs: DataFrame, weights: Weights) -> DataFrame:
 
 
 def kept(docs: DataFrame, weights: Weights) -> DataFrame:
-    """Rows of ``docs``, with all their columns, whose score is below one half."""
+    """Rows of ``docs``, with all their columns, whose score is below one half; all rows if nothing is learnt."""
+    if not learnt(weights):
+        return docs
     shared = docs.sparkSession.sparkContext.broadcast(weights)
     place = docs.columns.index("text")
 
@@ -185,8 +195,10 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted for each row of ``docs``.
 
     Learns ``labels.toxic`` from rows whose crc32(doc_id) mod 5 is not 0.  A null doc_id is not held out (false)
-    and is scored like any other; repeated rows are scored each.
+    and is scored like any other; repeated rows are scored each.  If nothing is learnt (no
+    usable label, or too few), every text has the same score and none is predicted toxic.
     """
-    scored = score(docs, model(docs, labels))
+    weights = model(docs, labels)
+    scored = score(docs, weights)
     return scored.select("doc_id", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"), "score",
-                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+                         ((F.col("score") >= 0.5) & F.lit(learnt(weights))).cast("int").alias("predicted"))

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import corpus_pipeline
 import numpy as np
 
 from ledgersieve.llm import toxicity as X
@@ -46,3 +47,23 @@ def test_odd_rows(spark, odd, none, docs_of):
     assert {r["score"] for r in X.toxicity(odd, labels.where("doc_id = 100")).collect()} == {0.5}
     kept = X.kept(odd, X.model(odd, labels))
     assert kept.columns == odd.columns
+
+
+def test_nothing_learnt_drops_nothing(spark, docs_of, tmp_path):
+    docs, labels, _ = corpus(spark, docs_of, 40)
+    usable = labels.where(X.fold() != 0)
+    cases = {
+        "empty": labels.limit(0), "null": labels.withColumn("toxic", X.F.lit(None).cast("int")),
+        "strange": labels.withColumn("doc_id", X.F.col("doc_id") + 1000), "held_out": labels.where(X.fold() == 0),
+        "one": usable.limit(1).withColumn("toxic", X.F.lit(1)),
+    }
+    for name, some in cases.items():
+        folder = str(tmp_path / name)
+        some.write.parquet(f"{folder}/labels.parquet")
+        assert corpus_pipeline.drop_toxic(spark, docs, folder).count() == docs.count(), name
+        assert {r["predicted"] for r in X.toxicity(docs, some).collect()} == {0}, name
+
+
+def test_the_bias_has_no_penalty():
+    learnt = X.ftrl([(np.array([X.BIAS, n + 1]), 0) for n in range(3)], epochs=1)
+    assert list(learnt.place) == [X.BIAS] and learnt.value[0] < 0 and not X.learnt(learnt)
