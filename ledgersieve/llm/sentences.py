@@ -1,12 +1,16 @@
 """Repeated runs of consecutive sentences.
 
 A sentence ends at a full stop, question or exclamation mark before white space, or at a
-line's end.  Sentences are cut further before words chosen by their hash, one in ``CUT``,
-so a passage copied into the middle of another sentence is cut as before; a piece has
-``LONGEST`` words at most.  A run is the
-fewest consecutive sentences, ``RUN`` at least, that have ``LEAST_WORDS`` words together.
-Every run is hashed by its words; runs are joined over all documents, and the sentences
+line's end.  Sentences are cut further at minimisers: before the word of smallest hash in
+every window of ``WINDOW`` words that lies in one sentence.  A run is the
+fewest consecutive pieces, ``RUN`` at least, that have ``LEAST_WORDS`` words together.
+Every run is hashed by its words; runs are joined over all documents, and the pieces
 of every run that is not the first of its kind are removed.
+
+A cut ``WINDOW - 1`` words or more inside a copied passage depends on the passage alone,
+and any ``WINDOW`` words hold a cut.  So any 6 * ``WINDOW`` - 2 = 46 words (with their
+sentence ends) hold 4 cuts that all copies share, hence a whole run, and no longer passage is missed.  Within
+whole sentences all cuts depend on them alone, so a run of whole sentences is found too.
 """
 
 from __future__ import annotations
@@ -19,9 +23,10 @@ from ledgersieve.llm import words as W
 from ledgersieve.llm.spans import bit_table, in_table, merged
 from ledgersieve.llm.store import written
 
-RUN, CUT, LONGEST = 3, 8, 64
+RUN, WINDOW = 3, 8
 #: Fewer words say too little: short sentences repeat by chance.
 LEAST_WORDS = 15
+PLACE_BITS = 24
 _MARK = np.zeros(256, bool)
 _MARK[[ord(c) for c in ".!?"]] = True
 
@@ -39,10 +44,16 @@ def sentence_starts(words: W.Words) -> np.ndarray:
     begin = np.ones(n, bool)
     begin[1:] = sums[words.start[1:]] > sums[words.end[:-1]]
     begin[words.first[:-1][np.diff(words.first) > 0]] = True
-    begin |= W.mix(words.hash) % np.uint64(CUT) == 0
-    place = np.flatnonzero(begin)
-    within = np.arange(n) - np.repeat(place, np.diff(np.r_[place, n]))
-    return np.flatnonzero(within % LONGEST == 0)
+    bits = max(PLACE_BITS, int(n).bit_length())
+    low = np.uint64((1 << bits) - 1)
+    key = (W.mix(words.hash) & ~low) | np.arange(n, dtype=np.uint64)
+    for step in (1, 2, 4):
+        key = np.minimum(key[:-step], key[step:]) if len(key) > step else key[:0]
+    if len(key):
+        sentence = np.cumsum(begin)
+        whole = sentence[: len(key)] == sentence[WINDOW - 1 :]
+        begin[(key[whole] & low).astype(np.int64)] = True
+    return np.flatnonzero(begin)
 
 
 def runs(words: W.Words):

@@ -80,6 +80,21 @@ def test_a_passage_inside_other_sentences_is_found(docs_of):
     assert set(found) == set(range(1, 20)) and all(r["n_repeated"] > 40 for r in found.values())
 
 
+def test_every_unpunctuated_passage_of_51_words_is_found(docs_of):
+    draw = random.Random(11)
+    run = lambda n: ["".join(draw.choices("abcdefgh", k=5)) for _ in range(n)]
+    docs = []
+    for n in range(300):
+        passage = run(51)
+        docs += [(2 * n, " ".join(run(3 + n % 17) + passage + run(n % 23))), (2 * n + 1, " ".join(run(1 + n % 19) + passage + run(n % 13)))]
+    need = {i for i, at in covered(docs, 50).items() if at}
+    assert need == set(range(1, 600, 2))
+    found = found_words(by_id(sentences.repeated_sentences(docs_of(docs))))
+    assert need == set(found)
+    may = covered(docs, sentences.LEAST_WORDS)
+    assert all(have <= may[i] for i, have in found.items())
+
+
 @pytest.mark.parametrize("operator", [suffixes.repeated_passages, sentences.repeated_sentences])
 def test_odd_rows(operator, odd, none, docs_of):
     found = by_id(operator(odd))
