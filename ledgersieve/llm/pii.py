@@ -45,7 +45,7 @@ _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 _SECRET_WORDS = r"""(?i)(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|key)["']?\s*[=:]\s*["']?$"""
 CONTEXT = 32
 
-#: Bounds of training: candidates (thinned by a hash beyond that), trees and depth.
+#: Bounds of training: candidates (thinned by a hash beyond that, each kind and label for itself), trees and depth.
 MAX_CANDIDATES, TREES, DEPTH = 20_000, 10, 3
 #: Precision on held-out candidates that a kind's threshold has to reach.
 PRECISION = 0.9
@@ -142,21 +142,25 @@ def added(rows: DataFrame, precision: float = PRECISION, max_candidates: int = M
 
     None if the candidates have only one label, so that nothing can be learnt.
     """
-    counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if len(counts) < 2:
+    counts = {(r["as"], r["label"]): r["n"] for r in rows.groupBy("as", "label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len({label for _, label in counts}) < 2:
         return None
     inputs = [c for c in rows.columns if c.startswith("f_")]
     rows = VectorAssembler(inputCols=inputs, outputCol="features").transform(rows).drop(*inputs)
-    total, fold = sum(counts.values()), F.pmod(F.xxhash64("h", F.lit(7)), F.lit(5))
+    fold = F.pmod(F.xxhash64("h", F.lit(7)), F.lit(5))
     part = rows
-    if total > max_candidates:
-        part = rows.where(F.pmod(F.xxhash64("h", F.lit(1)), F.lit(1 << 20)) < int(max_candidates / total * (1 << 20)))
+    if sum(counts.values()) > max_candidates:
+        # Each kind and label has an equal share of the bound, so that a rare kind is learnt beside millions of others.
+        share = max_candidates / len(counts)
+        bound = reduce(lambda a, c: a.when((F.col("as") == c[0]) & (F.col("label") == c[1]), int(min(1, share / counts[c]) * (1 << 20))), counts, F)
+        part = rows.where(F.pmod(F.xxhash64("h", F.lit(1)), F.lit(1 << 20)) < bound)
     learn = written(part.where(fold != 0).select("features", "label"), "learn")
     if learn.select("label").distinct().count() < 2:
         return None
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=1).fit(learn)
     score = vector_to_array("probability")[1]
-    seen = model.transform(part.where(fold == 0)).select("as", F.floor(score * 100).alias("bin"), "label")
+    # Only the fit is bounded; the thresholds come from all candidates held out from it.
+    seen = model.transform(rows.where(fold == 0)).select("as", F.floor(score * 100).alias("bin"), "label")
     table = seen.groupBy("as", "bin").agg(F.sum("label").alias("yes"), F.count(F.lit(1)).alias("n")).collect()
     least = {}
     for kind in KINDS:

@@ -68,3 +68,16 @@ def test_odd_rows(odd, none):
     assert pii.personal_data(none).count() == 0
     cleaned = pii.redacted(odd)
     assert cleaned.columns == odd.columns and sorted(map(str, cleaned.select("doc_id", "text").collect())) == sorted(map(str, odd.select("doc_id", "text").collect()))
+
+
+def test_a_rare_kind_is_found_beside_many_others(docs_of):
+    """The bound of the fit does not thin what thresholds are calibrated on."""
+    draw = random.Random(4)
+    token = lambda: "".join(draw.choices("0123456789abcdef", k=40))
+    texts = [(n, " ".join(f"of {draw.randrange(10 ** 7)}-{draw.randrange(100)} and" for _ in range(20))) for n in range(400)]
+    texts += [(1000 + n, f'token = "{token()}" x_very_long_identifier_of_{n}_parts') for n in range(40)]
+    docs = docs_of(texts)
+    found = pii.written(pii.matches(docs), "found")
+    rows = pii.candidates(found, found.where((pii.F.col("source") == "base") & pii.valid()))
+    assert rows.count() > 8000
+    assert pii.added(rows, max_candidates=400).where("kind = 'secret'").count() >= 36
