@@ -4,8 +4,10 @@ Base spans (e-mail, IP address, card, phone) follow fixed patterns and checks an
 stay.  High-recall generators propose further spans, which may overlap: words around an
 ``@``, dotted numbers, runs of digits with signs between, long mixed tokens.  Boosted
 trees score a candidate by its format and the text around it; their labels are weak
-(it begins where a base span does; for tokens, a word such as ``token`` or ``key`` is
-assigned).  A threshold for each kind is calibrated on candidates held out from training.
+(a word such as ``call``, ``mail`` or ``host`` stands before it, or its digits are grouped
+as is agreed for phones and cards; for tokens, a word such as ``token`` or ``key`` is
+assigned).  No label looks at base spans, and candidates that begin one are neither
+learnt from nor scored, as they stay anyway.  The words are no feature.  A threshold for each kind is calibrated on candidates held out from training.
 
 Only DataFrame functions and the JVM's tree learner are used.  Regular expressions give
 matches without places, so a match carries the length of the gap before it, and a running
@@ -43,6 +45,14 @@ CANDIDATE = {
 }
 _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 _SECRET_WORDS = r"""(?i)(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|key)["']?\s*[=:]\s*["']?$"""
+#: Words before a candidate, with at most a few signs between, that say what it is.
+_CUE = {k: rf"(?i)(?<![a-z])(?:{w})(?![a-z])[^0-9a-z\n]{{0,6}}(?:(?:is|at|us|me|no|number|address)(?![a-z])[^0-9a-z\n]{{0,4}}){{0,2}}$" for k, w in {
+    "email": "e-?mails?|mail|mailto|contact|write", "ip": "ip|ipv4|host|server|ping|gateway|dns|addr",
+    "phone": "call|calls|tel|telephone|phone|mobile|cell|fax|dial|whatsapp|sms", "card": "card|visa|mastercard|amex|debit|credit"}.items()}
+#: Agreed groups of digits: 3-3-4 with or without a country's number, and those printed on cards.
+_GROUPED = {
+    "phone": r"^(?:\+?[0-9]{1,3}[\x20.-]?)?(?:\([0-9]{3}\)[\x20.-]?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}$",
+    "card": r"^[0-9]{4}([\x20./-])(?:[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{6}\1[0-9]{5})$"}
 CONTEXT = 32
 
 #: Bounds of training: candidates (thinned by a hash beyond that, each kind and label for itself), trees and depth.
@@ -110,7 +120,9 @@ def _features() -> dict[str, Column]:
         "plus": yes(found.startswith("+")), "bracket": yes(found.contains("(")), "at": yes(found.contains("@")),
         "dot_after_at": yes(found.rlike(r"@[^.]+\.[A-Za-z]{2,}")),
         "one_sign": F.size(F.array_distinct(F.split(F.regexp_replace(found, "[0-9A-Za-z]", ""), ""))).cast("double"),
-        "quote_before": yes(before.rlike("[\"']$")), "sign_before": yes(before.rlike(r"[=:]\s*[\"']?$")),
+        "quote_before": yes(before.rlike("[\"']$")),
+        # Signs after a cue would give the label of formats away.
+        "sign_before": yes((F.col("kind") == "secret") & before.rlike(r"[=:]\s*[\"']?$")),
         "quote_after": yes(after.rlike("^[\"']")), "space_before": yes(before.rlike(r"(?:^|\s)$")),
         "space_after": yes(after.rlike(r"^(?:\s|$)")), "version_before": yes(before.rlike(r"(?i)(?:version|v\.?|by|nc)\s*$")),
         "digit_near": yes(before.rlike(r"[0-9]\s*$") | after.rlike(r"^\s*[0-9]")),
@@ -124,6 +136,16 @@ def _kind() -> Column:
         F.col("found").startswith("+") | (F.length(_digits()) <= 12), "phone").otherwise("card")
 
 
+def _known() -> Column:
+    """The weak label of a candidate, from its cue or its groups of digits."""
+    cue = lambda kind: F.col("before").rlike(_CUE[kind])
+    grouped = lambda kind: F.col("found").rlike(_GROUPED[kind])
+    n, kind = F.length(_digits()), _kind()
+    return (F.when(kind == "secret", F.col("before").rlike(_SECRET_WORDS)).when(kind == "email", cue("email")).when(kind == "ip", cue("ip"))
+            .when(kind == "phone", n.between(7, 15) & (cue("phone") | grouped("phone")))
+            .otherwise(n.between(13, 19) & (cue("card") | grouped("card")) & F.call_function("luhn_check", _digits())))
+
+
 def candidates(found: DataFrame, base: DataFrame) -> DataFrame:
     """Candidates with their features, weak label and place, written."""
     mixed = (F.col("kind") != "secret") | (F.col("found").rlike("[0-9]") & F.col("found").rlike("[A-Za-z]"))
@@ -131,9 +153,8 @@ def candidates(found: DataFrame, base: DataFrame) -> DataFrame:
     starts = base.select(F.col("doc_id").alias("b_id"), F.col("key").alias("b_key"), F.col("start").alias("b_start")).distinct()
     rows = rows.join(starts, rows["doc_id"].eqNullSafe(F.col("b_id")) & (rows["key"] == F.col("b_key"))
                      & (rows["start"] == F.col("b_start")), "left")
-    known = F.when(F.col("kind") == "secret", F.col("before").rlike(_SECRET_WORDS)).otherwise(F.col("b_start").isNotNull())
     return written(rows.select("doc_id", "key", _kind().alias("as"), "start", "end", F.col("b_start").isNotNull().alias("is_base"),
-                               known.cast("double").alias("label"), F.xxhash64("found", "before", "after").alias("h"),
+                               _known().cast("double").alias("label"), F.xxhash64("found", "before", "after").alias("h"),
                                *(c.alias(f"f_{k}") for k, c in _features().items())), "candidates")
 
 
@@ -142,6 +163,7 @@ def added(rows: DataFrame, precision: float = PRECISION, max_candidates: int = M
 
     None if the candidates have only one label, so that nothing can be learnt.
     """
+    rows = rows.where(~F.col("is_base"))
     counts = {(r["as"], r["label"]): r["n"] for r in rows.groupBy("as", "label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len({label for _, label in counts}) < 2:
         return None
@@ -172,7 +194,7 @@ def added(rows: DataFrame, precision: float = PRECISION, max_candidates: int = M
     if not least:
         return None
     enough = reduce(lambda a, b: a | b, ((F.col("as") == k) & (F.col("score") >= v) for k, v in least.items()))
-    scored = model.transform(rows.where(~F.col("is_base"))).withColumn("score", score)
+    scored = model.transform(rows).withColumn("score", score)
     return scored.where(enough).select("doc_id", "key", F.col("as").alias("kind"), "start", "end")
 
 

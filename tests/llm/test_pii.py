@@ -81,3 +81,18 @@ def test_a_rare_kind_is_found_beside_many_others(docs_of):
     rows = pii.candidates(found, found.where((pii.F.col("source") == "base") & pii.valid()))
     assert rows.count() > 8000
     assert pii.added(rows, max_candidates=400).where("kind = 'secret'").count() >= 36
+
+
+def test_phones_without_a_plus_are_added(docs_of):
+    draw = random.Random(5)
+    n = lambda size: "".join(draw.choices("0123456789", k=size))
+    texts, want = [], {}
+    for i in range(400):
+        phone = [f"({n(3)}) {n(3)}-{n(4)}", f"{n(3)}-{n(3)}-{n(4)}"][i % 2]
+        head = f"Ref {n(2)}/{n(5)} of {1900 + i % 120}-{n(2)}-{n(2)}, {'call ' if i % 4 < 2 else 'or '}"
+        texts.append((i, f"{head}{phone} or +1 {n(3)} {n(3)} {n(4)} now."))
+        want[i] = f"phone:{len(head)}:{len(head) + len(phone)}"
+    rows = by_id(pii.personal_data(docs_of(texts)))
+    check(rows, texts)
+    assert sum(want[i] in rows[i]["spans"].split(",") for i in want) >= 390
+    assert sum("phone:4:" in rows[i]["spans"] for i in want) <= 20
