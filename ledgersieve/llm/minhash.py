@@ -8,6 +8,11 @@ Jaccard similarity of their weighted shingles.  A shingle whose next arrival is
 than the latest first arrival of the document ends early; all shingles of a batch go
 through these rounds together.
 
+Repeats that two texts do not share lower that probability below their plain similarity.
+So a text in which a shingle repeats has the bands of a second signature too, in which all
+shingles weigh one; those of other texts are the same in both, so any two texts meet by
+their plain similarity as well.
+
 Documents that agree in one band of components are candidates.  The plain Jaccard
 similarity of the two shingle sets, computed from the texts, decides.
 """
@@ -23,7 +28,7 @@ from ledgersieve.llm.components import components
 from ledgersieve.llm.store import text_key, without, written
 
 SHINGLE, SIMILARITY = 5, 0.8
-#: A pair at 0.8 is missed by all bands with probability (1 - 0.8**4)**20 = 3e-5.
+#: A pair at plain similarity 0.8 is missed by all bands with probability (1 - 0.8**4)**20 = 3e-5 at most.
 BANDS, ROWS = 20, 4
 #: Bits of the fixed-size filter that thins the second scan of the texts.
 FILTER_BITS = 24
@@ -96,9 +101,19 @@ def _keys_array(keys: np.ndarray, known: np.ndarray) -> pa.Array:
     return pa.array([raw[i * 16 : i * 16 + 16] if ok else None for i, ok in enumerate(known)], pa.binary())
 
 
-def _lists(values: np.ndarray, width: int) -> pa.Array:
-    return pa.ListArray.from_arrays(np.arange(0, len(values) * width + 1, width, dtype=np.int32),
-                                    pa.array(values.reshape(-1)))
+def _bands(owner: np.ndarray, hashes: np.ndarray, count: np.ndarray, texts: int, bands: int, rows: int) -> pa.Array:
+    """Band keys of each text: those by weight, and if a shingle repeats those of equal weights too."""
+    keys = _band_keys(signatures(owner, hashes, 1 + np.log(count), texts, bands * rows), bands, rows)
+    again = np.zeros(texts, bool)
+    again[owner[count > 1]] = True
+    part = again[owner]
+    number = np.cumsum(again) - 1
+    plain = _band_keys(signatures(number[owner[part]], hashes[part], np.ones(int(part.sum())), int(again.sum()), bands * rows), bands, rows)
+    border = np.r_[0, np.cumsum(bands * (1 + again))].astype(np.int32)
+    values = np.empty(border[-1], np.int64)
+    values[border[:-1, None] + np.arange(bands)] = keys
+    values[border[:-1][again, None] + bands + np.arange(bands)] = plain
+    return pa.ListArray.from_arrays(border, pa.array(values))
 
 
 def _bits(ids: np.ndarray) -> np.ndarray:
@@ -113,11 +128,10 @@ def sketches(docs: DataFrame, k: int = SHINGLE, bands: int = BANDS, rows: int =
             for i, j, words in W.each_slice(batch.column(1)):
                 owner, hashes, count = shingle_sets(words, k)
                 n = np.diff(np.searchsorted(owner, np.arange(j - i + 1)))
-                sign = signatures(owner, hashes, 1 + np.log(count), j - i, bands * rows)
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(i, j - i), batch.column(2).slice(i, j - i),
                      _keys_array(_set_key(owner, hashes, j - i), n > 0), pa.array(n),
-                     _lists(_band_keys(sign, bands, rows), bands)],
+                     _bands(owner, hashes, count, j - i, bands, rows)],
                     names=["doc_id", "key", "node", "n_shingles", "bands"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), text_key()).mapInArrow(
@@ -237,7 +251,7 @@ def _classes(docs: DataFrame, k: int, threshold: float, bands: int, rows: int) -
     rows_of = written(sketches(docs, k, bands, rows), "sketches")
     nodes = written(rows_of.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.min_by("bands", F.coalesce("doc_id", F.lit(-1))).alias("bands")), "nodes")
-    members = nodes.select("node", F.explode("bands").alias("band"))
+    members = nodes.select("node", F.explode(F.array_distinct("bands")).alias("band"))
     crowded = members.groupBy("band").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     members = written(members.join(crowded, "band"), "members")
     sets = _shingles(docs, nodes.join(members, "node", "left_semi").select("node", "doc_id"), k)

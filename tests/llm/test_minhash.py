@@ -93,3 +93,18 @@ def test_components_of_a_long_path_and_a_star(spark):
     path = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(7, 7)]
     found = {r["node"]: r["root"] for r in components(spark.createDataFrame(path, "a long, b long")).collect()}
     assert {found[i] for i in range(41)} == {0} and {found[i] for i in range(100, 130)} == {100}
+
+
+def test_unequal_repeats_hide_no_pair(docs_of):
+    """Plain similarity 0.84; one text repeats a third of the other's words thirty times."""
+    draw = random.Random(7)
+    run = lambda n: ["".join(draw.choices("abcdefghij", k=5)) for _ in range(n)]
+    texts = []
+    for n in range(200):
+        text = run(200)
+        rest = list(text[67:])
+        for at in (20, 60, 100):
+            rest[at] = run(1)[0]
+        texts += [(2 * n, " ".join(text)), (2 * n + 1, " ".join(text[:67] * 30 + rest))]
+    found = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(docs_of(texts)).collect()}
+    assert found == {i: i - i % 2 for i, _ in texts}
