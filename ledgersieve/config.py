@@ -312,9 +312,9 @@ class SplitRule:
     min_total: str = "10000.00"
     large_payment: str = "5000.00"
     listed_sources: int = 3
-    # The alert text lists every id of an ordinary group.  A larger group shows
-    # this many and "(+n more)"; its evidence rows are always complete.
-    listed_ids: int = 1000
+    # An alert lists every id of its group.  A number shows that many and "(+n more)";
+    # its evidence rows are always complete.
+    listed_ids: int | None = None
 
 
 @dataclass(frozen=True)

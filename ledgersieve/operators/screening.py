@@ -280,16 +280,18 @@ def split_groups(transactions: DataFrame, rule: C.SplitRule = C.DEFAULT.split) -
 def split_payments(transactions: DataFrame, rule: C.SplitRule = C.DEFAULT.split) -> DataFrame:
     keys = ["date", "vendor_key"]
     groups = split_groups(transactions, rule)
-    # Only payments of a qualifying vendor-day are ranked.
+    # Only payments of a qualifying vendor-day are listed.
     rows = (debits(transactions).select(*keys, "txn_seq", "txn_id", "source_file", "source_sheet", "source_row")
             .join(groups.select(*keys), keys, "left_semi"))
-    listed = _first_rows(rows, keys, ["txn_seq"], rule.listed_ids)
-    found = listed.withColumn("source", F.when(F.col("_rank") <= rule.listed_sources, _pointer())).join(groups, keys)
-    gathered = found.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.struct("_rank", "txn_id", "source"))).alias("items"),
-        *[F.first(c).alias(c) for c in groups.columns if c not in keys])
-    count, ids = F.col("n").cast("string"), _field(F.col("items"), "txn_id")
-    sources = F.array_join(_field(F.slice("items", 1, rule.listed_sources), "source"), "; ")
+    ids = rows.select(*keys, "txn_seq", "txn_id")
+    if rule.listed_ids is not None:
+        ids = _first_rows(ids, keys, ["txn_seq"], rule.listed_ids)
+    ids = ids.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("txn_seq", "txn_id"))).alias("ids"))
+    shown = _first_rows(rows, keys, ["txn_seq"], rule.listed_sources).withColumn("source", _pointer())
+    gathered = groups.join(ids, keys).join(
+        _gathered(shown, keys, "source").withColumnRenamed("items", "sources"), keys)
+    count, ids = F.col("n").cast("string"), _field(F.col("ids"), "txn_id")
+    sources = F.array_join(_field(F.col("sources"), "source"), "; ")
     more = lambda shown: F.concat(F.lit(" (+"), (F.col("n") - shown).cast("string"), F.lit(" more)"))
     over = lambda shown, text: F.when(F.col("n") > shown, F.concat(text, more(shown))).otherwise(text)
     return _draft(
@@ -305,7 +307,7 @@ def split_payments(transactions: DataFrame, rule: C.SplitRule = C.DEFAULT.split)
             F.when(F.col("largest") > F.lit(rule.large_payment).cast("decimal(18,2)"), F.lit(" (at least one >$5k)"))
             .otherwise(F.lit("")),
             F.lit(", may indicate approval limits")),
-        txn_ids=over(rule.listed_ids, _id_text(ids)), txns=_links(ids),
+        txn_ids=_id_text(ids) if rule.listed_ids is None else over(rule.listed_ids, _id_text(ids)), txns=_links(ids),
         next_step="Verify business justification and approval chain",
         risk="Potential approval splitting pattern",
         action="Review reason for multiple payments to same vendor",

@@ -122,6 +122,19 @@ def test_split_evidence_is_whole(spark):
     assert R.evidence_index(found, table).filter("category = 'Split Payments'").count() == 9
 
 
+def test_a_large_split_lists_all_ids(spark):
+    """A vendor-day above 1,000 payments: every id is in the alert, and every id is checked."""
+    table = transactions(spark, [row("2024-02-05", "Zeta", 6000 + i) for i in range(1200)])
+    drafts = written(spark, lambda: S.draft_alerts(table))
+    found = written(spark, lambda: S.number_alerts(drafts))
+    (one,) = found.filter("category = 'Split Payments'").collect()
+    ids = [r.txn_id for r in table.orderBy("txn_seq").collect()]
+    assert one.txn_ids == ", ".join(ids) and [t.txn_id for t in one.txns] == ids
+    assert one.source_loc.endswith("(+1197 more)")
+    unknown = Q.unknown_references(table.filter(F.col("txn_id") != ids[-1]), found.filter("category = 'Split Payments'"))
+    assert [r.detail for r in unknown.collect()] == [ids[-1]]
+
+
 def test_checks(spark):
     table, found = some_findings(spark)
     clean = Q.all_issues(table, found)
