@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgersieve.llm import chat, pii, winnow
+from ledgersieve.llm import chat, pii, secretscan, winnow
 from ledgersieve.llm.ann import nearest
 from ledgersieve.llm.bpe import encode_decode
 from ledgersieve.llm.katz import lm_scores
@@ -71,10 +71,15 @@ def op10_boosted_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents"))
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secretscan.secret_digests(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_hilbert_curves, op2_sparse_suffixes, op3_sentence_spans, op4_winnowing, op5_reply_trees, op6_toxicity,
-        op7_prob_minhash, op8_distinct_word_bpe, op9_katz_backoff, op10_boosted_candidates)}
+        op7_prob_minhash, op8_distinct_word_bpe, op9_katz_backoff, op10_boosted_candidates,
+        op11_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
