@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgersieve.llm import chat, lexical, pii, secretscan, winnow
+from ledgersieve.llm import chat, lexical, phrases, pii, secretscan, winnow
 from ledgersieve.llm.ann import nearest
 from ledgersieve.llm.bpe import encode_decode
 from ledgersieve.llm.katz import lm_scores
@@ -75,6 +75,10 @@ def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secretscan.secret_digests(table(spark, sf_dir, "documents"))
 
 
+def op12_itemset_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_geometric_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -83,10 +87,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_hilbert_curves, op2_sparse_suffixes, op3_sentence_spans, op4_winnowing, op5_reply_trees, op6_toxicity,
         op7_prob_minhash, op8_distinct_word_bpe, op9_katz_backoff, op10_boosted_candidates,
-        op11_secret_scan, op13_geometric_blocks)}
+        op11_secret_scan, op12_itemset_phrases, op13_geometric_blocks)}
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL for the operators it can express; the others are tested against brute force."""
     return {"op4_winnowing": winnow.ORACLE_SQL, "op5_reply_trees": chat.ORACLE_SQL,
-            "op13_geometric_blocks": lexical.ORACLE_SQL}
+            "op12_itemset_phrases": phrases.ORACLE_SQL, "op13_geometric_blocks": lexical.ORACLE_SQL}

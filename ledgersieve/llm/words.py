@@ -97,8 +97,8 @@ def span_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
         return mix((sums[end] - sums[start]) * powers(_BASE_INVERSE, n + 1)[start] + (end - start).astype(np.uint64))
 
 
-def find(raw: np.ndarray, offsets: np.ndarray, kind: np.ndarray = WORD) -> Words:
-    """Words of the texts in ``raw`` whose borders are ``offsets``; A-Z are lower-cased."""
+def borders(raw: np.ndarray, offsets: np.ndarray, kind: np.ndarray = WORD):
+    """(lower-cased bytes, start and end of each word, first word of each text and the end)."""
     text = LOWER[raw]
     inside = np.zeros(len(text) + 1, bool)
     inside[:-1] = kind[text]
@@ -109,7 +109,21 @@ def find(raw: np.ndarray, offsets: np.ndarray, kind: np.ndarray = WORD) -> Words
     cut = offsets[1:] - 1
     stop[cut[cut >= 0]] = False
     end = np.flatnonzero(inside[:-1] & ~stop) + 1
-    return Words(span_hash(BYTE_VALUE[text], start, end), np.searchsorted(start, offsets), start, end, text)
+    return text, start, end, np.searchsorted(start, offsets)
+
+
+def strings(text: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The spans of ``text`` as strings."""
+    length = end - start
+    to = np.r_[0, np.cumsum(length)]
+    at = np.arange(to[-1]) + np.repeat(start - to[:-1], length)
+    return pa.LargeStringArray.from_buffers(len(length), pa.py_buffer(to.astype(np.int64)), pa.py_buffer(text[at]))
+
+
+def find(raw: np.ndarray, offsets: np.ndarray, kind: np.ndarray = WORD) -> Words:
+    """Words of the texts in ``raw`` whose borders are ``offsets``; A-Z are lower-cased."""
+    text, start, end, first = borders(raw, offsets, kind)
+    return Words(span_hash(BYTE_VALUE[text], start, end), first, start, end, text)
 
 
 def each_slice(array: pa.Array, kind: np.ndarray = WORD, budget: int = SLICE_BYTES):
