@@ -16,6 +16,7 @@ from ledgersieve.operators import analytics as A, findings as R, quality as Q, s
 from ledgersieve.operators.numbering import transaction_ids
 from ledgersieve.schema import TRANSACTIONS
 from ledgersieve.sources import balances as B, intake as I
+from ledgersieve.sources.grid import Statements, first_sheet
 from ledgersieve.sources.sinks import write_table, write_transactions
 from ledgersieve.sources.staging import settled
 
@@ -26,21 +27,26 @@ class Consolidated:
 
     grid: DataFrame
     formats: DataFrame
-    rejected: DataFrame
+    rejects: DataFrame
     lines: DataFrame
     transactions: DataFrame
     opening: DataFrame
     closing: DataFrame
 
 
-def consolidate(spark: SparkSession, grid: DataFrame, name: str) -> Consolidated:
+def consolidate(
+    spark: SparkSession, grid: DataFrame | Statements, name: str, sheets: DataFrame | None = None,
+) -> Consolidated:
     """Detect layouts, project, normalise, enrich and number the rows of a grid.
 
     Every table is written to a folder of this run alone.  The grid is written first:
-    all later steps read that, and layouts and balances only its leading rows.
+    all later steps read that, and layouts and balances only its leading rows.  ``grid`` may be
+    what :func:`read_statements` gives; its remarks then join the rejects.  With ``sheets``
+    (source_file, source_sheet, position) only the first sheet of each file is taken.
     """
     put = lambda part, df: settled(spark, df, f"{name}-{part}")
-    grid = put("grid", grid)
+    grid, remarks = grid if isinstance(grid, Statements) else (grid, None)
+    grid = put("grid", grid if sheets is None else first_sheet(grid, sheets))
     leading = put("leading", grid.filter(F.col("row_no") <= max(C.HEADER_SCAN_ROWS, C.OPENING_SCAN_ROWS, C.CLOSING_SCAN_ROWS)))
     formats = put("formats", I.file_formats(leading))
     # One pass over the grid: every line below a header, parsed and enriched.  The
@@ -50,7 +56,7 @@ def consolidate(spark: SparkSession, grid: DataFrame, name: str) -> Consolidated
     transactions = put("transactions", transaction_ids(rows).select(*TRANSACTIONS.fieldNames()))
     return Consolidated(
         grid=grid, formats=formats, lines=lines, transactions=transactions,
-        rejected=put("rejected", I.rejected_files(grid, formats)),
+        rejects=put("rejects", I.rejects(grid, leading, formats, lines, remarks)),
         opening=put("opening", B.opening_balances(leading, rows)),
         closing=put("closing", B.closing_balances(leading, rows)),
     )
@@ -103,7 +109,8 @@ def publish(
         "thresholds": K.threshold_table(stats),
         "exclusions": K.exclusion_table(spark),
         "run_calculations": K.run_calculations(stats),
-        "rejected_files": run.rejected,
+        "rejected_files": I.headless_files(run.rejects),
+        "rejects": run.rejects,
         "intake_summary": I.intake_summary(run.lines),
         "cash_position": A.cash_position(txns, run.opening),
         "business_profile": A.business_profile(txns),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgersieve import config as C
@@ -11,7 +13,7 @@ from ledgersieve.operators.numbering import ensure_transaction_ids
 from ledgersieve.plans.consolidate import Consolidated, consolidate, prepared, screened
 from ledgersieve.plans.present import plain, plain_alerts, rounded
 from ledgersieve.sources import fixtures as V, intake as I
-from ledgersieve.sources.grid import read_grid
+from ledgersieve.sources.grid import first_sheet, read_grid, read_statements
 from ledgersieve.sources.sinks import write_transactions
 from ledgersieve.sources.staging import settled, stage, table_path
 
@@ -151,6 +153,48 @@ def text_grid(spark, sf_dir):
         F.sum("credit").alias("credit"), F.count_if(~dense).alias("files_with_gaps"))
 
 
+def quoted_records(spark, sf_dir):
+    """Payments and receipts written as text with line breaks inside a tenth of the descriptions, read back as records."""
+    path = table_path(spark, f"quoted-{_slug(sf_dir)}")
+    spaced = F.when(F.col("txn_seq") % 10 == 0, F.replace("description", F.lit(" "), F.lit("\n"))).otherwise(F.col("description"))
+    quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    transactions(spark, sf_dir).select(F.concat_ws(
+        ",", F.col("date").cast("string"), quoted(spaced), F.coalesce(F.col("debit").cast("string"), F.lit("")),
+        F.coalesce(F.col("credit").cast("string"), F.lit(""))).alias("value")).write.mode("overwrite").text(path)
+    cell = lambda i: F.get("cells", F.lit(i))
+    return read_grid(spark, path).select(
+        X.parse_date(cell(0)).alias("date"), cell(1).alias("description"), X.parse_amount(cell(2)).alias("debit"), X.parse_amount(cell(3)).alias("credit"))
+
+
+def first_sheets(spark, sf_dir):
+    """Rows left of files with two sheets."""
+    grid, sheets = V.two_sheets(V.statement_grid(spark, sf_dir))
+    return first_sheet(grid, sheets).groupBy("source_file", "source_sheet").agg(
+        F.count(F.lit(1)).alias("n"), F.min("row_no").alias("low"), F.max("row_no").alias("high"))
+
+
+def faulty(spark, sf_dir) -> Consolidated:
+    """A grid of files with faults, consolidated."""
+    name = f"faulty-{_slug(sf_dir)}"
+    return once(spark, name, lambda: consolidate(spark, V.faulty_grid(spark, sf_dir), name))
+
+
+def reject_reasons(spark, sf_dir):
+    """Lines concerned and lost by file and reason; text files by folder."""
+    path = table_path(spark, f"faulty-texts-{_slug(sf_dir)}")
+    V.faulty_texts(spark, sf_dir, path)
+    texts = consolidate(spark, read_statements(spark, path, recursive=True), f"faulty-texts-{_slug(sf_dir)}").rejects
+    texts = texts.withColumn("source_file", F.regexp_replace("source_file", "/[^/]*$", ""))
+    every = intake(spark, sf_dir).rejects.unionByName(faulty(spark, sf_dir).rejects).unionByName(texts)
+    return every.groupBy("source_file", "reason").agg(F.sum("lines").alias("lines"), F.sum("lost").alias("lost"))
+
+
+def line_balance(spark, sf_dir):
+    """Lines, kept and lost ones of all files of the grids."""
+    runs = [intake(spark, sf_dir), faulty(spark, sf_dir)]
+    return reduce(DataFrame.unionByName, [I.line_balance(r.grid, r.lines, r.rejects).drop("source_sheet") for r in runs])
+
+
 def written_months(spark, sf_dir):
     """The transactions written by month and read back."""
     name = f"sink-{_slug(sf_dir)}"
@@ -262,7 +306,11 @@ def queries() -> dict:
     # intake
     add("text_grid", text_grid)
     add("file_columns", file_columns)
-    add("rejected_files", lambda s, d: intake(s, d).rejected)
+    add("quoted_records", quoted_records)
+    add("first_sheets", first_sheets)
+    add("rejected_files", lambda s, d: I.headless_files(intake(s, d).rejects))
+    add("reject_reasons", reject_reasons)
+    add("line_balance", line_balance)
     add("intake_summary", lambda s, d: I.intake_summary(intake(s, d).lines))
     add("intake_transactions", lambda s, d: intake(s, d).transactions)
     add("merged_layouts", merged_layouts)

@@ -192,6 +192,46 @@ def statement_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return body.unionByName(lines).unionByName(notes)
 
 
+def faulty_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with faults: nations have no amount and no date, customers every kind of lost line."""
+    read = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
+    sheet = F.lit(SHEET).alias("source_sheet")
+    row = lambda key: (F.col(key).cast("bigint") + 2).alias("row_no")
+    nations = read("nation").select(
+        F.lit("DELTA_nations.csv").alias("source_file"), sheet, row("n_nationkey"),
+        F.array("n_name", F.concat(F.lit("Branch "), "n_name")).alias("cells"))
+    turn = F.col("c_custkey") % 8
+    customers = read("customer").select(
+        F.lit("EPSILON_customers.csv").alias("source_file"), sheet, row("c_custkey"), F.array(
+            F.when(turn == 0, F.lit(None)).when(turn == 1, F.lit("soon")).otherwise(F.lit("2024-03-05")),
+            F.when(turn == 2, F.lit("  ")).otherwise(F.col("c_name")), F.col("c_acctbal").cast("string")).alias("cells"))
+    heads = read("region").where("r_regionkey = 0").select(F.explode(F.array(
+        F.struct(F.lit("DELTA_nations.csv").alias("source_file"), F.array(F.lit("Date"), F.lit("Details")).alias("cells")),
+        F.struct(F.lit("EPSILON_customers.csv").alias("source_file"), F.array(F.lit("Date"), F.lit("Details"), F.lit("Amount")).alias("cells")),
+    )).alias("x")).select("x.source_file", sheet, F.lit(1).cast("bigint").alias("row_no"), "x.cells")
+    return nations.unionByName(customers).unionByName(heads)
+
+
+def faulty_texts(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Text files below ``path``: payments without a header by bank, of which one line never closes a quote, nations with NUL, an empty file."""
+    rows = transactions(spark, sf_dir)
+    first = rows.groupBy("bank").agg(F.min("txn_seq").alias("txn_seq")).select("txn_seq", F.lit('"').alias("mark"))
+    line = F.concat_ws(",", F.col("date").cast("string"), F.concat(F.coalesce("mark", F.lit("")), F.replace("description", F.lit(","), F.lit(" "))),
+                       F.coalesce(F.col("debit").cast("string"), F.lit("")))
+    rows.join(first, "txn_seq", "left").select("bank", line.alias("value")).write.mode("overwrite").partitionBy("bank").text(f"{path}/payments")
+    nul = F.when(F.col("n_nationkey") % 5 == 0, F.char(F.lit(0))).otherwise(F.lit(""))
+    spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.concat("n_name", nul).alias("value")).write.mode("overwrite").text(f"{path}/nations")
+    spark.read.parquet(f"{sf_dir}/region.parquet").where("r_regionkey < 0").select(F.col("r_name").alias("value")).coalesce(1).write.mode("overwrite").text(f"{path}/none")
+
+
+def two_sheets(grid: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The grid with a second sheet in every file, and the order of the sheets, which GAMMA turns round."""
+    other = "Sheet2"
+    sheets = grid.select("source_file").distinct().select("source_file", F.explode(F.array(F.lit(SHEET), F.lit(other))).alias("source_sheet"))
+    ahead = F.col("source_file").startswith("GAMMA") == (F.col("source_sheet") == other)
+    return grid.unionByName(grid.withColumn("source_sheet", F.lit(other)).where("row_no % 2 = 1")), sheets.withColumn("position", F.when(ahead, 1).otherwise(2))
+
+
 # --- damaged tables for the integrity checks ------------------------------------
 
 def damaged_transactions(transactions: DataFrame) -> DataFrame:

@@ -12,13 +12,14 @@ from ledgersieve.functions.text import (
     clean_description, inflow_part, normalize_vendor, outflow_part, parse_amount, parse_date,
     signed_amount, strip, zero_to_null,
 )
+from ledgersieve.sources.grid import EXAMPLE, remark
 
 FILE_KEYS = ["source_file", "source_sheet"]
 
 
 def bank_name(source_file: Column) -> Column:
-    """File name up to the first underscore; the whole name if there is none."""
-    return F.substring_index(source_file, "_", 1)
+    """File name, without its folder, up to the first underscore; the whole name if there is none."""
+    return F.substring_index(F.substring_index(source_file, "/", -1), "_", 1)
 
 
 def _says(text: Column, words) -> Column:
@@ -83,14 +84,65 @@ def file_formats(grid: DataFrame) -> DataFrame:
         F.map_filter(mapping, lambda _, v: v.isNotNull()).alias("columns"))
 
 
+NO_HEADER = f"no header in rows 1-{C.HEADER_SCAN_ROWS}"
+ABOVE, NO_AMOUNT, NOTHING = "above the table", "no amount column", "no line parsed"
+NO_DATE, UNREAD_DATE, NO_DESCRIPTION = "no date", "unread date", "no description"
+
+
 def rejected_files(grid: DataFrame, formats: DataFrame) -> DataFrame:
     """Files in which no header was found."""
     return (
         grid.select(*FILE_KEYS).distinct().join(formats, FILE_KEYS, "left_anti")
-        .withColumn("reason", F.lit(f"no header in rows 1-{C.HEADER_SCAN_ROWS}"))
+        .withColumn("reason", F.lit(NO_HEADER))
     )
 
 
+def headless_files(rejects: DataFrame) -> DataFrame:
+    """The same from the reject table."""
+    return rejects.where(F.col("reason") == NO_HEADER).select(*FILE_KEYS, "reason")
+
+
+def rejects(grid: DataFrame, leading: DataFrame, formats: DataFrame, lines: DataFrame, remarks: DataFrame | None = None) -> DataFrame:
+    """Why lines are no transactions: one row per file and reason.
+
+    ``lines`` counts the lines concerned, from ``first_row`` to ``last_row``; ``lost`` those
+    of them that are left out for this reason, so that kept and lost lines of a file
+    are all its lines; ``example`` is what the first of them has in the column at fault.
+    ``remarks`` come from reading the files.  Rows and texts of ``lines`` are a written
+    table's; only counts per file are shuffled.
+    """
+    def summed(rows: DataFrame, reason: Column, row_no: str, example: Column) -> DataFrame:
+        return rows.groupBy(*FILE_KEYS, reason.alias("reason")).agg(
+            F.min(row_no).cast("long").alias("first_row"), F.max(row_no).cast("long").alias("last_row"), F.count(F.lit(1)).alias("lines"),
+            F.count(F.lit(1)).alias("lost"), F.min_by(example, row_no).alias("example"))
+
+    none = F.lit(None)
+    headless = grid.select(*FILE_KEYS, "row_no", F.get("cells", F.lit(0)).alias("cell")).join(formats.select(*FILE_KEYS), FILE_KEYS, "left_anti")
+    above = leading.select(*FILE_KEYS, "row_no").join(formats.select(*FILE_KEYS, "header_row"), FILE_KEYS).where("row_no <= header_row")
+    parts = [
+        summed(headless, F.lit(NO_HEADER), "row_no", F.col("cell")),
+        summed(above, F.lit(ABOVE), "row_no", none.cast("string")),
+        summed(lines.where("reason is not null").select(*FILE_KEYS, "reason", "source_row", "unread"), F.col("reason"), "source_row", F.col("unread"))]
+    amounts = F.coalesce(*[F.col("columns")[r] for r in ("debit", "credit", "amount")])
+    head = F.col("header_row")
+    parts.append(formats.where(amounts.isNull()).select(*FILE_KEYS, *remark(NO_AMOUNT, head, head, F.lit(1), none)))
+    kept = lines.where("is_transaction").select(*FILE_KEYS).distinct()
+    parts.append(formats.join(kept, FILE_KEYS, "left_anti").select(*FILE_KEYS, *remark(NOTHING, none, none, F.lit(0), none)))
+    if remarks is not None:
+        parts.append(remarks)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def line_balance(grid: DataFrame, lines: DataFrame, rejects: DataFrame) -> DataFrame:
+    """Per file: all lines, kept and lost ones, and whether they add up."""
+    counted = grid.groupBy(*FILE_KEYS).agg(F.count(F.lit(1)).alias("lines"))
+    kept = lines.where("is_transaction").groupBy(*FILE_KEYS).agg(F.count(F.lit(1)).alias("kept"))
+    lost = rejects.groupBy(*FILE_KEYS).agg(F.sum("lost").alias("lost"))
+    found = counted.join(kept, FILE_KEYS, "full").join(lost, FILE_KEYS, "full")
+    found = found.select(*FILE_KEYS, *[F.coalesce(c, F.lit(0)).alias(c) for c in ("lines", "kept", "lost")])
+    return found.withColumn("balanced", F.col("lines") == F.col("kept") + F.col("lost"))
+
+
 def projected_lines(grid: DataFrame, formats: DataFrame) -> DataFrame:
     """Lines below the header, with the text of each role.
 
@@ -106,11 +158,13 @@ def projected_lines(grid: DataFrame, formats: DataFrame) -> DataFrame:
 
 
 def parsed_lines(lines: DataFrame) -> DataFrame:
-    """Typed values per line and ``is_transaction``; nothing is dropped yet."""
+    """Typed values per line, ``is_transaction`` and else the ``reason``; nothing is dropped yet."""
     signed = parse_amount(F.col("amount_text"))
     by_sign = F.col("format_type") == "amount_signed"
     date = parse_date(F.col("date_text"))
     blank = F.coalesce(strip(F.col("description_text")), F.lit("")) == ""
+    undated = F.coalesce(strip(F.col("date_text")), F.lit("")) == ""
+    reason = F.when(undated, NO_DATE).when(F.col("date").isNull(), UNREAD_DATE).when(blank, NO_DESCRIPTION)
     return (
         lines.withColumn("date", date).withColumn("signed", signed)
         .withColumn("debit", zero_to_null(
@@ -118,6 +172,8 @@ def parsed_lines(lines: DataFrame) -> DataFrame:
         .withColumn("credit", zero_to_null(
             F.when(by_sign, inflow_part(F.col("signed"))).otherwise(parse_amount(F.col("credit_text")))))
         .withColumn("is_transaction", F.col("date").isNotNull() & ~blank)
+        .withColumn("reason", F.when(~F.col("is_transaction"), reason))
+        .withColumn("unread", F.when(F.col("reason") == UNREAD_DATE, F.left("date_text", F.lit(EXAMPLE))))
         .withColumnsRenamed({"description_text": "description", "type_text": "type_original"})
         .drop("signed", "date_text", "debit_text", "credit_text", "amount_text")
     )
@@ -125,7 +181,7 @@ def parsed_lines(lines: DataFrame) -> DataFrame:
 
 def statement_rows(parsed: DataFrame) -> DataFrame:
     """Only transactions: a readable date and a description."""
-    return parsed.filter("is_transaction").drop("is_transaction", "format_type")
+    return parsed.filter("is_transaction").drop("is_transaction", "format_type", "reason", "unread")
 
 
 def enriched(rows: DataFrame) -> DataFrame:

@@ -92,6 +92,58 @@ def file_columns() -> str:
             "FROM stmt JOIN lay ON bank = b")
 
 
+#: Lines above and below the rows of a bank's file: at the head, lost behind the rows, kept behind them.
+AROUND = {"ALPHA": (5, 2, 0), "BETA": (2, 1, 1), "GAMMA": (1, 0, 2)}
+
+
+def _around(which: int) -> str:
+    return "CASE bank " + " ".join(f"WHEN {quoted(b)} THEN {n[which]}" for b, n in AROUND.items()) + " END"
+
+
+def first_sheets() -> str:
+    """Sheet2 has the odd rows; GAMMA's comes first."""
+    return f"""WITH {movements()},
+size AS (SELECT bank, source_file, count(*) AS n FROM stmt GROUP BY ALL),
+rows AS (
+  SELECT source_file, bank, unnest(range(1, n + 1)) + CASE bank WHEN 'ALPHA' THEN 7 WHEN 'BETA' THEN 3 ELSE 2 END AS r FROM size
+  UNION ALL SELECT source_file, bank, n + CASE bank WHEN 'ALPHA' THEN 7 WHEN 'BETA' THEN 3 ELSE 2 END + unnest([1, 2]) FROM size
+  UNION ALL SELECT source_file, bank, unnest(CASE bank WHEN 'ALPHA' THEN [1, 2, 3, 4, 7] WHEN 'BETA' THEN [1, 3] ELSE [2] END) FROM size
+  UNION ALL SELECT 'NOTES_regions.csv', 'NOTES', r_regionkey + 1 FROM region)
+SELECT source_file, CASE bank WHEN 'GAMMA' THEN 'Sheet2' ELSE 'Sheet1' END AS source_sheet, count(*) AS n,
+       {big('min(r)')} AS low, {big('max(r)')} AS high
+FROM rows WHERE bank <> 'GAMMA' OR r % 2 = 1 GROUP BY source_file, bank"""
+
+
+def reject_reasons() -> str:
+    row = lambda file, reason, lines, lost, source: (
+        f"SELECT {file} AS source_file, {quoted(reason)} AS reason, {big(lines)} AS lines, {big(lost)} AS lost FROM {source}")
+    one = lambda reason, lines, lost, bank: row("source_file", reason, lines, lost, f"(SELECT DISTINCT source_file FROM stmt WHERE bank = {quoted(bank)})")
+    customers = lambda turn: f"(SELECT count(*) AS n FROM customer WHERE c_custkey % 8 = {turn}) WHERE n > 0"
+    by_bank = "(SELECT bank, count(*) AS n FROM stmt GROUP BY bank)"
+    parts = [
+        row("source_file", "above the table", _around(0), _around(0), "(SELECT DISTINCT source_file, bank FROM stmt)"),
+        one("no date", 1, 1, "ALPHA"), one("unread date", 1, 1, "ALPHA"), one("no description", 1, 1, "BETA"),
+        row("'NOTES_regions.csv'", "no header in rows 1-50", "count(*)", "count(*)", "region"),
+        row("'DELTA_nations.csv'", "above the table", 1, 1, "(SELECT 1)"), row("'DELTA_nations.csv'", "no amount column", 1, 0, "(SELECT 1)"),
+        row("'DELTA_nations.csv'", "no line parsed", 0, 0, "(SELECT 1)"), row("'DELTA_nations.csv'", "unread date", "count(*)", "count(*)", "nation"),
+        row("'EPSILON_customers.csv'", "above the table", 1, 1, "(SELECT 1)"),
+        *(row("'EPSILON_customers.csv'", reason, "n", "n", customers(turn)) for turn, reason in enumerate(("no date", "unread date", "no description"))),
+        row("'payments/bank=' || bank", "no header in rows 1-50", "n", "n", by_bank), row("'payments/bank=' || bank", "quote never closed", 1, 0, by_bank),
+        row("'nations'", "no header in rows 1-50", "count(*)", "count(*)", "nation"),
+        row("'nations'", "unreadable text", "count(*)", 0, "nation WHERE n_nationkey % 5 = 0"), row("'none'", "empty file", 0, 0, "(SELECT 1)")]
+    return f"WITH {movements()}\n" + "\nUNION ALL ".join(parts)
+
+
+def line_balance() -> str:
+    return f"""WITH {movements()}, size AS (SELECT bank, source_file, count(*) AS n FROM stmt GROUP BY ALL),
+found AS (
+  SELECT source_file, n + {_around(0)} + 2 AS lines, n + {_around(2)} AS kept FROM size
+  UNION ALL SELECT 'NOTES_regions.csv', count(*), 0 FROM region
+  UNION ALL SELECT 'DELTA_nations.csv', count(*) + 1, 0 FROM nation
+  UNION ALL SELECT 'EPSILON_customers.csv', count(*) + 1, count(*) FILTER (c_custkey % 8 > 2) FROM customer)
+SELECT source_file, {big('lines')} AS lines, {big('kept')} AS kept, {big('lines - kept')} AS lost, true AS balanced FROM found"""
+
+
 REC_ROWS = [
     ("Statement period (from Transactions)", "CAST(d1 AS VARCHAR) || ' — ' || CAST(d2 AS VARCHAR)", "'Transactions'"),
     ("Transactions count", "CAST(n AS VARCHAR)", "'Transactions'"),
@@ -450,6 +502,12 @@ def queries() -> dict[str, str]:
         "file_columns": file_columns(),
         "rejected_files": "SELECT DISTINCT 'NOTES_regions.csv' AS source_file, 'Sheet1' AS source_sheet, "
                           "'no header in rows 1-50' AS reason FROM region",
+        "quoted_records": with_txn(
+            f"SELECT {text('d')} AS date, CASE WHEN seq % 10 = 0 THEN replace(description, ' ', chr(10)) ELSE description END AS description, "
+            f"{dbl('debit')} AS debit, {dbl('credit')} AS credit FROM txn"),
+        "first_sheets": first_sheets(),
+        "reject_reasons": reject_reasons(),
+        "line_balance": line_balance(),
         "intake_summary": with_intake(
             "SELECT source_file, count(*) AS kept, CAST(CASE bank WHEN 'ALPHA' THEN 2 WHEN 'BETA' THEN 1 ELSE 0 END AS BIGINT) "
             "AS removed, count(*) FILTER (debit IS NOT NULL AND credit IS NOT NULL) AS both_filled, "
