@@ -166,7 +166,7 @@ def _words_of(batch_text: pa.Array, path: str):
     for i, j in W.slices(offsets):
         part, borders = raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
         start, end, first = split(part, borders, classes, specials)
-        yield i, j, part, start, end, first, W.span_hash(W.BYTE_VALUE[part], start, end) if len(part) else np.empty(0, np.uint64)
+        yield i, j, part, start, end, first, W.word_hash(part, start, end) if len(part) else np.empty(0, np.uint64)
 
 
 def word_table(docs: DataFrame, path: str) -> DataFrame:
@@ -194,7 +194,7 @@ def word_table(docs: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             data = batch.column(0).cast(pa.string())
             raw, offsets = W.text_bytes(data)
-            h = W.span_hash(W.BYTE_VALUE[raw], offsets[:-1], offsets[1:])
+            h = W.word_hash(raw, offsets[:-1], offsets[1:])
             texts = data.to_pylist()
             ids = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
             border = np.cumsum([0, *map(len, ids)]).astype(np.int32)

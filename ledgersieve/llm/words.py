@@ -2,12 +2,13 @@
 
 An Arrow array keeps its texts in one byte buffer.  Word borders are found on that
 buffer by a table of byte classes, and a word's hash is a difference of running sums
-of ``value(byte) * BASE**position``, so no Python object is made per word.  Texts are
+of ``value(byte) * BASE**position``, so no Python object is made per word but a very long one.  Texts are
 taken in slices of about a megabyte; memory follows the slice, or the longest text.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -97,6 +98,19 @@ def span_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
         return mix((sums[end] - sums[start]) * powers(_BASE_INVERSE, n + 1)[start] + (end - start).astype(np.uint64))
 
 
+#: Words of more bytes are hashed by a digest: sums of powers modulo 2**64 tell no two words of some patterns of 1,024 signs apart.
+LONG_BYTES = 256
+
+
+def word_hash(text: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of each word of ``text`` (bytes)."""
+    found = span_hash(BYTE_VALUE[text], start, end)
+    for i in np.flatnonzero(end - start > LONG_BYTES):
+        digest = hashlib.blake2b(text[start[i] : end[i]].tobytes(), digest_size=8).digest()
+        found[i] = int.from_bytes(digest, "little")
+    return found
+
+
 def borders(raw: np.ndarray, offsets: np.ndarray, kind: np.ndarray = WORD):
     """(lower-cased bytes, start and end of each word, first word of each text and the end)."""
     text = LOWER[raw]
@@ -123,7 +137,7 @@ def strings(text: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
 def find(raw: np.ndarray, offsets: np.ndarray, kind: np.ndarray = WORD) -> Words:
     """Words of the texts in ``raw`` whose borders are ``offsets``; A-Z are lower-cased."""
     text, start, end, first = borders(raw, offsets, kind)
-    return Words(span_hash(BYTE_VALUE[text], start, end), first, start, end, text)
+    return Words(word_hash(text, start, end), first, start, end, text)
 
 
 def each_slice(array: pa.Array, kind: np.ndarray = WORD, budget: int = SLICE_BYTES):

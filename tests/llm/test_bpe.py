@@ -42,3 +42,11 @@ def test_odd_rows(odd, none):
         if r["doc_id"] is not None:
             assert (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) == plain(texts[r["doc_id"]])
     assert bpe.encode_decode(none, PATH).count() == 0
+
+
+def test_long_words_of_one_pattern_are_told_apart(docs_of):
+    one = "".join("ab"[bin(i).count("1") & 1] for i in range(2048))
+    other = one.translate(str.maketrans("ab", "ba"))
+    texts = [(1, one), (2, other), (3, f"{one} {other}")]
+    found = by_id(bpe.encode_decode(docs_of(texts), PATH, head_words=0))
+    assert {i: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for i, r in found.items()} == {i: plain(t) for i, t in texts}

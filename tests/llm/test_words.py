@@ -36,3 +36,14 @@ def test_a_sliced_array_and_an_empty_one():
     (_, _, w), = W.each_slice(array)
     assert np.diff(w.first).tolist() == [1, 2]
     assert list(W.each_slice(pa.array([], pa.string()))) == []
+
+
+def test_long_words_of_one_pattern_have_their_own_hash():
+    """A pattern and its complement, which no sum of powers modulo 2**64 tells apart."""
+    pattern = np.array([bin(i).count("1") & 1 for i in range(2048)], np.uint8) + 97
+    for size in (1024, 2048):
+        raw = np.r_[pattern[:size], np.uint8(32), 195 - pattern[:size]]
+        found = W.find(raw, np.array([0, len(raw)]))
+        assert len(found.hash) == 2 and found.hash[0] != found.hash[1]
+        again = W.find(np.r_[np.uint8(32), raw], np.array([0, len(raw) + 1]))
+        assert (again.hash == found.hash).all()
