@@ -4,8 +4,8 @@ Features are the distinct hashed words, word pairs and skip-grams (one or two wo
 out between) of the whole text.  FTRL-proximal keeps two numbers per coordinate, so each
 coordinate has its own learning rate, and its L1 term leaves most weights exactly zero.
 Only the non-zero weights are kept; they are what scoring broadcasts.  The bias has no L1
-term.  Where no coordinate but the bias has a weight, nothing tells texts apart: no text
-is then predicted toxic, and none is dropped.
+term.  Where no coordinate but the bias has a weight, nothing tells texts apart: every
+text then scores 0.
 
 Training is parameter mixing: Spark deals the labelled rows to shards, each
 runs the sequential rule over its rows, and a coordinate's weight is the mean over
@@ -28,11 +28,9 @@ from ledgersieve.llm.store import written
 SPACE_BITS = 24
 #: Bound of the training sample, in documents.  Labelled rows beyond it are thinned by a hash.
 MAX_ROWS = 40_000
-#: Training rows of a shard; fewer rows make fewer shards.
-SHARD_ROWS, EPOCHS = 10_000, 8
+#: Training rows and bytes of text of a shard, about; less makes fewer shards.
+SHARD_ROWS, SHARD_BYTES, EPOCHS = 10_000, 1 << 26, 8
 ALPHA, BETA, L1, L2 = 3.0, 1.0, 6.0, 0.0
-#: Bound of the weights that are kept, those of largest size; 12 bytes each.
-MAX_WEIGHTS = 1 << 20
 BIAS = 0
 
 
@@ -55,7 +53,7 @@ def features(words: W.Words) -> tuple[np.ndarray, np.ndarray]:
                 coordinates.append(pair[same] >> shift)
                 owners.append(owner[:-gap][same])
     key = np.unique((np.concatenate(owners).astype(np.uint64) << np.uint64(SPACE_BITS)) | np.concatenate(coordinates))
-    place = (key & np.uint64((1 << SPACE_BITS) - 1)).astype(np.int64)
+    place = (key & np.uint64((1 << SPACE_BITS) - 1)).astype(np.int32)
     return place, np.searchsorted(key >> np.uint64(SPACE_BITS), np.arange(len(first)))
 
 
@@ -76,7 +74,9 @@ def ftrl(rows: list[tuple[np.ndarray, int]], epochs: int = EPOCHS) -> Weights:
             more = ni + gradient * gradient
             z[place] = zi + gradient - (np.sqrt(more) - np.sqrt(ni)) / ALPHA * w
             n[place] = more
-    kept = np.flatnonzero((np.abs(z) > L1) | ((np.arange(len(z)) == BIAS) & (z != 0)))
+    heavy = np.abs(z) > L1
+    heavy[BIAS] = z[BIAS] != 0
+    kept = np.flatnonzero(heavy)
     return Weights(kept, weights(z[kept], n[kept], kept))
 
 
@@ -100,10 +100,13 @@ def train(docs: DataFrame, labelled: DataFrame, max_rows: int = MAX_ROWS, epochs
     """(place, weight) learnt from the texts of ``docs`` that ``labelled`` (doc_id, label, h) names.
 
     ``labelled`` has at most about ``max_rows`` rows, and is broadcast for that.  Rows of
-    one shard are taken in the order of the hash.  No labelled row gives no weights, and
-    every text then scores one half.
+    one shard are taken in the order of the hash.  No labelled row gives no weights.
     """
-    shards = -(-max(labelled.count(), 1) // SHARD_ROWS)
+    labelled = F.broadcast(labelled)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = texts.join(labelled, "doc_id")
+    size = rows.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    shards = max(1, -(-size["rows"] // SHARD_ROWS), -(-size["bytes"] // SHARD_BYTES))
 
     def run(batches):
         rows = []
@@ -111,22 +114,19 @@ def train(docs: DataFrame, labelled: DataFrame, max_rows: int = MAX_ROWS, epochs
             labels = batch.column(1).to_pylist()
             for i, j, words in W.each_slice(batch.column(0)):
                 place, border = features(words)
-                rows += [(np.r_[BIAS, place[a:b]], labels[t]) for t, a, b in zip(range(i, j), border[:-1], border[1:])]
+                rows += [(np.r_[np.int32(BIAS), place[a:b]], labels[t]) for t, a, b in zip(range(i, j), border[:-1], border[1:])]
         learnt = ftrl(rows, epochs)
         yield pa.RecordBatch.from_arrays([pa.array(learnt.place), pa.array(learnt.value.astype(np.float64))],
                                          names=["place", "weight"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = texts.join(F.broadcast(labelled), "doc_id")
     shard = F.pmod(F.xxhash64("h", F.lit(1)), F.lit(shards)).cast("int")
     dealt = rows.withColumn("shard", shard).repartition(shards, "shard").sortWithinPartitions("shard", "h", "text")
     learnt = dealt.select("text", "label").mapInArrow(run, "place long, weight double")
-    mixed = learnt.groupBy("place").agg((F.sum("weight") / shards).alias("weight"))
-    return mixed.orderBy(F.col("place") != BIAS, F.abs("weight").desc(), "place").limit(MAX_WEIGHTS)
+    return learnt.groupBy("place").agg((F.sum("weight") / shards).alias("weight"))
 
 
 def collected(weights: DataFrame) -> Weights:
-    """The weights as sorted arrays; at most ``MAX_WEIGHTS`` of them."""
+    """The weights as sorted arrays; a coordinate has one, so they are 2**24 at most and, as a rule, some thousands."""
     table = weights.orderBy("place").toArrow()
     return Weights(table["place"].to_numpy().astype(np.int64), table["weight"].to_numpy())
 
@@ -153,7 +153,9 @@ def _scores(weights: Weights):
 
 
 def score(docs: DataFrame, weights: Weights) -> DataFrame:
-    """``docs`` (doc_id, text) with score, 0 to 1; null and empty texts get the score of the bias."""
+    """``docs`` (doc_id, text) with score, 0 to 1; null and empty texts get the score of the bias, all texts 0 if nothing is learnt."""
+    if not learnt(weights):
+        return docs.select(F.col("doc_id").cast("long"), F.lit(0.0).alias("score"))
     shared = docs.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches):
@@ -167,7 +169,7 @@ def score(docs: DataFrame, weights: Weights) -> DataFrame:
 
 
 def kept(docs: DataFrame, weights: Weights) -> DataFrame:
-    """Rows of ``docs``, with all their columns, whose score is below one half; all rows if nothing is learnt."""
+    """Rows of ``docs``, with all their columns, whose ``score`` is below one half."""
     if not learnt(weights):
         return docs
     shared = docs.sparkSession.sparkContext.broadcast(weights)
@@ -196,9 +198,8 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     Learns ``labels.toxic`` from rows whose crc32(doc_id) mod 5 is not 0.  A null doc_id is not held out (false)
     and is scored like any other; repeated rows are scored each.  If nothing is learnt (no
-    usable label, or too few), every text has the same score and none is predicted toxic.
+    usable label, or too few), every text scores 0.
     """
-    weights = model(docs, labels)
-    scored = score(docs, weights)
+    scored = score(docs, model(docs, labels))
     return scored.select("doc_id", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"), "score",
-                         ((F.col("score") >= 0.5) & F.lit(learnt(weights))).cast("int").alias("predicted"))
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))

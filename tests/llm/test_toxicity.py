@@ -44,7 +44,7 @@ def test_odd_rows(spark, odd, none, docs_of):
     assert len(found) == odd.count() and all(0 <= r["score"] <= 1 for r in found)
     assert len({r["score"] for r in found if r["doc_id"] in (1, 2, 3)}) == 1
     assert X.toxicity(none, labels).count() == 0
-    assert {r["score"] for r in X.toxicity(odd, labels.where("doc_id = 100")).collect()} == {0.5}
+    assert {r["score"] for r in X.toxicity(odd, labels.where("doc_id = 100")).collect()} == {0.0}
     kept = X.kept(odd, X.model(odd, labels))
     assert kept.columns == odd.columns
 
@@ -61,7 +61,49 @@ def test_nothing_learnt_drops_nothing(spark, docs_of, tmp_path):
         folder = str(tmp_path / name)
         some.write.parquet(f"{folder}/labels.parquet")
         assert corpus_pipeline.drop_toxic(spark, docs, folder).count() == docs.count(), name
-        assert {r["predicted"] for r in X.toxicity(docs, some).collect()} == {0}, name
+        assert {(r["score"], r["predicted"]) for r in X.toxicity(docs, some).collect()} == {(0.0, 0)}, name
+
+
+def plain_ftrl(rows, epochs):
+    """The rule over dictionaries, one coordinate after another."""
+    z, n = {}, {}
+
+    def weight(i):
+        least = 0.0 if i == X.BIAS else X.L1
+        zi = z.get(i, 0.0)
+        if abs(zi) <= least:
+            return 0.0
+        return -(zi - (least if zi > 0 else -least)) / ((X.BETA + n.get(i, 0.0) ** 0.5) / X.ALPHA + X.L2)
+
+    for _ in range(epochs):
+        for places, label in rows:
+            w = {i: weight(i) for i in places}
+            g = 1 / (1 + np.exp(-sum(w.values()))) - label
+            for i in places:
+                before = n.get(i, 0.0)
+                n[i] = before + g * g
+                z[i] = z.get(i, 0.0) + g - (n[i] ** 0.5 - before**0.5) / X.ALPHA * w[i]
+    return {i: weight(i) for i in z if weight(i)}
+
+
+def test_weights_equal_a_plain_rule():
+    draw = random.Random(4)
+    rows = []
+    for _ in range(400):
+        label = int(draw.random() < 0.3)
+        places = {X.BIAS, *draw.choices(range(1, 300), k=12)} | ({7, 9} if label else {11})
+        rows.append((np.array(sorted(places), np.int32), label))
+    learnt = X.ftrl(rows, 3)
+    expected = plain_ftrl([(p.tolist(), y) for p, y in rows], 3)
+    assert set(learnt.place.tolist()) == set(expected) and len(expected) > 3
+    assert np.allclose(learnt.value, [expected[i] for i in learnt.place.tolist()], rtol=1e-3)
+
+
+def test_predicted_is_the_score_alone(spark, docs_of):
+    """Toxic labels only: whatever is learnt, ``predicted`` is ``score >= 0.5``."""
+    docs, labels, _ = corpus(spark, docs_of, 40)
+    found = X.toxicity(docs, labels.withColumn("toxic", X.F.lit(1))).collect()
+    assert all(r["predicted"] == int(r["score"] >= 0.5) for r in found)
 
 
 def test_the_bias_has_no_penalty():
