@@ -8,9 +8,9 @@ one scan.  An active phrase is counted until it has met every shard once.  A phr
 reaches the threshold has parts that do so no later than their own cycle ends, hence the
 counts of all frequent phrases are whole.
 
-Counts between scans are a written table (lang, phrase, total, shards met, scan of
+Counts between scans are a written table (language and phrase, total, shards met, scan of
 reaching); a scan's counts are added by one aggregation.  Rows whose cycle is over below
-the threshold leave it.  A task learns what is active from two tables of 2**24 bytes,
+the threshold leave it.  A task learns what is active from two tables of 2**23 bytes,
 whatever the input: a bit for each scan in which a phrase of that bucket has reached the
 threshold.  Phrases that share a bucket may be counted outside their cycle; a shard is
 counted once only, so no count is wrong, and what was counted in part stays below its
@@ -28,14 +28,14 @@ from ledgersieve.llm import words as W
 from ledgersieve.llm.store import parts, written
 
 #: Shards of the cycle; scans in which words or pairs reach the threshold have to fit eight bits, so 4 at most.
-SHARDS = 3
+SHARDS = 2
 THRESHOLD, BEST = 10, 2000
 #: A shorter phrase goes if a longer candidate that holds it has at least this part of its count, in hundredths.
 COVER = 50
 SCALE = 1_000_000
-BUCKET_BITS = 24
+BUCKET_BITS = 23
 #: Bytes of text that are counted together in a task.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 3 << 20
 
 # What ends a piece, and what parts words.
 _PIECE = np.zeros(256, bool)
@@ -44,6 +44,10 @@ _WORD = ~_PIECE
 _WORD[[32, 9]] = False
 _INSIDE = np.ones(256, bool)
 _INSIDE[32] = False
+#: Parts language and phrase in a key; no phrase holds it.
+_BREAK = "\n"
+#: A counted key is packed: its total above, then a bit for each shard met, then the scan of reaching the threshold, from 1.
+_MET, _REACH = 16, 8
 _LOWEST = np.array([255, *((x & -x).bit_length() - 1 for x in range(1, 256))], np.uint8)
 _HIGHEST = np.array([0, *(x.bit_length() - 1 for x in range(1, 256))], np.uint8)
 
@@ -88,37 +92,38 @@ class Activity:
 
 
 def _phrases(lang: str, texts: pa.Array, scan: int, shards: int, activity: Activity):
-    """(lang, n, phrase, count) of a slice of texts of one language; n = 0 is the number of words."""
+    """(key, count) of a slice of texts of one language; the empty phrase is the number of words."""
     raw, offsets = W.text_bytes(texts)
     text, start, end, first = W.borders(raw, offsets, _WORD)
     if not len(start):
         return
     coded = W.strings(text, start, end).dictionary_encode()
-    word, names = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+    word, names = coded.indices.to_numpy(), coded.dictionary
     size = len(names)
+    sign = lambda x: pa.scalar(x, names.type)
 
-    def out(n, phrases, counts):
-        return pa.RecordBatch.from_arrays(
-            [pa.repeat(pa.scalar(lang, pa.string()), len(counts)), pa.array(np.full(len(counts), n, np.int32)), phrases.cast(pa.string()), pa.array(counts)],
-            names=["lang", "n", "phrase", "count"])
+    def out(counts, *words):
+        """Keys of phrases given by their words' places in ``names``."""
+        spaced = pc.binary_join_element_wise(*(names.take(pa.array(x)) for x in words), sign(" "))
+        return pa.RecordBatch.from_arrays([pc.binary_join_element_wise(sign(lang), spaced, sign(_BREAK)).cast(pa.string()), pa.array(counts)], names=["key", "count"])
 
     if scan < shards:
-        yield out(0, pa.array([""]), np.array([len(word)]))
-        yield out(1, names, np.bincount(word, minlength=size))
+        yield pa.RecordBatch.from_arrays([pa.array([lang + _BREAK]), pa.array([len(word)])], names=["key", "count"])
+        yield out(np.bincount(word, minlength=size), np.arange(size))
     if not scan:
         return
     broken = np.r_[0, np.cumsum(_PIECE[text])]
     near = broken[start[1:]] == broken[end[:-1]]
     inner = first[(first > 0) & (first < len(start))]
     near[inner - 1] = False
+    del broken, start, end, text
     hashes, _ = _word_hashes(names, np.full(size, _lang_hash(lang)))
-    hashes = hashes[word]
+    hashes, word = hashes[word], word.astype(np.int64)
     pair = np.flatnonzero(near)
     counted = pair[activity.active(1, hashes[pair], hashes[pair + 1], scan, shards)]
-    spaced = lambda *columns: pc.binary_join_element_wise(*(names.take(pa.array(x)) for x in columns), pa.scalar(" ", names.type))
     if len(counted):
         key, count = np.unique(word[counted] * size + word[counted + 1], return_counts=True)
-        yield out(2, spaced(key // size, key % size), count)
+        yield out(count, key // size, key % size)
     three = np.flatnonzero(near[:-1] & near[1:])
     left, right = _join(hashes[three], hashes[three + 1]), _join(hashes[three + 1], hashes[three + 2])
     three = three[activity.active(2, left, right, scan, shards)]
@@ -126,38 +131,45 @@ def _phrases(lang: str, texts: pa.Array, scan: int, shards: int, activity: Activ
         pairs, place = np.unique(word[three] * size + word[three + 1], return_inverse=True)
         key, count = np.unique(place * size + word[three + 2], return_counts=True)
         head = pairs[key // size]
-        yield out(3, spaced(head // size, head % size, key % size), count)
+        yield out(count, head // size, head % size, key % size)
 
 
 def scanned(shard: DataFrame, scan: int, shards: int, activity) -> DataFrame:
-    """(lang, n, phrase, count), several rows a phrase, of what is active in this scan."""
+    """(key, count), several rows a phrase, of what is active in this scan."""
     def run(batches):
         for batch in batches:
             langs = batch.column(0).dictionary_encode()
             code = langs.indices.to_numpy()
             for k, lang in enumerate(langs.dictionary.to_pylist()):
-                texts = batch.column(1).take(pa.array(np.flatnonzero(code == k)))
-                _, offsets = W.text_bytes(texts)
-                for i, j in W.slices(offsets, SLICE_BYTES):
-                    yield from _phrases(lang, texts.slice(i, j - i), scan, shards, activity.value)
+                mine = np.flatnonzero(code == k)
+                _, offsets = W.text_bytes(batch.column(1))
+                ends = np.r_[0, np.cumsum(np.diff(offsets)[mine])]
+                for i, j in W.slices(ends, SLICE_BYTES):
+                    yield from _phrases(lang, batch.column(1).take(pa.array(mine[i:j])), scan, shards, activity.value)
 
-    return shard.select("lang", "text").mapInArrow(run, "lang string, n int, phrase string, count long")
+    return shard.select("lang", "text").mapInArrow(run, "key string, count long")
+
+
+def _split(keys: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(words of each phrase, hash of each word, first word of each phrase) of keys."""
+    both = pc.split_pattern(keys, _BREAK, max_splits=1, reverse=True).flatten()
+    even = np.arange(0, len(both), 2)
+    langs, phrases = both.take(pa.array(even)).dictionary_encode(), both.take(pa.array(even + 1))
+    lang = np.array([_lang_hash(x) for x in langs.dictionary.to_pylist()], np.uint64)[langs.indices.to_numpy()]
+    h, first = _word_hashes(phrases, lang)
+    return np.diff(first), h, first[:-1]
 
 
 def _kept(state: DataFrame, scan: int, shards: int, threshold: int, activity) -> DataFrame:
     """``state`` without the rows whose cycle is over below the threshold."""
     def run(batches):
         for batch in batches:
-            n, total = batch.column("n").to_numpy(), batch.column("total").to_numpy()
-            rare = np.flatnonzero((total < threshold) & (n > 0))
+            rare = np.flatnonzero(batch.column("packed").to_numpy() >> _MET < threshold)
             if len(rare):
-                langs = batch.column("lang").dictionary_encode()
-                lang = np.array([_lang_hash(x) for x in langs.dictionary.to_pylist()], np.uint64)[langs.indices.to_numpy()]
-                h, first = _word_hashes(batch.column("phrase").take(pa.array(rare)), lang[rare])
-                over = np.full(len(rare), scan >= shards - 1)
-                for k, parts_of in ((2, lambda f: (h[f], h[f + 1])), (3, lambda f: (_join(h[f], h[f + 1]), _join(h[f + 1], h[f + 2])))):
-                    these = np.flatnonzero(n[rare] == k)
-                    over[these] = activity.value.over(k - 1, *parts_of(first[these]), scan, shards)
+                n, h, first = _split(batch.column("key").take(pa.array(rare)))
+                over = (n == 1) & (scan >= shards - 1)
+                for k, sides in ((2, lambda f: (h[f], h[f + 1])), (3, lambda f: (_join(h[f], h[f + 1]), _join(h[f + 1], h[f + 2])))):  # noqa: B023
+                    over[n == k] = activity.value.over(k - 1, *sides(first[n == k]), scan, shards)
                 stay = np.ones(batch.num_rows, bool)
                 stay[rare[over]] = False
                 batch = batch.filter(pa.array(stay))
@@ -166,26 +178,31 @@ def _kept(state: DataFrame, scan: int, shards: int, threshold: int, activity) ->
     return state.mapInArrow(run, state.schema)
 
 
-def _learn(state: DataFrame, scan: int, activity: Activity) -> None:
-    """Note the words and pairs that reached the threshold in this scan; at most 2**22 rows come to the driver."""
+def _reach() -> Column:
+    return F.col("packed").bitwiseAND((1 << _REACH) - 1) - 1
+
+
+def _learn(state: DataFrame, scan: int, activity: Activity) -> bool:
+    """Note the words and pairs that reached the threshold in this scan, and whether there are any; at most 2**21 rows come to the driver."""
     bits = np.uint64(64 - activity.bits)
 
     def run(batches):
         for batch in batches:
-            langs = batch.column("lang").dictionary_encode()
-            lang = np.array([_lang_hash(x) for x in langs.dictionary.to_pylist()], np.uint64)[langs.indices.to_numpy()]
-            h, first = _word_hashes(batch.column("phrase"), lang)
-            first = first[:-1]
-            pair = batch.column("n").to_numpy() == 2
-            key = np.where(pair, _join(h[first], h[np.minimum(first + 1, max(len(h) - 1, 0))]), h[first]) if len(first) else np.empty(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("n"), pa.array((key >> bits).astype(np.int64))], names=["n", "bucket"])
-
-    new = state.where((F.col("n").between(1, 2)) & (F.col("reach") == scan)).select("lang", "n", "phrase")
+            n, h, first = _split(batch.column(0))
+            short = (n == 1) | (n == 2)
+            n, first = n[short], first[short]
+            key = h[first] if len(first) else np.empty(0, np.uint64)
+            two = n == 2
+            key[two] = _join(key[two], h[first[two] + 1])
+            yield pa.RecordBatch.from_arrays([pa.array(n.astype(np.int32)), pa.array((key >> bits).astype(np.int64))], names=["n", "bucket"])
+
+    new = state.where(_reach() == scan).select("key")
     rows = new.mapInArrow(run, "n int, bucket long").groupBy("n", F.shiftright("bucket", 3).alias("at")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast(8 * (bucket & 7) + {scan} as int))")).alias("bits")).toArrow()
+        F.bit_or(F.expr(f"shiftleft(1L, cast(8 * (bucket & 7) + {min(scan, 7)} as int))")).alias("bits")).toArrow()
     for n, table in activity.tables.items():
         mine = rows.filter(pc.equal(rows["n"], n))
         table.view(np.int64)[mine["at"].to_numpy()] |= mine["bits"].to_numpy()
+    return rows.num_rows > 0
 
 
 def counts(docs: DataFrame, threshold: int = THRESHOLD, shards: int = SHARDS, bits: int = BUCKET_BITS) -> DataFrame:
@@ -195,26 +212,29 @@ def counts(docs: DataFrame, threshold: int = THRESHOLD, shards: int = SHARDS, bi
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = written(rows.withColumn("shard", F.pmod(F.xxhash64("lang", "text"), F.lit(shards)).cast("int")), "shards", ("shard",))
-    empty = "lang string, n int, phrase string, total long, met int, reach int"
-    state, activity, last = spark.createDataFrame([], empty), Activity(bits), -1
+    state, activity, last = spark.createDataFrame([], "key string, packed long"), Activity(bits), -1
     for scan in range(3 * shards):
         shard, shared = scan % shards, spark.sparkContext.broadcast(activity)
         new = scanned(rows.where(F.col("shard") == shard), scan, shards, shared)
-        both = state.withColumn("count", F.lit(0).cast("long")).unionByName(new.select(
-            "lang", "n", "phrase", F.lit(0).cast("long").alias("total"), F.lit(0).alias("met"), F.lit(None).cast("int").alias("reach"), "count"))
-        both = both.groupBy("lang", "n", "phrase").agg(F.sum("total").alias("old"), F.bit_or("met").alias("met"), F.min("reach").alias("reach"), F.sum("count").alias("count"))
-        again = F.col("met").bitwiseAND(1 << shard) != 0
-        total = F.col("old") + F.when(again, F.lit(0)).otherwise(F.col("count"))
-        both = both.select("lang", "n", "phrase", total.alias("total"), F.when(F.col("count") > 0, F.col("met").bitwiseOR(F.lit(1 << shard))).otherwise(F.col("met")).alias("met"),
-                           F.coalesce("reach", F.when(total >= threshold, F.lit(scan))).cast("int").alias("reach"))
+        both = state.withColumn("count", F.lit(0).cast("long")).unionByName(new.withColumn("packed", F.lit(0).cast("long")))
+        # A key has one row of the state at most, so the sum of packed values is that row's.
+        both = both.groupBy("key").agg(F.sum("packed").alias("old"), F.sum("count").alias("count"))
+        old, met = F.col("old"), 1 << (_REACH + shard)
+        again = old.bitwiseAND(F.lit(met).cast("long")) != 0
+        total = F.shiftright("old", _MET) + F.when(again, F.lit(0)).otherwise(F.col("count"))
+        low = F.when(F.col("count") > 0, old.bitwiseOR(F.lit(met).cast("long"))).otherwise(old).bitwiseAND(F.lit((1 << _MET) - 1).cast("long"))
+        reached = F.when((low.bitwiseAND((1 << _REACH) - 1) == 0) & (total >= threshold), F.lit(scan + 1)).otherwise(F.lit(0))
+        both = both.select("key", (F.shiftleft(total, _MET) + low + reached).alias("packed"))
         state = written(_kept(both, scan, shards, threshold, shared), "counts")
-        _learn(state, scan, activity)
+        last = scan if _learn(state, scan, activity) else last
         shared.destroy()
-        if scan < 8 and any((table >> scan & 1).any() for table in activity.tables.values()):
-            last = scan
         if scan >= max(shards - 1, last + shards):
             break
-    return state.where((F.col("n") == 0) | (F.col("total") >= threshold)).select("lang", "n", "phrase", "total")
+    phrase = F.substring_index("key", _BREAK, -1)
+    lang = F.expr("substring(key, 1, length(key) - length(phrase) - 1)")
+    found = state.withColumn("total", F.shiftright("packed", _MET)).withColumn("phrase", phrase).withColumn("lang", lang)
+    n = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
+    return found.where((F.col("phrase") == "") | (F.col("total") >= threshold)).select("lang", n.alias("n"), "phrase", "total")
 
 
 def _head(column: str, n: int) -> Column:
