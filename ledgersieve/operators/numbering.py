@@ -6,6 +6,10 @@ rows).  Rows per finest group are counted with partial aggregation, the counts
 are turned into offsets on small tables, and only the position *inside* one
 finest group needs a window over rows.  The caller picks the levels so that a
 finest group is bounded, whatever a single day, file or vendor holds.
+
+Where no such levels are known, rows are dealt to ranges of the whole order, whose
+borders Spark samples, sorted inside them and written.  Ranges hold about as many rows
+each, however often a value repeats, and only their sizes and first rows meet in one task.
 """
 
 from __future__ import annotations
@@ -14,6 +18,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ledgersieve.sources.staging import settled
+
 # Rows of one file and day that are numbered together.
 ROW_BLOCK = 1_000_000
 
@@ -91,3 +97,45 @@ def transaction_ids(rows: DataFrame) -> DataFrame:
 def ensure_transaction_ids(rows: DataFrame) -> DataFrame:
     """Add ids only where the table has none."""
     return rows if "txn_id" in rows.columns else transaction_ids(rows)
+
+
+# A written row's id is its range above these bits, and its place in the range below.
+PLACE_BITS = 33
+
+
+def ranges(rows: DataFrame, order: Sequence[str], label: str) -> DataFrame:
+    """``rows`` in ranges of ``order``, sorted and written, with ``_range`` and ``_place`` (from 0).
+
+    Ids of a range rise with the order, and ranges are numbered by it; both are fixed by
+    the written table, so lost executors or other samples can't change them.  Rows that
+    ``order`` does not tell apart may lie on both sides of a border.
+    """
+    spark = rows.sparkSession
+    count = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    dealt = rows.repartitionByRange(count, *order).sortWithinPartitions(*order)
+    placed = settled(spark, dealt.withColumn("_id", F.monotonically_increasing_id()), label)
+    return placed.withColumns({
+        "_range": F.shiftright("_id", PLACE_BITS), "_place": F.col("_id").bitwiseAND((1 << PLACE_BITS) - 1)}).drop("_id")
+
+
+def ranged_sequence(rows: DataFrame, order: Sequence[str], out: str, label: str) -> DataFrame:
+    """Number rows 1, 2, 3 … by ``order``, nulls first, in one shuffle; only a row per range is added up."""
+    placed = ranges(rows, order, label)
+    counts = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("n"))
+    offsets = settled(rows.sparkSession, group_offsets(counts, [["_range"]]), f"{label}-offsets")
+    return placed.join(offsets, "_range").withColumn(out, F.col("_offset") + F.col("_place") + 1).drop("_offset", "_range", "_place")
+
+
+def with_next(rows: DataFrame, order: Sequence[str], columns: Sequence[str], label: str) -> DataFrame:
+    """Add ``next_…`` of the row that follows in ``order`` over the whole table; null for the last.
+
+    Neighbours are looked up inside each range, and the first row of a range is handed to
+    the one before it.  No key has a task of its own, so none is hot.
+    """
+    placed = ranges(rows, order, label)
+    firsts = placed.where("_place = 0").select("_range", F.struct(*columns).alias("_first"))
+    handed = settled(rows.sparkSession, firsts.select(
+        "_range", F.lead("_first").over(Window.partitionBy(F.lit(0)).orderBy("_range")).alias("_handed")), f"{label}-borders")
+    inside = Window.partitionBy("_range").orderBy("_place")
+    found = placed.join(handed, "_range").withColumn("_next", F.coalesce(F.lead(F.struct(*columns)).over(inside), F.col("_handed")))
+    return found.select(*rows.columns, *[F.col("_next")[c].alias(f"next_{c}") for c in columns])

@@ -11,10 +11,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgersieve import config as C
-from ledgersieve.functions.text import money_text, month_text
+from ledgersieve.functions.text import concentration_vendor, money_text, month_text
 from ledgersieve.operators import analytics as A
 from ledgersieve.operators.findings import listed_links, named_only
 from ledgersieve.schema import TOTAL
+from ledgersieve.sources.staging import settled
 
 ISSUE_COLUMNS = ("check_name", "severity", "alert_id", "detail", "n")
 
@@ -199,10 +200,11 @@ def duplicate_issues(
     })
 
 
-def all_issues(transactions: DataFrame, findings: DataFrame) -> DataFrame:
+def all_issues(transactions: DataFrame, findings: DataFrame, config: C.ScreeningConfig = C.DEFAULT) -> DataFrame:
+    """All checks, by the settings that the findings were made with."""
     parts = [
         transaction_issues(transactions), unknown_references(transactions, findings),
-        growth_issues(transactions, findings), duplicate_issues(transactions, findings),
+        growth_issues(transactions, findings), duplicate_issues(transactions, findings, config.duplicate.max_days_apart),
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -289,6 +291,64 @@ def dashboard_metrics(transactions: DataFrame, opening: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def recomputed_metrics(transactions: DataFrame, opening: DataFrame, label: str = "recomputed") -> DataFrame:
+    """The figures of :func:`dashboard_metrics` again, by other means.
+
+    One aggregation with grouping sets reads the transactions once, for all figures:
+    by month, by direction and category, by first digit, by vendor, and over all.  It is
+    written, and every figure follows from its few rows; no formula is shared with the
+    dashboard's, so an error in one of them shows.
+    """
+    paid = F.col("debit") > 0
+    digits = F.ltrim(F.translate(F.format_number(F.col("debit"), 2), ",.", ""), F.lit("0"))
+    rows = transactions.select(
+        F.date_format("date", "yyyy-MM").alias("month"), "direction", F.col("operation_type").alias("category"), "date", "debit", "credit",
+        F.when(paid, F.when(F.col("debit") < 1, F.lit("0")).otherwise(F.left(digits, F.lit(1)))).alias("digit"),
+        concentration_vendor(transactions.columns).alias("vendor"))
+    sets = [["month"], ["direction", "category"], ["digit"], ["vendor"], []]
+    keys = ["month", "direction", "category", "digit", "vendor"]
+    summed = rows.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in keys]).agg(
+        F.grouping_id(*keys).alias("g"), F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum("debit"), F.lit(0)).alias("out"), F.coalesce(F.sum("credit"), F.lit(0)).alias("into"),
+        F.min("date").alias("first"), F.max("date").alias("last"))
+    summed = settled(transactions.sparkSession, summed, label)
+    # A set's number has a bit for each key that it leaves out.
+    number = lambda s: sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in s)
+    months, categories, by_digit, vendors, total = (summed.where(F.col("g") == number(s)) for s in sets)
+
+    def listed(rows: DataFrame, section: str, key: Column, metric: str, value: Column) -> DataFrame:
+        return rows.select(F.lit(section).alias("section"), key.cast("string").alias("key"), F.lit(metric).alias("metric"), value.cast("double").alias("value"))
+
+    start = opening.agg(F.sum("balance").alias("b")).scalar()
+    days = F.datediff("last", "first")
+    a_day = lambda x: F.when(days > 0, F.bround(x.cast("double") / days, 2))
+    net = F.col("into") - F.col("out")
+    cash = {
+        "Total Transactions": F.col("n"), "Beginning Balance": start, "Ending Balance": start + net, "Total Inflows": F.col("into"),
+        "Total Outflows": F.col("out"), "Net Cash Flow": net, "Avg Daily Inflow": a_day(F.col("into")), "Avg Daily Outflow": a_day(F.col("out")),
+        "Daily Burn Rate": a_day(F.col("out") - F.col("into"))}
+    parts = [listed(total, "Cash Flow Metrics", F.lit(k), "Value", v) for k, v in cash.items()]
+    dated = months.where("month is not null")
+    parts += [listed(dated, "Monthly Trends", F.col("month"), m, F.col(c) if c else net) for m, c in (("Inflows", "into"), ("Outflows", "out"), ("Net", None))]
+    counted = by_digit.where("digit is not null")
+    every = counted.agg(F.sum("n").alias("n")).scalar()
+    enough = every >= C.BENFORD_MIN_ROWS
+    nine = transactions.sparkSession.range(1, 10).select(F.col("id").cast("string").alias("d"))
+    share = nine.join(counted, F.col("d") == F.col("digit"), "left").where(enough)
+    parts.append(listed(share, "Benford", F.col("d"), "Actual % (Debit)", F.bround(F.coalesce("n", F.lit(0)) * 100 / every, 1)))
+    whole = vendors.agg(F.sum("out").alias("s")).scalar()
+    first = vendors.where(whole > 0).orderBy(F.desc("out"), "vendor").limit(C.CONCENTRATION_TOP)
+    top = settled(transactions.sparkSession, first.select("vendor", F.col("out").alias("spent")), f"{label}-top")
+    others = vendors.join(top.select("vendor"), "vendor", "left_anti").agg(F.sum("out").alias("spent")).where(F.col("spent") > 0)
+    rest = others.select(F.lit(C.OTHER_VENDORS).alias("vendor"), "spent")
+    both = top.unionByName(rest)
+    parts.append(listed(both, "Vendor Concentration", F.col("vendor"), "Total Spending", F.col("spent")))
+    parts.append(listed(both, "Vendor Concentration", F.col("vendor"), "% of Total", F.bround(F.col("spent").cast("double") / whole.cast("double"), 3)))
+    parts.append(listed(categories.where("direction = 'Outflow'"), "Category Outflows", F.col("category"), "Amount", F.col("out")))
+    parts.append(listed(categories.where("direction = 'Inflow'"), "Category Inflows", F.col("category"), "Amount", F.col("into")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def compare_metrics(published: DataFrame, recomputed: DataFrame) -> DataFrame:
     """Full outer comparison with a tolerance per metric: OK, MISMATCH or N/A."""
     keys = ["section", "key", "metric"]

@@ -18,8 +18,8 @@ from ledgersieve import config as C
 from ledgersieve.functions.text import (
     contains_any, money_text, month_text, screening_vendor, source_pointer,
 )
-from ledgersieve.operators.numbering import dense_sequence, ensure_transaction_ids
-from ledgersieve.operators.percentile import amount_bucket, exact_percentile
+from ledgersieve.operators.numbering import ensure_transaction_ids, ranged_sequence, with_next
+from ledgersieve.operators.percentile import exact_percentile
 from ledgersieve.schema import FINDINGS, TOTAL
 
 SORT_KEYS = {
@@ -94,8 +94,8 @@ def duplicate_pairs(transactions: DataFrame, rule: C.DuplicateRule = C.DEFAULT.d
 
     Rows with the same vendor, amount and day are folded first: inside such a group
     neighbours are zero days apart and never count, so only its first and last row
-    matter.  Neighbours are then looked up inside one vendor and amount bucket, and
-    across the border of two buckets on the first and last row of each.
+    matter.  Neighbours are looked up in ranges of the whole order, so a vendor with a
+    third of all rows is spread like any other.
     """
     rows = screened(transactions).filter(F.col("debit") >= F.lit(rule.min_amount).cast("decimal(18,2)"))
     if "operation_type" in rows.columns:
@@ -105,28 +105,15 @@ def duplicate_pairs(transactions: DataFrame, rule: C.DuplicateRule = C.DEFAULT.d
         .groupBy("vendor_key", "debit", "date")
         .agg(F.min("txn_seq").alias("first_seq"), F.max("txn_seq").alias("last_seq"),
              F.max_by("is_fee", "txn_seq").alias("is_fee"))
-        .withColumn("bucket", amount_bucket(F.col("debit")))
     )
     following = ("debit", "date", "first_seq")
-    inside = Window.partitionBy("vendor_key", "bucket").orderBy("debit", "date")
-    looked_up = groups.select(
-        "*", *[F.lead(c).over(inside).alias("next_" + c) for c in following],
-        F.row_number().over(inside).alias("place"))
-
-    within = looked_up.filter(F.col("next_first_seq").isNotNull())
-    edges = looked_up.filter((F.col("place") == 1) | F.col("next_first_seq").isNull())
-    along = Window.partitionBy("vendor_key").orderBy("debit", "date")
-    across = (
-        edges.withColumns({f"edge_{c}": F.lead(c).over(along) for c in following})
-        .filter(F.col("next_first_seq").isNull() & F.col("edge_first_seq").isNotNull())
-        .withColumns({f"next_{c}": F.col(f"edge_{c}") for c in following})
-    )
+    pairs = with_next(groups, ["vendor_key", "debit", "date"], ["vendor_key", *following], "payments")
+    pairs = pairs.filter(F.col("next_vendor_key") == F.col("vendor_key"))
     columns = ["vendor_key", "debit", "date", "last_seq", "is_fee", *[f"next_{c}" for c in following]]
     days = F.abs(F.datediff("next_date", "date"))
     near = (F.col("next_debit") - F.col("debit")) < F.col("debit") * F.lit(rule.amount_tolerance).cast("decimal(6,4)")
     return (
-        within.select(*columns).unionByName(across.select(*columns))
-        .withColumn("days_apart", days)
+        pairs.select(*columns).withColumn("days_apart", days)
         .filter(near & (F.col("days_apart") >= 1) & (F.col("days_apart") <= rule.max_days_apart) & ~F.col("is_fee"))
         .select(
             "vendor_key", "days_apart",
@@ -223,10 +210,14 @@ def new_counterparties(
 
 # --- round amounts ---------------------------------------------------------------
 
-def round_amounts(transactions: DataFrame, rule: C.RoundAmountRule = C.DEFAULT.round_amount) -> DataFrame:
-    rows = debits(transactions).filter(
+def round_payments(transactions: DataFrame, rule: C.RoundAmountRule = C.DEFAULT.round_amount) -> DataFrame:
+    return debits(transactions).filter(
         (F.col("debit") >= rule.step) & (F.col("debit") % rule.step == 0)
         & ~contains_any(F.col("description_clean"), rule.fixed_cost_words))
+
+
+def round_amounts(transactions: DataFrame, rule: C.RoundAmountRule = C.DEFAULT.round_amount) -> DataFrame:
+    rows = round_payments(transactions, rule)
     overall = rows.agg(F.count(F.lit(1)).alias("n"))
     amounts = (
         rows.groupBy("debit").agg(
@@ -415,8 +406,12 @@ def weekend_collapsed(
 
 # --- high-velocity days --------------------------------------------------------------------
 
+def large_payments(transactions: DataFrame, rule: C.VelocityRule = C.DEFAULT.velocity) -> DataFrame:
+    return debits(transactions).filter(F.col("debit") > F.lit(rule.min_amount).cast("decimal(18,2)"))
+
+
 def high_velocity(transactions: DataFrame, rule: C.VelocityRule = C.DEFAULT.velocity) -> DataFrame:
-    rows = debits(transactions).filter(F.col("debit") > F.lit(rule.min_amount).cast("decimal(18,2)"))
+    rows = large_payments(transactions, rule)
     days = rows.groupBy("date").agg(F.count(F.lit(1)).alias("n"), F.sum("debit").alias("total")).filter(
         F.col("n") >= rule.min_count)
     listed = _first_rows(rows.select("date", "txn_seq", "txn_id"), ["date"], ["txn_seq"], rule.listed_ids)
@@ -440,13 +435,18 @@ def high_velocity(transactions: DataFrame, rule: C.VelocityRule = C.DEFAULT.velo
 
 # --- vendor growth -----------------------------------------------------------------------------
 
-def vendor_growth(transactions: DataFrame, rule: C.GrowthRule = C.DEFAULT.growth) -> DataFrame:
-    """Vendors whose spend in the last month is a multiple of their first active month."""
-    dates = transactions.agg(F.countDistinct("date").alias("n")).scalar()
+def growth_payments(transactions: DataFrame, rule: C.GrowthRule = C.DEFAULT.growth) -> DataFrame:
+    """Payments the growth rule looks at, with their ``month``."""
     rows = debits(transactions)
     if "operation_type" in rows.columns:
         rows = rows.filter(~F.col("operation_type").isin(*rule.excluded_categories))
-    rows = rows.withColumn("month", F.trunc("date", "MM"))
+    return rows.withColumn("month", F.trunc("date", "MM"))
+
+
+def vendor_growth(transactions: DataFrame, rule: C.GrowthRule = C.DEFAULT.growth) -> DataFrame:
+    """Vendors whose spend in the last month is a multiple of their first active month."""
+    dates = transactions.agg(F.countDistinct("date").alias("n")).scalar()
+    rows = growth_payments(transactions, rule)
     monthly = rows.groupBy("vendor_key", "month").agg(
         F.sum("debit").alias("spend"), F.count(F.lit(1)).alias("n"), F.max("date").alias("last_day"))
     latest = rows.agg(F.max("month").alias("m")).scalar()
@@ -462,12 +462,13 @@ def vendor_growth(transactions: DataFrame, rule: C.GrowthRule = C.DEFAULT.growth
                 & (F.col("late_spend") > F.col("base_spend") * F.lit(rule.growth_factor).cast("decimal(6,2)")))
         .filter((dates > rule.min_dates) & (months >= rule.min_months))
     )
-    top = _first_rows(
-        rows.select("vendor_key", "month", "debit", "txn_seq", "txn_id"),
-        ["vendor_key", "month"], [F.desc("debit"), "txn_seq"], rule.listed_ids)
+    # Only payments of a growing vendor's two months are ranked.
     wanted = growing.select(
         "vendor_key", F.explode(F.array("base_month", "late_month")).alias("month"))
-    listed = _gathered(top.join(wanted, ["vendor_key", "month"], "left_semi"), ["vendor_key", "month"], "txn_id")
+    top = _first_rows(
+        rows.select("vendor_key", "month", "debit", "txn_seq", "txn_id").join(wanted, ["vendor_key", "month"], "left_semi"),
+        ["vendor_key", "month"], [F.desc("debit"), "txn_seq"], rule.listed_ids)
+    listed = _gathered(top, ["vendor_key", "month"], "txn_id")
     named = lambda month, items: listed.select(
         "vendor_key", F.col("month").alias(month), F.col("items").alias(items))
     full = (
@@ -508,16 +509,7 @@ def vendor_growth(transactions: DataFrame, rule: C.GrowthRule = C.DEFAULT.growth
 
 def number_alerts(drafts: DataFrame) -> DataFrame:
     """Number draft alerts by rule, then by the natural order of each rule."""
-    keyed = (
-        drafts
-        .withColumn("_d", F.coalesce("k_date", F.lit("0001-01-01").cast("date")))
-        .withColumn("_v", F.coalesce("k_vendor", F.lit("")))
-        .withColumn("_p", F.substring("_v", 1, 3))
-        .withColumn("_b", F.coalesce(amount_bucket(F.col("k_amount")), F.lit(0)))
-    )
-    numbered = dense_sequence(
-        keyed, levels=[["rule_no"], ["_d"], ["_p"], ["_v"], ["_b"]],
-        order=["k_amount", "k_day", "k_seq"], out="alert_seq")
+    numbered = ranged_sequence(drafts, list(SORT_KEYS), "alert_seq", "alerts")
     return numbered.withColumn("alert_id", F.format_string("A%04d", "alert_seq")).select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in FINDINGS])
 

@@ -91,7 +91,7 @@ def publish(
     """Screen a consolidated run, check it and write every table under ``out``."""
     txns = run.transactions
     findings, stats = screened(spark, txns, name, config)
-    issues = settled(spark, Q.all_issues(txns, findings), f"{name}-issues")
+    issues = settled(spark, Q.all_issues(txns, findings, config), f"{name}-issues")
     Q.enforce(issues, strict)
     reconciled = Q.reconciliation(txns, run.opening, run.closing)
     paths = {"transactions": f"{out}/transactions"}
@@ -99,6 +99,7 @@ def publish(
     tables = {
         "findings": R.alerts_table(findings),
         "evidence": R.evidence_index(findings, txns),
+        "alert_links": R.alert_links(findings, txns, config, stats),
         "dashboard": Q.dashboard_metrics(txns, run.opening),
         "monthly_trend": A.monthly_trend(txns),
         "benford": A.benford(txns),
@@ -118,9 +119,9 @@ def publish(
     for table, frame in tables.items():
         paths[table] = f"{out}/{table}"
         write_table(frame, paths[table], file_format)
-    # What was written against what the written transactions give.
+    # What was written against what the written transactions give by other means.
     read = lambda table: spark.read.format(file_format).load(paths[table])
-    again = Q.dashboard_metrics(read("transactions").select(*txns.columns), run.opening)
+    again = Q.recomputed_metrics(read("transactions").select(*txns.columns), run.opening)
     paths["dashboard_check"] = f"{out}/dashboard_check"
     write_table(Q.compare_metrics(read("dashboard"), again), paths["dashboard_check"], file_format)
     return paths

@@ -222,7 +222,7 @@ def metric_comparison(spark, sf_dir):
     run = intake(spark, sf_dir)
     published = stage(spark, f"dashboard-{_slug(sf_dir)}", lambda: Q.dashboard_metrics(
         transactions(spark, sf_dir), run.opening))
-    return rounded(Q.compare_metrics(published, Q.dashboard_metrics(run.transactions, run.opening)), 4)
+    return rounded(Q.compare_metrics(published, Q.recomputed_metrics(run.transactions, run.opening)), 4)
 
 
 def queries() -> dict:
@@ -293,6 +293,10 @@ def queries() -> dict:
     add("evidence_index", lambda s, d: R.evidence_index(findings(s, d), transactions(s, d)))
     add("evidence_index_folded", lambda s, d: R.evidence_index(findings(s, d, "folded"), folded(s, d)))
 
+    add("alert_links", lambda s, d: R.alert_links(findings(s, d), transactions(s, d), stats=statistics(s, d)))
+    add("alert_links_folded", lambda s, d: R.alert_links(
+        findings(s, d, "folded"), folded(s, d), stats=statistics(s, d, "folded")))
+
     # integrity
     add("transaction_issues", lambda s, d: Q.transaction_issues(V.damaged_transactions(transactions(s, d))))
     add("unknown_references", lambda s, d: Q.unknown_references(

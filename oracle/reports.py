@@ -363,6 +363,22 @@ def evidence(calendar: str) -> str:
         "FROM lk LEFT JOIN txn t ON t.txn_id = lk.txn_id", calendar, LINKS)
 
 
+def alert_links(calendar: str) -> str:
+    """Every payment behind an alert, whether the alert names it or not."""
+    by_rule = lambda n, source, on, group="'Related'", id="t.txn_id": (
+        f"SELECT f.alert_seq, {group} AS grp, {id} AS txn_id FROM fnd f JOIN {source} t ON {on} WHERE f.rule_no = {n}")
+    parts = [
+        "SELECT alert_seq, grp, txn_id FROM lk SEMI JOIN (SELECT alert_seq FROM fnd WHERE rule_no IN (1, 2, 5)) USING (alert_seq)",
+        by_rule(3, "ra", "t.debit = f.amount"), by_rule(4, "txn", "t.debit > 0 AND t.d = f.date_1 AND t.vk = f.vendor"),
+        by_rule(6, "wh", "true"), by_rule(7, "txn", "t.debit > 20000 AND t.d = f.date_1"),
+        *(by_rule(8, "gr", f"t.vk = f.vendor AND t.m = strftime(f.{d}, '%Y-%m')", quoted(g)) for g, d in (("Baseline", "date_1"), ("Latest", "date_2")))]
+    return Q.findings_query(
+        "SELECT f.alert_seq, f.alert_id, f.category, a.grp, a.txn_id, l.txn_id IS NOT NULL AS listed FROM every a "
+        "JOIN fnd f USING (alert_seq) LEFT JOIN (SELECT DISTINCT alert_seq, grp, txn_id FROM lk) l "
+        "ON l.alert_seq = a.alert_seq AND l.grp = a.grp AND l.txn_id = a.txn_id",
+        calendar, LINKS + ",\nevery AS (" + "\nUNION ALL ".join(parts) + ")")
+
+
 ANCHOR = "COALESCE(anchor_date, greatest(date_1, date_2))"
 
 
@@ -485,6 +501,8 @@ def queries() -> dict[str, str]:
             f"next_step, {text(ANCHOR)} AS anchor_date FROM fnd", "folded"),
         "evidence_index": evidence("actual"),
         "evidence_index_folded": evidence("folded"),
+        "alert_links": alert_links("actual"),
+        "alert_links_folded": alert_links("folded"),
         # integrity
         "transaction_issues": with_txn(
             "SELECT check_name, severity, CAST(NULL AS VARCHAR) AS alert_id, CAST(NULL AS VARCHAR) AS detail, n "

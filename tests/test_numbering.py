@@ -58,3 +58,43 @@ def test_percentile_equals_linear_interpolation(spark, size):
 def test_percentile_of_nothing(spark):
     got = exact_percentile(spark.createDataFrame([], "v decimal(18,2)"), "v", "0.95").first()
     assert got.n == 0 and got.percentile is None
+
+
+def _skewed(spark, n=4000):
+    """Rows of which a third have one key, and all keys begin alike."""
+    rng = random.Random(3)
+    rows = [("AAA HOT" if rng.random() < 0.33 else f"AAA {rng.randint(1, 40):02d}", rng.choice([None, *range(60)]), i) for i in range(n)]
+    return rows, spark.createDataFrame(rows, "k string, v int, id int").repartition(5)
+
+
+def _sorted(rows):
+    return sorted(rows, key=lambda r: (r[0], r[1] is not None, r[1] or 0, r[2]))
+
+
+def test_numbers_by_ranges_follow_the_order_and_ranges_are_even(spark):
+    rows, frame = _skewed(spark)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        got = N.ranged_sequence(frame, ["k", "v", "id"], "n", "test").collect()
+        sizes = [r["count"] for r in N.ranges(frame, ["k", "v", "id"], "test").groupBy("_range").count().collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert [(r.k, r.v, r.id) for r in sorted(got, key=lambda r: r.n)] == _sorted(rows)
+    assert sorted(r.n for r in got) == list(range(1, len(rows) + 1))
+    assert len(sizes) >= 12 and max(sizes) < 3 * len(rows) / len(sizes)
+
+
+@pytest.mark.parametrize("parts", [1, 7, 64])
+def test_the_next_row_is_found_over_range_borders(spark, parts):
+    rows, frame = _skewed(spark, 200)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        got = N.with_next(frame, ["k", "v", "id"], ["k", "id"], "test").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    order = _sorted(rows)
+    expected = {a[2]: (b[0], b[2]) for a, b in zip(order, order[1:])} | {order[-1][2]: (None, None)}
+    assert {r.id: (r.next_k, r.next_id) for r in got} == expected
+    assert N.with_next(frame.limit(0), ["k"], ["id"], "test").count() == 0

@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import findings, row, transactions, written
+from helpers import findings, frame, row, transactions, written
 from ledgersieve import config as C
 from ledgersieve.operators import analytics as A, findings as R, quality as Q, tables as K
 from ledgersieve.operators import screening as S
@@ -174,3 +174,55 @@ def test_configuration_tables(spark):
     values = {r.parameter: r.value for r in K.run_calculations(stats).collect()}
     assert values == {"p95_debit (outflows)": "N/A (n<=20)", "weekend_threshold": "25000.00",
                       "weekend_threshold_floor": "25000"}
+
+
+def test_links_hold_every_payment_of_an_alert(spark):
+    from collections import defaultdict
+
+    import brute
+    from test_rules import skewed
+
+    table = transactions(spark, skewed(5, 700), partitions=3)
+    plain = [r for r in frame(table) if r["debit"] is not None and r["debit"] > 0]
+    found = findings(spark, table)
+    links = defaultdict(dict)
+    for r in R.alert_links(found, table).collect():
+        assert (r["grp"], r["txn_id"]) not in links[r["alert_id"]]
+        links[r["alert_id"]][r["grp"], r["txn_id"]] = r["listed"]
+    names = {n: i for i, n in enumerate(C.RULE_NAMES, 1)}
+    seen = set()
+    for alert in found.collect():
+        rule, got = names[alert["category"]], links[alert["alert_id"]]
+        seen.add(rule)
+        listed = {(t["grp"], t["txn_id"]) for t in alert["txns"]}
+        assert {k for k, shown in got.items() if shown} == listed
+        month = lambda r: r["date"].replace(day=1)
+        expected = {
+            3: lambda: {("Related", r["txn_id"]) for r in plain if r["debit"] == alert["amount"] and not brute.says(r["description_clean"], C.FIXED_COST_WORDS)},
+            4: lambda: {("Related", r["txn_id"]) for r in plain if r["date"] == alert["date_1"] and brute.key(r) == alert["vendor"]},
+            7: lambda: {("Related", r["txn_id"]) for r in plain if r["date"] == alert["date_1"] and r["debit"] > 20000},
+            8: lambda: {(g, r["txn_id"]) for g, d in (("Baseline", "date_1"), ("Latest", "date_2")) for r in plain
+                        if brute.key(r) == alert["vendor"] and month(r) == alert[d] and r["operation_type"] not in C.GROWTH_EXCLUDED_CATEGORIES},
+        }.get(rule, lambda: listed)
+        if rule == 6:
+            assert len(got) == int(alert["vendor"].split()[0]) and all(r["debit"] > 25000 for r in plain if ("Related", r["txn_id"]) in got)
+        else:
+            assert set(got) == expected(), alert["category"]
+    assert {1, 3, 4, 6, 7} <= seen
+
+
+@pytest.mark.parametrize("rows", [0, 3, 400])
+def test_the_recomputation_equals_the_dashboard_and_shows_damage(spark, rows):
+    from test_rules import skewed
+
+    table = transactions(spark, skewed(6, rows), partitions=3) if rows else transactions(spark, [row("2024-01-01", "x", debit=1)]).limit(0)
+    opening = spark.createDataFrame([("A_s.csv", Decimal("10.50"), "x")], "source_file string, balance decimal(18,2), ref string")
+    published = written(spark, lambda: Q.dashboard_metrics(table, opening))
+    again = Q.recomputed_metrics(table, opening)
+    status = {(r["section"], r["key"], r["metric"]): r["status"] for r in Q.compare_metrics(published, again).collect()}
+    assert len(status) == published.count()
+    assert set(status.values()) <= {"OK", "N/A"} and ("N/A" not in status.values() or rows < 50)
+    if rows == 400:
+        damaged = published.withColumn("value", F.when(F.col("section") == "Monthly Trends", F.col("value") + 1).otherwise(F.col("value")))
+        bad = Q.compare_metrics(damaged, again).where("status = 'MISMATCH'").select("section").distinct().collect()
+        assert [r["section"] for r in bad] == ["Monthly Trends"]
