@@ -17,7 +17,7 @@ from ledgersieve.operators.numbering import transaction_ids
 from ledgersieve.schema import TRANSACTIONS
 from ledgersieve.sources import balances as B, intake as I
 from ledgersieve.sources.grid import Statements, first_sheet
-from ledgersieve.sources.sinks import write_table, write_transactions
+from ledgersieve.sources.sinks import Run
 from ledgersieve.sources.staging import settled
 
 
@@ -88,14 +88,19 @@ def publish(
     spark: SparkSession, run: Consolidated, out: str, name: str,
     config: C.ScreeningConfig = C.DEFAULT, strict: bool = False, file_format: str = "parquet",
 ) -> dict[str, str]:
-    """Screen a consolidated run, check it and write every table under ``out``."""
+    """Screen a consolidated run, check it and write every table under ``out``.
+
+    The tables become visible together, when the last of them is written (see :mod:`sinks`);
+    a month of transactions replaces that month of earlier runs and no other.  Returns the
+    paths of this run's tables; :func:`published` reads what all runs have left.
+    """
     txns = run.transactions
     findings, stats = screened(spark, txns, name, config)
     issues = settled(spark, Q.all_issues(txns, findings, config), f"{name}-issues")
     Q.enforce(issues, strict)
     reconciled = Q.reconciliation(txns, run.opening, run.closing)
-    paths = {"transactions": f"{out}/transactions"}
-    write_transactions(txns, paths["transactions"], file_format)
+    to = Run(spark, out, file_format)
+    to.write("transactions", txns)
     tables = {
         "findings": R.alerts_table(findings),
         "evidence": R.evidence_index(findings, txns),
@@ -117,11 +122,9 @@ def publish(
         "business_profile": A.business_profile(txns),
     }
     for table, frame in tables.items():
-        paths[table] = f"{out}/{table}"
-        write_table(frame, paths[table], file_format)
+        to.write(table, frame)
     # What was written against what the written transactions give by other means.
-    read = lambda table: spark.read.format(file_format).load(paths[table])
-    again = Q.recomputed_metrics(read("transactions").select(*txns.columns), run.opening)
-    paths["dashboard_check"] = f"{out}/dashboard_check"
-    write_table(Q.compare_metrics(read("dashboard"), again), paths["dashboard_check"], file_format)
-    return paths
+    again = Q.recomputed_metrics(to.read("transactions").select(*txns.columns), run.opening)
+    to.write("dashboard_check", Q.compare_metrics(to.read("dashboard"), again))
+    to.finish()
+    return to.paths

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -14,7 +15,7 @@ from ledgersieve.plans.consolidate import Consolidated, consolidate, prepared, s
 from ledgersieve.plans.present import plain, plain_alerts, rounded
 from ledgersieve.sources import fixtures as V, intake as I
 from ledgersieve.sources.grid import first_sheet, read_grid, read_statements
-from ledgersieve.sources.sinks import write_transactions
+from ledgersieve.sources.sinks import Run, published, write_transactions
 from ledgersieve.sources.staging import settled, stage, table_path
 
 
@@ -204,6 +205,20 @@ def written_months(spark, sf_dir):
         F.count(F.lit(1)).alias("n"), F.sum("amount_signed").alias("amount"))
 
 
+def published_months(spark, sf_dir):
+    """Two finished runs, the second with the payments of late months only, and a third that stopped midway."""
+    out = table_path(spark, f"published-{_slug(sf_dir)}-{uuid.uuid4().hex}")
+    rows = transactions(spark, sf_dir)
+    first, second, third = (Run(spark, out) for _ in range(3))
+    first.write("transactions", rows)
+    first.finish()
+    second.write("transactions", rows.filter((F.col("date") >= "1997-06-01") & (F.col("direction") == "Outflow")))
+    second.finish()
+    third.write("transactions", rows.filter(F.col("date") < "1995-01-01"))
+    return published(spark, out, "transactions").groupBy(F.col("month").cast("string").alias("month")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("amount_signed").alias("amount"))
+
+
 def total_check(rows: DataFrame) -> DataFrame:
     return A.totals_agree(rows, A.cash_flow(rows).select("total_inflow", "total_outflow"))
 
@@ -328,6 +343,7 @@ def queries() -> dict:
     add("threshold_table", lambda s, d: T.threshold_table(statistics(s, d)))
     add("run_calculations", lambda s, d: T.run_calculations(statistics(s, d)))
     add("written_months", written_months)
+    add("published_months", published_months)
     return out
 
 

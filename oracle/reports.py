@@ -550,6 +550,10 @@ def queries() -> dict[str, str]:
         # tables and sinks
         "threshold_table": thresholds(),
         "run_calculations": calculations(),
+        "published_months": with_txn(
+            f"SELECT strftime(d, '%Y-%m') AS month, count(*) AS n, {dbl('sum(amount_signed)')} AS amount FROM txn "
+            "WHERE strftime(d, '%Y-%m') NOT IN (SELECT strftime(d, '%Y-%m') FROM txn WHERE d >= DATE '1997-06-01' AND direction = 'Outflow') "
+            "OR (d >= DATE '1997-06-01' AND direction = 'Outflow') GROUP BY 1"),
         "written_months": with_txn(
             f"SELECT strftime(d, '%Y-%m') AS month, count(*) AS n, {dbl('sum(amount_signed)')} AS amount FROM txn GROUP BY 1"),
     }

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from helpers import row, transactions
 from ledgersieve.operators import numbering as N
-from ledgersieve.operators.percentile import exact_percentile
+from ledgersieve.operators.percentile import bracket, exact_percentile
 
 
 def test_ids_follow_date_file_sheet_row(spark, monkeypatch):
@@ -98,3 +98,25 @@ def test_the_next_row_is_found_over_range_borders(spark, parts):
     expected = {a[2]: (b[0], b[2]) for a, b in zip(order, order[1:])} | {order[-1][2]: (None, None)}
     assert {r.id: (r.next_k, r.next_id) for r in got} == expected
     assert N.with_next(frame.limit(0), ["k"], ["id"], "test").count() == 0
+
+
+@pytest.mark.parametrize("spread", ["even", "hot", "two", "wide"])
+def test_percentile_by_rounds_of_sketches(spark, spread):
+    """So few values in the end that several rounds are needed, with values that repeat."""
+    rng = random.Random(spread)
+    draw = {
+        "even": lambda: rng.randint(1, 900_000), "hot": lambda: 777 if rng.random() < 0.4 else rng.randint(1, 900),
+        "two": lambda: rng.choice([100, 10_000]), "wide": lambda: int(10 ** rng.uniform(0, 12))}[spread]
+    cents = [draw() for _ in range(6000)]
+    frame = spark.createDataFrame([(c,) for c in cents] + [(None,)], "c bigint").select((F.col("c") / 100).cast("decimal(18,2)").alias("v")).repartition(4)
+    for fraction in ("0.95", "0.5", "0", "1"):
+        got = exact_percentile(frame, "v", fraction, few=10).first()
+        assert got.n == 6000
+        assert float(got.percentile) == pytest.approx(np.quantile(np.array(cents) / 100, float(fraction)), rel=1e-12, abs=1e-6)
+
+
+def test_a_bracket_holds_few_values(spark):
+    values = spark.range(20_000).selectExpr("cast(id * id as decimal(18,2)) v")
+    least, largest, below = bracket(values, 20_000, 18_999, 19_000, few=50, accuracy=100)
+    inside = values.where(F.col("v").between(F.lit(least), F.lit(largest))).count()
+    assert below <= 18_999 and below + inside > 19_000 and inside <= 60
