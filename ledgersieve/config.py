@@ -60,6 +60,7 @@ DATE_FORMATS = (
     (r"^\d{1,2}/\d{1,2}/\d{2}$", "M/d/yy"),
     (r"^\d{1,2}/\d{1,2}/\d{2}$", "d/M/yy"),
     (r"^\d{4}\d{2}\d{2}$", "yyyyMMdd"),
+    (r"^\d{4}\.\d{1,2}\.\d{1,2}$", "yyyy.M.d"),
 )
 # Dates with a month name: the shape, and which groups are day, month and year.
 _MONTH = (
@@ -68,9 +69,11 @@ _MONTH = (
 )
 MONTH_NAME_DATES = (
     (rf"^(\d{{1,2}})(?:st|nd|rd|th)?[ \-/]+{_MONTH}[ ,\-/]+(\d{{4}}|\d{{2}})$", (1, 2, 3)),
-    (rf"^{_MONTH}[ \-]+(\d{{1,2}})(?:st|nd|rd|th)?[ ,\-]+(\d{{4}})$", (2, 1, 3)),
+    (rf"^{_MONTH}[ \-]+(\d{{1,2}})(?:st|nd|rd|th)?[ ,\-]+(\d{{4}}|\d{{2}})$", (2, 1, 3)),
 )
-TIME_OF_DAY = r"[ T]\d{1,2}:\d{2}(:\d{2}([.,]\d+)?)? ?([AaPp]\.?[Mm]\.?)? ?(Z|UTC|GMT|[+-]\d{2}:?\d{2})?$"
+# A day of the week in front, and a time of day behind a date.
+DAY_OF_WEEK = r"^(?i:mon|tues?|wed(?:nes)?|thu(?:rs)?|fri|sat(?:ur)?|sun)(?i:day)?\.?,? +"
+TIME_OF_DAY = r"(T\d{4}(\d{2})?Z?| \d{1,2} ?[AaPp]\.?[Mm]\.?)$|[ T]\d{1,2}:\d{2}(:\d{2}([.,]\d+)?)? ?([AaPp]\.?[Mm]\.?)? ?(Z|UTC|GMT|[+-]\d{2}:?\d{2})?$"
 
 # ---------------------------------------------------------------------------
 # Payment-rail prefixes and trailing references
@@ -371,6 +374,34 @@ RULE_NAMES = (
     "Vendor Concentration Growth",
 )
 
+
+@dataclass(frozen=True)
+class IntakeConfig:
+    """What a statement's header, dates, balances and descriptions are recognised by."""
+
+    header_scan_rows: int = HEADER_SCAN_ROWS
+    opening_scan_rows: int = OPENING_SCAN_ROWS
+    closing_scan_rows: int = CLOSING_SCAN_ROWS
+    date_words: tuple = DATE_WORDS
+    description_words: tuple = DESCRIPTION_WORDS
+    balance_words: tuple = BALANCE_WORDS
+    debit_markers: tuple = DEBIT_MARKERS
+    credit_markers: tuple = CREDIT_MARKERS
+    amount_markers: tuple = AMOUNT_MARKERS
+    debit_words: tuple = DEBIT_WORDS
+    credit_words: tuple = CREDIT_WORDS
+    amount_words: tuple = AMOUNT_WORDS
+    type_words: tuple = TYPE_WORDS
+    opening_words: tuple = OPENING_WORDS
+    opening_row_words: tuple = OPENING_ROW_WORDS
+    closing_words: tuple = CLOSING_WORDS
+    closing_row_words: tuple = CLOSING_ROW_WORDS
+    date_formats: tuple = DATE_FORMATS
+    category_phrases: tuple = CATEGORY_PHRASES
+
+
+INTAKE = IntakeConfig()
+
 # analytics
 BENFORD_MIN_ROWS = 50
 BENFORD_CRITICAL = 15.507

@@ -51,12 +51,12 @@ def flow_direction(debit: Column, credit: Column) -> Column:
     return F.when(credit > 0, F.lit("Inflow")).when(debit > 0, F.lit("Outflow")).otherwise(F.lit("Unknown"))
 
 
-def classify(transactions: DataFrame, transaction_type: str | None = None) -> DataFrame:
+def classify(transactions: DataFrame, transaction_type: str | None = None, rules=C.CATEGORY_PHRASES) -> DataFrame:
     """Add ``operation_type`` and ``direction`` to rows with description, debit and credit."""
     type_column = F.col(transaction_type) if transaction_type else None
     return (
         transactions
-        .withColumn("keyword_category", keyword_category(F.col("description"), type_column))
+        .withColumn("keyword_category", keyword_category(F.col("description"), type_column, rules))
         .withColumn("operation_type", corrected_category(
             F.col("keyword_category"), F.col("description_clean"), F.col("debit"), F.col("credit")))
         .withColumn("direction", flow_direction(F.col("debit"), F.col("credit")))

@@ -96,12 +96,10 @@ def month_text(date: Column) -> Column:
     return F.date_format(date, "yyyy-MM")
 
 
-def parse_date(text: Column) -> Column:
+def parse_date(text: Column, formats: tuple = C.DATE_FORMATS) -> Column:
     """Text to date over the configured formats; anything else is null, never an error."""
-    day = F.regexp_replace(strip(plain_spaces(text)), C.TIME_OF_DAY, "")
-    attempts = [
-        F.when(day.rlike(shape), F.try_to_timestamp(day, F.lit(fmt))) for shape, fmt in C.DATE_FORMATS
-    ]
+    day = F.regexp_replace(F.regexp_replace(strip(plain_spaces(text)), C.TIME_OF_DAY, ""), C.DAY_OF_WEEK, "")
+    attempts = [F.when(day.rlike(shape), F.try_to_timestamp(day, F.lit(fmt))) for shape, fmt in formats]
     for shape, (d, m, y) in C.MONTH_NAME_DATES:
         part = lambda i: F.regexp_extract(day, shape, i)  # noqa: B023, E731
         year = F.when(F.length(part(y)) == 2, F.concat(F.lit("20"), part(y))).otherwise(part(y))

@@ -10,6 +10,7 @@ whole, whatever one vendor, day or amount holds.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -83,6 +84,16 @@ def _gathered(rows: DataFrame, keys: list[str], *fields: str) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("_rank", *fields))).alias("items"))
 
 
+def _percent(share: str) -> str:
+    return f"{(Decimal(share) * 100).normalize():f}"
+
+
+def _thousands(amount: str) -> str:
+    """5000.00 as 5k; what is no whole thousand in full."""
+    value = Decimal(amount)
+    return f"{value / 1000:.0f}k" if value % 1000 == 0 else f"{value.normalize():,f}"
+
+
 def _pointer() -> Column:
     return source_pointer(F.col("source_file"), F.col("source_sheet"), F.col("source_row"))
 
@@ -153,7 +164,7 @@ def duplicate_payments(
         source_loc=F.concat_ws(" & ", "source_1", "source_2"),
         evidence=F.concat(
             F.lit("Same vendor, "), money_text(F.col("debit_1")), F.lit(" & "), money_text(F.col("debit_2")),
-            F.lit(" (within ±1% tolerance), "), F.col("days_apart").cast("string"), F.lit(" day(s) apart")),
+            F.lit(f" (within ±{_percent(rule.amount_tolerance)}% tolerance), "), F.col("days_apart").cast("string"), F.lit(" day(s) apart")),
         txn_ids=_id_text(ids), txns=_links(ids),
         next_step="Request invoices for both transactions, verify with AP",
         risk="Possible duplicate processing or vendor billing error",
@@ -295,7 +306,7 @@ def split_payments(transactions: DataFrame, rule: C.SplitRule = C.DEFAULT.split)
         source_loc=over(rule.listed_sources, sources),
         evidence=F.concat(
             count, F.lit(" payments totaling "), money_text(F.col("total")), F.lit(" on same day"),
-            F.when(F.col("largest") > F.lit(rule.large_payment).cast("decimal(18,2)"), F.lit(" (at least one >$5k)"))
+            F.when(F.col("largest") > F.lit(rule.large_payment).cast("decimal(18,2)"), F.lit(f" (at least one >${_thousands(rule.large_payment)})"))
             .otherwise(F.lit("")),
             F.lit(", may indicate approval limits")),
         txn_ids=_id_text(ids) if rule.listed_ids is None else over(rule.listed_ids, _id_text(ids)), txns=_links(ids),

@@ -36,6 +36,7 @@ class Consolidated:
 
 def consolidate(
     spark: SparkSession, grid: DataFrame | Statements, name: str, sheets: DataFrame | None = None,
+    rules: C.IntakeConfig = C.INTAKE,
 ) -> Consolidated:
     """Detect layouts, project, normalise, enrich and number the rows of a grid.
 
@@ -43,22 +44,23 @@ def consolidate(
     all later steps read that, and layouts and balances only its leading rows.  ``grid`` may be
     what :func:`read_statements` gives; its remarks then join the rejects.  With ``sheets``
     (source_file, source_sheet, position) only the first sheet of each file is taken.
+    ``rules`` has the words, date forms and categories of the intake.
     """
     put = lambda part, df: settled(spark, df, f"{name}-{part}")
     grid, remarks = grid if isinstance(grid, Statements) else (grid, None)
     grid = put("grid", grid if sheets is None else first_sheet(grid, sheets))
-    leading = put("leading", grid.filter(F.col("row_no") <= max(C.HEADER_SCAN_ROWS, C.OPENING_SCAN_ROWS, C.CLOSING_SCAN_ROWS)))
-    formats = put("formats", I.file_formats(leading))
+    leading = put("leading", grid.filter(F.col("row_no") <= max(rules.header_scan_rows, rules.opening_scan_rows, rules.closing_scan_rows)))
+    formats = put("formats", I.file_formats(leading, rules))
     # One pass over the grid: every line below a header, parsed and enriched.  The
     # transactions and the counts of kept and removed lines both read this table.
-    lines = put("lines", I.enriched(I.parsed_lines(I.projected_lines(grid, formats))))
+    lines = put("lines", I.enriched(I.parsed_lines(I.projected_lines(grid, formats), rules), rules))
     rows = I.statement_rows(lines)
     transactions = put("transactions", transaction_ids(rows).select(*TRANSACTIONS.fieldNames()))
     return Consolidated(
         grid=grid, formats=formats, lines=lines, transactions=transactions,
         rejects=put("rejects", I.rejects(grid, leading, formats, lines, remarks)),
-        opening=put("opening", B.opening_balances(leading, rows)),
-        closing=put("closing", B.closing_balances(leading, rows)),
+        opening=put("opening", B.opening_balances(leading, rows, rules)),
+        closing=put("closing", B.closing_balances(leading, rows, rules)),
     )
 
 

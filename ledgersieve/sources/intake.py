@@ -26,23 +26,23 @@ def _says(text: Column, words) -> Column:
     return text.rlike("|".join(words))
 
 
-def header_rows(grid: DataFrame) -> DataFrame:
-    """First of the rows 1–50 that names a date and a description, per file."""
+def header_rows(grid: DataFrame, rules: C.IntakeConfig = C.INTAKE) -> DataFrame:
+    """First of the leading rows that names a date and a description, per file."""
     text = F.lower(F.array_join("cells", " | "))
     return (
-        grid.filter(F.col("row_no") <= C.HEADER_SCAN_ROWS).withColumn("header_text", text)
-        .filter(_says(F.col("header_text"), C.DATE_WORDS) & _says(F.col("header_text"), C.DESCRIPTION_WORDS))
+        grid.filter(F.col("row_no") <= rules.header_scan_rows).withColumn("header_text", text)
+        .filter(_says(F.col("header_text"), rules.date_words) & _says(F.col("header_text"), rules.description_words))
         .groupBy(*FILE_KEYS).agg(
             F.min("row_no").alias("header_row"), F.min_by("cells", "row_no").alias("header_cells"),
             F.min_by("header_text", "row_no").alias("header_text"))
     )
 
 
-def layout_type(header_text: Column) -> Column:
-    debit, credit = _says(header_text, C.DEBIT_MARKERS), _says(header_text, C.CREDIT_MARKERS)
+def layout_type(header_text: Column, rules: C.IntakeConfig = C.INTAKE) -> Column:
+    debit, credit = _says(header_text, rules.debit_markers), _says(header_text, rules.credit_markers)
     return (
         F.when(debit & credit, "debit_credit")
-        .when(_says(header_text, C.AMOUNT_MARKERS) & ~debit, "amount_signed")
+        .when(_says(header_text, rules.amount_markers) & ~debit, "amount_signed")
         .when(debit | credit, "debit_credit").otherwise("amount_signed")
     )
 
@@ -58,7 +58,7 @@ def _column_of(words, *taken: str) -> Column:
     return F.get(F.filter(positions, fits), F.lit(0))
 
 
-def file_formats(grid: DataFrame) -> DataFrame:
+def file_formats(grid: DataFrame, rules: C.IntakeConfig = C.INTAKE) -> DataFrame:
     """One row per recognised file: bank, header row, layout and role-to-column map.
 
     A column has one role; roles are given in the order date, description, balance,
@@ -67,15 +67,15 @@ def file_formats(grid: DataFrame) -> DataFrame:
     separate = F.col("format_type") == "debit_credit"
     shared = ("_date", "_description", "_balance")
     found = (
-        header_rows(grid)
-        .withColumn("format_type", layout_type(F.col("header_text")))
-        .withColumn("_date", _column_of(C.DATE_WORDS))
-        .withColumn("_description", _column_of(C.DESCRIPTION_WORDS, "_date"))
-        .withColumn("_balance", _column_of(C.BALANCE_WORDS, "_date", "_description"))
-        .withColumn("_debit", F.when(separate, _column_of(C.DEBIT_WORDS, *shared)))
-        .withColumn("_credit", F.when(separate, _column_of(C.CREDIT_WORDS, *shared, "_debit")))
-        .withColumn("_amount", F.when(~separate, _column_of(C.AMOUNT_WORDS, *shared)))
-        .withColumn("_type", _column_of(C.TYPE_WORDS, *shared, "_debit", "_credit", "_amount"))
+        header_rows(grid, rules)
+        .withColumn("format_type", layout_type(F.col("header_text"), rules))
+        .withColumn("_date", _column_of(rules.date_words))
+        .withColumn("_description", _column_of(rules.description_words, "_date"))
+        .withColumn("_balance", _column_of(rules.balance_words, "_date", "_description"))
+        .withColumn("_debit", F.when(separate, _column_of(rules.debit_words, *shared)))
+        .withColumn("_credit", F.when(separate, _column_of(rules.credit_words, *shared, "_debit")))
+        .withColumn("_amount", F.when(~separate, _column_of(rules.amount_words, *shared)))
+        .withColumn("_type", _column_of(rules.type_words, *shared, "_debit", "_credit", "_amount"))
     )
     roles = ("date", "description", "balance", "debit", "credit", "amount", "type")
     mapping = F.create_map(*[x for r in roles for x in (F.lit(r), F.col(f"_{r}").cast("int"))])
@@ -157,11 +157,11 @@ def projected_lines(grid: DataFrame, formats: DataFrame) -> DataFrame:
         *[cell(r).alias(f"{r}_text") for r in roles])
 
 
-def parsed_lines(lines: DataFrame) -> DataFrame:
+def parsed_lines(lines: DataFrame, rules: C.IntakeConfig = C.INTAKE) -> DataFrame:
     """Typed values per line, ``is_transaction`` and else the ``reason``; nothing is dropped yet."""
     signed = parse_amount(F.col("amount_text"))
     by_sign = F.col("format_type") == "amount_signed"
-    date = parse_date(F.col("date_text"))
+    date = parse_date(F.col("date_text"), rules.date_formats)
     blank = F.coalesce(strip(F.col("description_text")), F.lit("")) == ""
     undated = F.coalesce(strip(F.col("date_text")), F.lit("")) == ""
     reason = F.when(undated, NO_DATE).when(F.col("date").isNull(), UNREAD_DATE).when(blank, NO_DESCRIPTION)
@@ -184,11 +184,11 @@ def statement_rows(parsed: DataFrame) -> DataFrame:
     return parsed.filter("is_transaction").drop("is_transaction", "format_type", "reason", "unread")
 
 
-def enriched(rows: DataFrame) -> DataFrame:
+def enriched(rows: DataFrame, rules: C.IntakeConfig = C.INTAKE) -> DataFrame:
     """Cleaned description, vendor, category, direction and signed amount."""
     described = rows.withColumn("description_clean", clean_description(F.col("description")))
     return (
-        classify(described)
+        classify(described, rules=rules.category_phrases)
         .withColumn("vendor_normalized", normalize_vendor(F.col("description_clean")))
         .withColumn("amount_signed", signed_amount(F.col("debit"), F.col("credit")))
     )

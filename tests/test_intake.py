@@ -189,3 +189,20 @@ def test_cells_of_a_line(spark):
     got = spark.createDataFrame([(x,) for x in lines], "v string").select(G.split_cells(F.col("v"))).collect()
     assert [r[0] for r in got] == [["a", "b"], [None, "a", None, None], ["x, y", 'say "hi"', "z"], [None, "b"], ['"open', "b"],
                                    ["a;b"], [None], ['"a"b', "c"]]
+
+
+def test_words_dates_and_categories_can_be_passed_in(spark):
+    from dataclasses import replace
+
+    from ledgersieve import config as C
+    from ledgersieve.plans.consolidate import consolidate
+
+    rules = replace(
+        C.INTAKE, date_words=("datum",), description_words=("tekst",), amount_words=("beloeb",), amount_markers=("beloeb",),
+        opening_words=("primo",), date_formats=((r"^\d{1,2}~\d{1,2}~\d{4}$", "d~M~yyyy"),), category_phrases=(("Cakes", ("kage",)),))
+    grid = grid_of(spark, {"A_x.csv": [["primo", "100.00"], ["Datum", "Tekst", "Beloeb"], ["3~1~2024", "kage", "-5"], ["2024-01-04", "kage", "-6"]]})
+    run = consolidate(spark, grid, "danish", rules=rules)
+    assert [(r.date, r.debit, r.operation_type) for r in run.transactions.collect()] == [(dt.date(2024, 1, 3), Decimal("5.00"), "Cakes")]
+    assert [float(r.balance) for r in run.opening.collect()] == [100.0]
+    assert {(r.reason, r.example) for r in run.rejects.collect()} == {("above the table", None), ("unread date", "2024-01-04")}
+    assert consolidate(spark, grid, "english").transactions.count() == 0

@@ -245,3 +245,12 @@ def test_alert_numbers_and_input_order(spark):
     mixed = table.orderBy(F.desc("txn_seq")).repartition(7)
     again = findings(spark, mixed).drop("txns").orderBy("alert_seq").collect()
     assert again == first
+
+
+def test_texts_follow_the_settings(spark):
+    config = dataclasses.replace(
+        C.DEFAULT, duplicate=dataclasses.replace(C.DEFAULT.duplicate, amount_tolerance="0.025"),
+        split=dataclasses.replace(C.DEFAULT.split, large_payment="7500.00"))
+    table = transactions(spark, [row("2024-01-02", "Zeta", 1000), row("2024-01-03", "Zeta", 1020), row("2024-01-05", "Eta", 9000), row("2024-01-05", "Eta", 8000)])
+    texts = [r.evidence for r in S.draft_alerts(table, config).where("category in ('Duplicate Payment', 'Split Payments')").collect()]
+    assert any("(within ±2.5% tolerance)" in t for t in texts) and any("(at least one >$7,500)" in t for t in texts)

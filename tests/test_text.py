@@ -125,3 +125,15 @@ def test_wide_spaces_are_spaces(spark):
     row = spark.createDataFrame([("ACH\u00a0PAYMENT - ACME\u00a0INC", "ACH PAYMENT - ACME INC")], "a string, b string")
     a, b, c, d = row.select(*(f(F.col(x)) for f in (X.clean_description, X.normalize_vendor) for x in "ab")).first()
     assert a == b and c == d
+
+
+def test_dates_with_weekdays_and_short_times(spark):
+    import datetime as dt
+
+    from ledgersieve.functions.text import parse_date
+
+    texts = ["2024.01.05", "Fri, 5 Jan 2024", "Friday 5 January 2024", "Jan 5, 24", "20240105T101500", "20240105T1015Z", "01/05/24 3pm", "2024-01-05 11 a.m.", "Fri 2024-01-05 10:15"]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert {r[0]: r[1] for r in frame.select("t", parse_date(F.col("t"))).collect()} == dict.fromkeys(texts, dt.date(2024, 1, 5))
+    odd = spark.createDataFrame([("Friday",), ("T1015",), ("3pm",), ("Fri, ",), ("5",)], "t string")
+    assert {r[0] for r in odd.select(parse_date(F.col("t"))).collect()} == {None}
