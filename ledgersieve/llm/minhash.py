@@ -290,9 +290,11 @@ def _classes(docs: DataFrame, k: int, threshold: float, bands: int, rows: int) -
             break
         order = Window.partitionBy("band").orderBy(F.desc("met"), "node")
         heads = now.withColumn("place", F.row_number().over(order)).where(F.col("place") <= pivots)
-        heads = heads.select(F.col("band").alias("y_band"), *_sided("y", *facts, "root"))
-        others = now.select("band", *_sided("x", *facts, "root"))
-        fresh = (others.join(heads, (F.col("band") == F.col("y_band")) & (F.col("x_root") != F.col("y_root")) & _possible(threshold, "x", "y"))
+        heads = heads.select(F.col("band").alias("y_band"), *_sided("y", *facts, "root", "met"))
+        others = now.select("band", *_sided("x", *facts, "root", "met"))
+        # Of two pivots the later meets the earlier, so no pair is made twice.
+        after = (F.col("y_met") > F.col("x_met")) | ((F.col("y_met") == F.col("x_met")) & (F.col("y_node") < F.col("x_node")))
+        fresh = (others.join(heads, (F.col("band") == F.col("y_band")) & after & (F.col("x_root") != F.col("y_root")) & _possible(threshold, "x", "y"))
                  .select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
                  .join(tried, ["a", "b"], "left_anti"))
         fresh = written(fresh, "pairs")
