@@ -14,6 +14,7 @@ the shards.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from typing import NamedTuple
 
 import numpy as np
@@ -57,7 +58,22 @@ def features(words: W.Words) -> tuple[np.ndarray, np.ndarray]:
     return place, np.searchsorted(key >> np.uint64(SPACE_BITS), np.arange(len(first)))
 
 
-def ftrl(rows: list[tuple[np.ndarray, int]], epochs: int = EPOCHS) -> Weights:
+class Rows:
+    """(coordinates, label) of a shard's rows, with the bias; kept as few large arrays."""
+
+    def __init__(self):
+        self.parts = []
+
+    def add(self, place: np.ndarray, border: np.ndarray, labels: np.ndarray) -> None:
+        self.parts.append((place.copy(), border, labels))
+
+    def __iter__(self):
+        for place, border, labels in self.parts:
+            for a, b, label in zip(border[:-1].tolist(), border[1:].tolist(), labels.tolist()):
+                yield np.r_[np.int32(BIAS), place[a:b]], label
+
+
+def ftrl(rows: Iterable[tuple[np.ndarray, int]], epochs: int = EPOCHS) -> Weights:
     """Run the rule over (coordinates, label) rows in order; weights that are not zero."""
     z = np.zeros(1 << SPACE_BITS, np.float32)
     n = np.zeros(1 << SPACE_BITS, np.float32)
@@ -109,19 +125,30 @@ def train(docs: DataFrame, labelled: DataFrame, max_rows: int = MAX_ROWS, epochs
     shards = max(1, -(-size["rows"] // SHARD_ROWS), -(-size["bytes"] // SHARD_BYTES))
 
     def run(batches):
-        rows = []
+        rows, last = Rows(), None
+
+        def learnt():
+            found = ftrl(rows, epochs)
+            return pa.RecordBatch.from_arrays([pa.array(found.place), pa.array(found.value.astype(np.float64))], names=["place", "weight"])
+
         for batch in batches:
-            labels = batch.column(1).to_pylist()
+            labels, shard = batch.column(1).to_numpy(), batch.column(2).to_numpy()
             for i, j, words in W.each_slice(batch.column(0)):
                 place, border = features(words)
-                rows += [(np.r_[np.int32(BIAS), place[a:b]], labels[t]) for t, a, b in zip(range(i, j), border[:-1], border[1:])]
-        learnt = ftrl(rows, epochs)
-        yield pa.RecordBatch.from_arrays([pa.array(learnt.place), pa.array(learnt.value.astype(np.float64))],
-                                         names=["place", "weight"])
+                # Shards that meet in one task are learnt one after the other.
+                for a in [i, *(np.flatnonzero(shard[i + 1 : j] != shard[i : j - 1]) + i + 1).tolist()]:
+                    b = i + int(np.searchsorted(shard[i:j], shard[a], "right"))
+                    if last is not None and shard[a] != last:
+                        yield learnt()
+                        rows = Rows()
+                    last = shard[a]
+                    rows.add(place[border[a - i] : border[b - i]], border[a - i : b - i + 1] - border[a - i], labels[a:b])
+        if last is not None:
+            yield learnt()
 
     shard = F.pmod(F.xxhash64("h", F.lit(1)), F.lit(shards)).cast("int")
     dealt = rows.withColumn("shard", shard).repartition(shards, "shard").sortWithinPartitions("shard", "h", "text")
-    learnt = dealt.select("text", "label").mapInArrow(run, "place long, weight double")
+    learnt = dealt.select("text", "label", "shard").mapInArrow(run, "place long, weight double")
     return learnt.groupBy("place").agg((F.sum("weight") / shards).alias("weight"))
 
 

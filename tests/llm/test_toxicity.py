@@ -109,3 +109,28 @@ def test_predicted_is_the_score_alone(spark, docs_of):
 def test_the_bias_has_no_penalty():
     learnt = X.ftrl([(np.array([X.BIAS, n + 1]), 0) for n in range(3)], epochs=1)
     assert list(learnt.place) == [X.BIAS] and learnt.value[0] < 0 and not X.learnt(learnt)
+
+
+def test_shards_are_learnt_apart_wherever_they_meet(spark, docs_of, monkeypatch):
+    """Several shards, in one task or in many, give the mean of their weights."""
+    docs, labels, _ = corpus(spark, docs_of, 300)
+    monkeypatch.setattr(X, "SHARD_ROWS", 60)
+    labelled = X.sample(labels)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    rows = labelled.collect()
+    shards = -(-len(rows) // 60)
+    assert shards >= 4
+    expected, groups = {}, {}
+    for r in labelled.withColumn("s", X.F.pmod(X.F.xxhash64("h", X.F.lit(1)), X.F.lit(shards))).orderBy("h").collect():
+        groups.setdefault(r["s"], []).append(r)
+    for group in groups.values():
+        held = X.Rows()
+        for r in group:
+            for _, _, words in X.W.each_slice(X.pa.array([texts[r["doc_id"]]])):
+                place, border = X.features(words)
+                held.add(place, border, np.array([r["label"]]))
+        learnt = X.ftrl(held)
+        for i, v in zip(learnt.place.tolist(), learnt.value.tolist()):
+            expected[i] = expected.get(i, 0.0) + v / shards
+    found = {r["place"]: r["weight"] for r in X.train(docs, labelled).collect()}
+    assert set(found) == set(expected) and np.allclose([found[i] for i in expected], list(expected.values()), atol=1e-5)
