@@ -38,10 +38,10 @@ BASE = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 CANDIDATE = {
-    "email": r"""[^\s@<>"',;:]{1,80}@[^\s@<>"',;:]{2,200}""",
+    "email": r"""(?<![^\s@<>"',;:])[^\s@<>"',;:]++@[^\s@<>"',;:]{2,}+""",
     "ip": r"(?<![0-9.])[0-9]{1,4}(?:\.[0-9]{1,4}){2,4}(?![0-9])",
     "number": r"(?<![0-9A-Za-z])\+?[0-9(][0-9().\x20/-]{5,30}[0-9](?![0-9A-Za-z])",
-    "secret": r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{20,200}(?![A-Za-z0-9_-])",
+    "secret": r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{20,}+",
 }
 _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 _SECRET_WORDS = r"""(?i)(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|key)["']?\s*[=:]\s*["']?$"""
@@ -215,7 +215,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def personal_data(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_email, n_ip, n_card, n_phone (base spans),
-    base_sha256 (of kind:start:end), spans (all spans, written likewise).
+    base_sha256 (of kind:start:end), spans (all spans, written likewise), n_added (spans beside the base ones).
 
     A null text reads as an empty one and has no spans; null doc_ids are allowed; repeated
     rows have a row each; spans of one text may overlap.  Other columns are left aside.
@@ -229,12 +229,13 @@ def personal_data(docs: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(entry)).alias("all"))
     listed = listed.select(F.col("doc_id").alias("s_id"), F.col("key").alias("s_key"), *(f"n_{k}" for k in KINDS[:4]),
                            F.array_join(F.transform(F.filter("all", lambda x: x["base"]), text), ",").alias("base"),
-                           F.array_join(F.transform("all", text), ",").alias("spans"))
+                           F.array_join(F.transform("all", text), ",").alias("spans"),
+                           F.size(F.filter("all", lambda x: ~x["base"])).alias("n_added"))
     rows = _keyed(docs)
     out = rows.join(listed, rows["doc_id"].eqNullSafe(listed["s_id"]) & (rows["key"] == listed["s_key"]), "left")
     return out.select("doc_id", *(F.coalesce(f"n_{k}", F.lit(0)).cast("long").alias(f"n_{k}") for k in KINDS[:4]),
                       F.sha2(F.coalesce("base", F.lit("")), 256).alias("base_sha256"),
-                      F.coalesce("spans", F.lit("")).alias("spans"))
+                      F.coalesce("spans", F.lit("")).alias("spans"), F.coalesce("n_added", F.lit(0)).cast("long").alias("n_added"))
 
 
 def redacted(docs: DataFrame) -> DataFrame:

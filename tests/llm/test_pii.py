@@ -96,3 +96,22 @@ def test_phones_without_a_plus_are_added(docs_of):
     check(rows, texts)
     assert sum(want[i] in rows[i]["spans"].split(",") for i in want) >= 390
     assert sum("phone:4:" in rows[i]["spans"] for i in want) <= 20
+
+
+def test_long_tokens_and_addresses_are_candidates_whole(docs_of):
+    draw = random.Random(12)
+    token = lambda n: "".join(draw.choices("abcdefghij0123456789ABCDEF", k=n))
+    texts = [(1, f"key = {token(201)} end"), (2, f"key = {token(5000)}"), (3, f"mail {token(90)}@{token(300)}.org now"), (4, token(19)), (5, f"é {'a@' * 400}b")]
+    found = {(r["doc_id"], r["kind"], r["start"], r["end"]) for r in pii.matches(docs_of(texts)).where("source = 'candidate'").collect()}
+    assert (1, "secret", 6, 207) in found and (2, "secret", 6, 5006) in found
+    assert (3, "email", 5, 5 + 90 + 1 + 304) in found
+    assert not any(i == 4 for i, *_ in found)
+
+
+def test_added_spans_are_counted(docs_of):
+    draw = random.Random(7)
+    token = lambda: "".join(draw.choices("abcdefghij0123456789ABCDEF", k=draw.randint(24, 300)))
+    texts = [(n, f"so token = '{token()}' ends" if n % 3 == 0 else f"id-{token()} of {n}") for n in range(400)]
+    for r in pii.personal_data(docs_of(texts)).collect():
+        base = sum(r[f"n_{k}"] for k in ("email", "ip", "card", "phone"))
+        assert r["n_added"] == len([s for s in r["spans"].split(",") if s]) - base
