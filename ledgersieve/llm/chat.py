@@ -138,8 +138,7 @@ PROBE = "</s>[INST] ok [/INST]"
 
 
 def with_probe(rows: DataFrame) -> DataFrame:
-    probe = rows.sparkSession.createDataFrame(
-        [(-1, 0, "user", PROBE), (-1, 1, LEARNT, PROBE)], "conv_id long, turn long, role string, text string")
+    probe = rows.sparkSession.sql(f"SELECT * FROM VALUES (-1L, 0L, 'user', '{PROBE}'), (-1L, 1L, '{LEARNT}', '{PROBE}') AS t(conv_id, turn, role, text)")
     return rows.select("conv_id", "turn", "role", "text").unionByName(probe)
 
 
