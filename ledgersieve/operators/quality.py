@@ -73,18 +73,27 @@ def reconciliation_rows(reconciled: DataFrame) -> DataFrame:
 
 # --- integrity of the transactions -----------------------------------------------
 
-def transaction_issues(transactions: DataFrame) -> DataFrame:
-    """Ids, signs, sides, direction and dates in one pass (ids in their own aggregate)."""
+def transaction_figures() -> dict[str, Column]:
+    """Aggregates of transactions that their checks need, but for repeated ids."""
     debit, credit = F.coalesce("debit", F.lit(0)), F.coalesce("credit", F.lit(0))
     direction = F.lower(F.coalesce("direction", F.lit("")))
     blank = F.coalesce(F.trim("txn_id"), F.lit("")) == ""
-    counted = transactions.agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if(blank).alias("no_id"),
-        F.count_if((debit < 0) | (credit < 0)).alias("negative"),
-        F.count_if((debit > 0) & (credit > 0)).alias("both"),
-        F.count_if((debit > 0) & ~direction.contains("out")).alias("bad_out"),
-        F.count_if((credit > 0) & ~direction.contains("in")).alias("bad_in"),
-        F.count_if(F.col("date").isNull()).alias("no_date"))
+    return {
+        "rows": F.count(F.lit(1)), "no_id": F.count_if(blank), "negative": F.count_if((debit < 0) | (credit < 0)),
+        "both": F.count_if((debit > 0) & (credit > 0)), "bad_out": F.count_if((debit > 0) & ~direction.contains("out")),
+        "bad_in": F.count_if((credit > 0) & ~direction.contains("in")), "no_date": F.count_if(F.col("date").isNull())}
+
+
+def transaction_issues(transactions: DataFrame, figures: dict | None = None) -> DataFrame:
+    """Ids, signs, sides, direction and dates in one pass (ids in their own aggregate).
+
+    ``figures`` are :func:`transaction_figures` as observed while the table was written;
+    then only the ids are read again.
+    """
+    if figures is None:
+        counted = transactions.agg(*[c.alias(name) for name, c in transaction_figures().items()])
+    else:
+        counted = transactions.sparkSession.range(1).select(*[F.lit(figures[name]).cast("bigint").alias(name) for name in transaction_figures()])
     repeated = (
         transactions.groupBy(F.coalesce("txn_id", F.lit("")).alias("id"))
         .agg((F.count(F.lit(1)) - 1).alias("extra")).agg(F.coalesce(F.sum("extra"), F.lit(0)).alias("n")).scalar()
@@ -200,10 +209,12 @@ def duplicate_issues(
     })
 
 
-def all_issues(transactions: DataFrame, findings: DataFrame, config: C.ScreeningConfig = C.DEFAULT) -> DataFrame:
-    """All checks, by the settings that the findings were made with."""
+def all_issues(
+    transactions: DataFrame, findings: DataFrame, config: C.ScreeningConfig = C.DEFAULT, figures: dict | None = None,
+) -> DataFrame:
+    """All checks, by the settings that the findings were made with; ``figures`` as for :func:`transaction_issues`."""
     parts = [
-        transaction_issues(transactions), unknown_references(transactions, findings),
+        transaction_issues(transactions, figures), unknown_references(transactions, findings),
         growth_issues(transactions, findings), duplicate_issues(transactions, findings, config.duplicate.max_days_apart),
     ]
     return reduce(DataFrame.unionByName, parts)

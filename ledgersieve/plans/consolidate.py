@@ -18,12 +18,15 @@ from ledgersieve.schema import TRANSACTIONS
 from ledgersieve.sources import balances as B, intake as I
 from ledgersieve.sources.grid import Statements, first_sheet
 from ledgersieve.sources.sinks import Run
-from ledgersieve.sources.staging import settled
+from ledgersieve.sources.staging import observed, settled
 
 
 @dataclass(frozen=True)
 class Consolidated:
-    """Tables of one intake run; all of them are written tables."""
+    """Tables of one intake run; all of them are written tables.
+
+    ``line_figures`` and ``transaction_figures`` are totals taken while those two were written.
+    """
 
     grid: DataFrame
     formats: DataFrame
@@ -32,6 +35,8 @@ class Consolidated:
     transactions: DataFrame
     opening: DataFrame
     closing: DataFrame
+    line_figures: dict
+    transaction_figures: dict
 
 
 def consolidate(
@@ -53,14 +58,17 @@ def consolidate(
     formats = put("formats", I.file_formats(leading, rules))
     # One pass over the grid: every line below a header, parsed and enriched.  The
     # transactions and the counts of kept and removed lines both read this table.
-    lines = put("lines", I.enriched(I.parsed_lines(I.projected_lines(grid, formats), rules), rules))
+    lines, line_figures = observed(
+        spark, I.enriched(I.parsed_lines(I.projected_lines(grid, formats), rules), rules), f"{name}-lines", I.line_figures())
     rows = I.statement_rows(lines)
-    transactions = put("transactions", transaction_ids(rows).select(*TRANSACTIONS.fieldNames()))
+    transactions, transaction_figures = observed(
+        spark, transaction_ids(rows).select(*TRANSACTIONS.fieldNames()), f"{name}-transactions", Q.transaction_figures())
     return Consolidated(
         grid=grid, formats=formats, lines=lines, transactions=transactions,
         rejects=put("rejects", I.rejects(grid, leading, formats, lines, remarks)),
         opening=put("opening", B.opening_balances(leading, rows, rules)),
         closing=put("closing", B.closing_balances(leading, rows, rules)),
+        line_figures=line_figures, transaction_figures=transaction_figures,
     )
 
 
@@ -98,7 +106,7 @@ def publish(
     """
     txns = run.transactions
     findings, stats = screened(spark, txns, name, config)
-    issues = settled(spark, Q.all_issues(txns, findings, config), f"{name}-issues")
+    issues = settled(spark, Q.all_issues(txns, findings, config, run.transaction_figures), f"{name}-issues")
     Q.enforce(issues, strict)
     reconciled = Q.reconciliation(txns, run.opening, run.closing)
     to = Run(spark, out, file_format)

@@ -194,13 +194,17 @@ def enriched(rows: DataFrame, rules: C.IntakeConfig = C.INTAKE) -> DataFrame:
     )
 
 
-def intake_summary(parsed: DataFrame) -> DataFrame:
-    """Per file: kept and removed lines, and kept lines with both or neither side filled."""
+def line_figures() -> dict[str, Column]:
+    """Kept and removed lines, and kept lines with both or neither side filled."""
     debit, credit, kept = F.col("debit").isNotNull(), F.col("credit").isNotNull(), F.col("is_transaction")
-    return parsed.groupBy("source_file").agg(
-        F.count_if(kept).alias("kept"), F.count_if(~kept).alias("removed"),
-        F.count_if(kept & debit & credit).alias("both_filled"),
-        F.count_if(kept & ~debit & ~credit).alias("neither_filled"))
+    return {
+        "kept": F.count_if(kept), "removed": F.count_if(~kept),
+        "both_filled": F.count_if(kept & debit & credit), "neither_filled": F.count_if(kept & ~debit & ~credit)}
+
+
+def intake_summary(parsed: DataFrame) -> DataFrame:
+    """:func:`line_figures` per file; the totals of a run are observed while its lines are written."""
+    return parsed.groupBy("source_file").agg(*[c.alias(name) for name, c in line_figures().items()])
 
 
 def merge_layouts(frames: list[DataFrame]) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _local_folder: str | None = None
 
@@ -55,3 +55,10 @@ def settled(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     path = table_path(spark, f"{label}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def observed(spark: SparkSession, df: DataFrame, label: str, figures: dict[str, Column]) -> tuple[DataFrame, dict]:
+    """Like :func:`settled`, with aggregates of the rows that are taken while they are written."""
+    seen = Observation()
+    kept = settled(spark, df.observe(seen, *[c.alias(name) for name, c in figures.items()]), label)
+    return kept, seen.get
