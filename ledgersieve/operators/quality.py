@@ -51,6 +51,7 @@ def reconciliation_rows(reconciled: DataFrame) -> DataFrame:
     """The reconciliation as ten labelled rows per file."""
     as_text = lambda c: F.col(c).cast("string")
     ref = lambda c: F.coalesce(F.col(c), F.lit("N/A"))
+    # The labels of the rows as published.
     derived, source = F.lit("Derived"), F.lit("Transactions")
     period = F.coalesce(F.concat_ws(" — ", as_text("first_date"), as_text("last_date")), F.lit("N/A"))
     rows = [

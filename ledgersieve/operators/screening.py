@@ -98,6 +98,9 @@ def _pointer() -> Column:
     return source_pointer(F.col("source_file"), F.col("source_sheet"), F.col("source_row"))
 
 
+# The texts that the rules below give an alert (amount types, evidence, next
+# steps, risks, actions) are published wording.
+
 # --- duplicate payments ------------------------------------------------------
 
 def duplicate_pairs(transactions: DataFrame, rule: C.DuplicateRule = C.DEFAULT.duplicate) -> DataFrame:

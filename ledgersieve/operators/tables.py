@@ -32,16 +32,16 @@ def exclusion_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "line int, rule string, excluded_categories string, rationale string")
 
 
-def run_calculations(stats: DataFrame) -> DataFrame:
+def run_calculations(stats: DataFrame, rule: C.WeekendRule = C.DEFAULT.weekend) -> DataFrame:
     """The run-specific numbers with the way to verify them."""
     n = F.concat(F.lit("n="), F.col("weekend_outflow_txn_count").cast("string"))
     two = lambda c: F.round(c, 2).cast("decimal(24,2)").cast("string")
     row = lambda p, v, how, note: F.struct(
         F.lit(p).alias("parameter"), v.alias("value"), F.lit(how).alias("how_to_verify"), note.alias("notes"))
     items = F.array(
-        row("p95_debit (outflows)", F.coalesce(two("p95_debit"), F.lit("N/A (n<=20)")),
+        row("p95_debit (outflows)", F.coalesce(two("p95_debit"), F.lit(f"N/A (n<={rule.percentile_above_rows})")),
             "Quantile(0.95) of Debit > 0 in Transactions", n),
-        row("weekend_threshold", two("weekend_threshold"), "max(25000, p95_debit) if n>20 else 25000", F.lit("")),
+        row("weekend_threshold", two("weekend_threshold"), f"max({rule.floor}, p95_debit) if n>{rule.percentile_above_rows} else {rule.floor}", F.lit("")),
         row("weekend_threshold_floor", F.col("weekend_threshold_floor").cast("int").cast("string"),
             "Hard floor used in weekend rule", F.lit("")))
     return stats.select(F.explode(items).alias("i")).select("i.*")

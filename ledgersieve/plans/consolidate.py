@@ -124,7 +124,7 @@ def publish(
         "issues": issues,
         "thresholds": K.threshold_table(stats),
         "exclusions": K.exclusion_table(spark),
-        "run_calculations": K.run_calculations(stats),
+        "run_calculations": K.run_calculations(stats, config.weekend),
         "rejected_files": I.headless_files(run.rejects),
         "rejects": run.rejects,
         "intake_summary": I.intake_summary(run.lines),
