@@ -9,7 +9,7 @@ import zipfile
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-BATCH_SETTING, DEFAULT_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 _own: dict[str, str] = {}
 _shipped: set[str] = set()
 
@@ -17,10 +17,10 @@ _shipped: set[str] = set()
 def ship(spark: SparkSession) -> None:
     """Give the executors this package once per application, so that none needs it installed.
 
-    Where the session keeps Spark's own bound of an Arrow batch (64 MB), it becomes 8 MB: texts
-    are long, and a batch is held several times on both sides of a Python worker.
+    Where the session sets no bound of an Arrow batch (Spark's own is 64 MB), it becomes 8 MB:
+    texts are long, and a batch is held several times on both sides of a Python worker.
     """
-    if spark.conf.get(BATCH_SETTING) == DEFAULT_BATCH:
+    if spark.conf.get(BATCH_SETTING, None) is None:
         spark.conf.set(BATCH_SETTING, "8m")
     app = spark.sparkContext.applicationId
     if app in _shipped:
