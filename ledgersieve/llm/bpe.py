@@ -39,15 +39,17 @@ def _classes(path: str) -> np.ndarray:
 
     import regex
 
-    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
-    every, place = "".join(map(chr, points)), np.array(points)
+    # Arrays and one text only: a list of all code points would take some 50 MB in every worker.
+    place = np.r_[np.arange(0xD800, dtype=np.int32), np.arange(0xE000, 0x110000, dtype=np.int32)]
+    every = place.astype("<u4").tobytes().decode("utf-32-le")
     table = np.full(0x110000, OTHER, np.uint8)
     for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\p{White_Space}+")):
         for m in regex.finditer(pattern, every):
             table[place[m.start() : m.end()]] = kind
     known = {"L": LETTER, "N": NUMBER}
     cut = _tokenizer(path).pre_tokenizer.pre_tokenize_str
-    for point, char in zip(points, every):
+    for at, char in enumerate(every):
+        point = place[at]
         kind = table[point]
         if kind != SPACE and kind != known.get(unicodedata.category(char)[0], OTHER):
             size = [b - a for _, (a, b) in cut(f"a{char}1")]

@@ -166,6 +166,7 @@ ANSWER = (np.uint32, np.uint32, np.uint16, np.uint32, np.uint32)  # context (dif
 
 #: Bytes of text whose pairs are packed together; some dozen numbers of eight bytes a word are held for that.
 BATCH_BYTES = 4 << 20
+BUCKETS_A_TASK = 4
 
 
 def _batches(batch: pa.RecordBatch):
@@ -289,7 +290,7 @@ def counted(asked: DataFrame, lex, buckets: int) -> DataFrame:
         if len(seen):
             yield rows("head", ids=seen, values=heads[seen][:, None])
 
-    dealt = asked.repartition(buckets, "bucket").sortWithinPartitions("bucket", "batch")
+    dealt = asked.repartition(parts(asked.sparkSession), "bucket").sortWithinPartitions("bucket", "batch")
     return written(dealt.mapInArrow(run, schema), "pairs", ("kind",))
 
 
@@ -413,7 +414,8 @@ def lm_scores(docs: DataFrame, vocabulary: int = VOCABULARY) -> DataFrame:
     are learnt and scored each.  Other columns are left aside.
     """
     spark = docs.sparkSession
-    buckets = min(parts(spark), 1 << 14)
+    # A task takes its buckets one after the other, and holds the pairs of one.
+    buckets = min(parts(spark) * BUCKETS_A_TASK, 1 << 14)
     rows = source(docs).withColumn("k", F.xxhash64("doc_id", "text"))
     words = word_counts(rows)
     lex = lexicon(words, vocabulary)
@@ -434,7 +436,7 @@ def lm_scores(docs: DataFrame, vocabulary: int = VOCABULARY) -> DataFrame:
                 F.sum(F.when(c > 0, n).otherwise(0)).alias("rare_known"),
                 F.sum(n * F.log10(single / F.lit(float(max(lex.prob[OTHER], 1e-300))))).alias("rare_part")))
     copies = facts.groupBy("k").agg(F.count(F.lit(1)).alias("copies"))
-    pairs = _answered(table, shared_model, buckets).groupBy("k").agg(F.max("pairs").alias("pairs"))
+    pairs = _answered(table, shared_model, min(parts(spark), 1 << 14)).groupBy("k").agg(F.max("pairs").alias("pairs"))
     rare = copies.join(rare, "k", "left").join(pairs, "k", "left")
     share = lambda name: F.coalesce(F.col(name) / F.col("copies"), F.lit(0.0))
     return facts.select("doc_id", "k", "learn", "n_tokens", "known", "base", "part").join(rare, "k").select(
