@@ -4,23 +4,28 @@ Tokens are words between white space, A-Z lower-cased, and an end after each tex
 is also the context of a text's first token.  All counts are exact and cover all training
 documents.
 
-The model is defined over a vocabulary of the ``VOCABULARY`` most frequent words and one
-class of all other words, the unseen word included:
+The model is defined over all words of the training texts and the unseen word:
 
-    p(w | v) = d(c) c(v, w) / c(v)      if the pair of classes occurs in training
+    p(w | v) = d(c) c(v, w) / c(v)      if the pair occurs in training
              = a(v) p(w)                otherwise
-    p(word)  = p(class) p(word | class)
 
 ``d`` are Good-Turing discounts of counts up to 5, ``a(v)`` gives what discounting leaves to
-the classes not seen after ``v``, so every p(. | v) sums to exactly one.  Single words are
+the words not seen after ``v``, so every p(. | v) sums to exactly one.  Single words are
 discounted the same way, and what is left goes to the unseen word.
 
+A caller may ask for a model over fewer words: the others, the unseen one included, then
+form one class, p(word) = p(class) p(word | class), and pairs are pairs of classes.
+
 Tables: words by hash; pair counts by bucket of pairs.  Pairs of the ``HEAD`` most frequent
 words, the only ones that can hold a large share of all rows, are counted in every task
 and added up, a table of HEAD**2 numbers.  All other pairs go to their bucket, packed per
 batch of documents: a bucket adds up the counts of its pairs and sends each batch the
 counts of the pairs it asked for.  So every document's pairs meet the counts in one
 exchange there and one back, of a few bytes per pair.
+
+That holds for pairs of the ``VOCABULARY`` most frequent words, whose table is broadcast.
+Pairs with any other word are plain rows (:func:`loose`): they are dealt by that word, which
+no pair count can make frequent, and the same formulas give their part of a score.
 """
 
 from __future__ import annotations
@@ -31,18 +36,20 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgersieve.llm import words as W
 from ledgersieve.llm.store import parts, written
 
-#: Class ids fit in 17 bits: 0 is the class of other words, 1 the end, then words by rank.
-WORD_BITS, DOC_BITS = 17, 14
+#: Class ids fit in 19 bits: 0 stands for other words, 1 the end, then words by rank.
+WORD_BITS, DOC_BITS = 19, 12
 VOCABULARY = (1 << WORD_BITS) - 1
 HEAD = 512
 LOW = 5  # counts up to this are discounted
 OTHER, END = 0, 1
 END_HASH = np.int64(0x0E4D0E4D0E4D0E4D)
+#: Words without a class id are named by their hash with this sign, so no name is an id.
+RARE = np.int64(-1 << 63)
 U = np.uint64
 
 
@@ -99,10 +106,11 @@ class Lexicon(NamedTuple):
     d: np.ndarray       # discounts of single words
     new: float          # p(unseen word)
     scale: float        # 1, or less where nothing was discounted
+    fold: bool          # other words are one class of the model
 
 
-def lexicon(words: DataFrame, size: int = VOCABULARY) -> Lexicon:
-    """The vocabulary (at most ``size`` rows) and what single words' probabilities need."""
+def lexicon(words: DataFrame, size: int = VOCABULARY, fold: bool = False) -> Lexicon:
+    """The most frequent words (at most ``size`` rows) and what single words' probabilities need."""
     counts = [F.sum((F.col("c") == r).cast("long")).alias(f"n{r}") for r in range(1, LOW + 2)]
     row = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("t"), F.count(F.lit(1)).alias("v"), *counts).first()
     n = np.array([0, *(row[f"n{r}"] or 0 for r in range(1, LOW + 2))])
@@ -122,7 +130,7 @@ def lexicon(words: DataFrame, size: int = VOCABULARY) -> Lexicon:
     prob[OTHER] = 0
     prob[OTHER] = max(1 - prob.sum(), 0)
     order = np.argsort(h)
-    return Lexicon(h[order], (order + 1).astype(np.int64), count, prob, total, int(row["v"]), d, left, scale)
+    return Lexicon(h[order], (order + 1).astype(np.int64), count, prob, total, int(row["v"]), d, left, scale, fold)
 
 
 def _classes(words: W.Words, lex: Lexicon):
@@ -134,9 +142,13 @@ def _classes(words: W.Words, lex: Lexicon):
     texts = len(words.first) - 1
     tokens = np.insert(found, words.first[1:], END)
     owner = np.repeat(np.arange(texts), np.diff(words.first) + 1)
+    return _before(tokens, words), tokens, owner, ~known
+
+
+def _before(tokens: np.ndarray, words: W.Words) -> np.ndarray:
     before = np.r_[END, tokens[:-1]]
-    before[words.first[:-1] + np.arange(texts)] = END
-    return before, tokens, owner, ~known
+    before[words.first[:-1] + np.arange(len(words.first) - 1)] = END
+    return before
 
 
 # --- pairs -----------------------------------------------------------------------------
@@ -184,7 +196,8 @@ def _pairs(batch: pa.RecordBatch, lex: Lexicon):
         head = (v > OTHER) & (v <= HEAD) & (w > OTHER) & (w <= HEAD)
         doc = (owner + i).astype(np.uint64)
         heads.append((((v[head] - 1) * HEAD + w[head] - 1), doc[head]))
-        others.append(((v[~head].astype(np.uint64) << U(WORD_BITS)) | w[~head].astype(np.uint64), doc[~head]))
+        other = ~head if lex.fold else ~head & (v > OTHER) & (w > OTHER)
+        others.append(((v[other].astype(np.uint64) << U(WORD_BITS)) | w[other].astype(np.uint64), doc[other]))
     join = lambda xs: tuple(np.concatenate(c) for c in zip(*xs))
     return join(heads), join(others)
 
@@ -294,6 +307,79 @@ def counted(asked: DataFrame, lex, buckets: int) -> DataFrame:
     return written(dealt.mapInArrow(run, schema), "pairs", ("kind",))
 
 
+def loose(rows: DataFrame, lex) -> DataFrame:
+    """(v, w, p, k, n, t): pairs of each document with a word that the lexicon lacks.
+
+    ``n`` is how often the document holds the pair, ``t`` the same in training, ``p`` the
+    probability of ``w`` if the lexicon has it.  Where other words are one class, the pairs
+    have counts of their own and only the other word itself is told.
+    """
+    def run(batches):
+        m: Lexicon = lex.value
+        for batch in batches:
+            learn = batch.column(2).to_numpy(zero_copy_only=False)
+            keys = batch.column(0).to_numpy()
+            for i, _, words in W.each_slice(batch.column(1), W.GRAPHIC):
+                v, w, owner, new = _classes(words, m)
+                name = w.copy()
+                name[np.flatnonzero(new) + words.owner()[new]] = words.hash.view(np.int64)[new] | RARE
+                here = (w == OTHER) if m.fold else (w == OTHER) | (v == OTHER)
+                before = np.zeros(here.sum(), np.int64) if m.fold else _before(name, words)[here]
+                after, w, of = name[here], w[here], owner[here]
+                order = np.lexsort((after, before, of))
+                after, before, w, of = after[order], before[order], w[order], of[order]
+                first = np.ones(len(of), bool)
+                first[1:] = (after[1:] != after[:-1]) | (before[1:] != before[:-1]) | (of[1:] != of[:-1])
+                place = np.flatnonzero(first)
+                n = np.diff(np.r_[place, len(of)]).astype(np.int32)
+                of, w = of[place] + i, w[place]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(before[place]), pa.array(after[place]), pa.array(m.prob[w], mask=w == OTHER), pa.array(keys[of]),
+                     pa.array(n), pa.array(np.where(learn[of], n, 0).astype(np.int32))], names=["v", "w", "p", "k", "n", "t"])
+
+    return rows.select("k", "text", "learn").mapInArrow(run, "v long, w long, p double, k long, n int, t int")
+
+
+def loose_counts(pairs: DataFrame, lex: Lexicon) -> DataFrame:
+    """(v, p, k, n, c, cw, first): loose pairs with the counts of the pair and of its rare second word, written.
+
+    All pairs of a rare second word meet in one place, and so do those of a rare first word
+    with others; ``first`` marks one row a pair.
+    """
+    dealt = pairs.withColumn("key", F.when(F.col("w") < 0, F.col("w")).otherwise(F.col("v"))).repartition("key")
+    pair = Window.partitionBy("key", "v", "w").orderBy("k")
+    every = pair.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    found = dealt.select("key", "v", "w", "p", "k", "n", "t", (F.row_number().over(pair) == 1).alias("first"), F.sum("t").over(every).alias("c"))
+    found = found.withColumn("cw", F.sum(F.when(F.col("w") < 0, F.col("t"))).over(Window.partitionBy("key")))
+    c, many = F.col("cw"), max(lex.total, 1)
+    low = F.element_at(F.array(*(F.lit(float(x)) for x in lex.d)), F.least(c, F.lit(LOW)).cast("int") + 1)
+    single = F.when(c == 0, F.lit(lex.new)).when(c <= LOW, low * c * lex.scale / many).otherwise(c * lex.scale / many)
+    return written(found.select("v", F.coalesce("p", single).alias("p"), "k", "n", "c", F.when(F.col("w") < 0, c).alias("cw"), "first"), "loose")
+
+
+def _stats() -> list:
+    """What a context's weights need of the pairs that begin with it: n[1..LOW], all counts above, the words' probabilities."""
+    seen, c = F.col("first") & (F.col("c") > 0), F.col("c")
+    once = [F.sum((seen & (c == r)).cast("double")) for r in range(1, LOW + 1)]
+    return [*once, F.sum(F.when(seen & (c > LOW), c).otherwise(0).cast("double")), F.sum(F.when(seen, F.col("p")).otherwise(0.0))]
+
+
+STATS = [f"s{i}" for i in range(LOW + 2)]
+
+
+def weights(stats: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """log10 a(v) and log10 of the denominator of contexts, whose statistics are columns of ``stats``."""
+    r = np.arange(1, LOW + 1)[:, None]
+    whole = (r * stats[:LOW]).sum(0) + stats[LOW]
+    mass = (d[1:, None] * r * stats[:LOW]).sum(0) + stats[LOW]
+    rest = np.maximum(1 - stats[LOW + 1], 0)
+    # A context with no discounted pair counts one token more; one that no word is left for, none.
+    whole = np.where((whole - mass < 1e-9) & (whole > 0), whole + 1, whole)
+    whole = np.where(rest < 1e-12, mass, whole)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(whole > 0, np.log10((1 - mass / whole) / rest), 0.0), np.where(whole > 0, np.log10(whole), 0.0)
+
+
 class Model(NamedTuple):
     lex: Lexicon
     d: np.ndarray        # discounts of pairs
@@ -302,16 +388,26 @@ class Model(NamedTuple):
     head: np.ndarray     # log10 p(w | v) of head pairs
 
 
-def estimate(table: DataFrame, lex: Lexicon) -> Model:
-    """Discounts and backoff weights from the tables of counts; all of them bounded by the vocabulary."""
+def estimate(table: DataFrame, lex: Lexicon, others: DataFrame) -> Model:
+    """Discounts and backoff weights from the tables of counts; all of them bounded by the lexicon."""
     head = np.zeros(HEAD * HEAD, np.int64)
     got = table.where("kind = 'head'").groupBy("id").agg(F.sum(F.col("c")[0]).alias("c")).toArrow()
     head[got["id"].to_numpy()] = got["c"].to_numpy()
     sums = [F.coalesce(F.sum(F.col("c")[i]), F.lit(0.0)).alias(f"s{i}") for i in range(LOW + 2)]
     row = table.where("kind = 'times'").agg(*sums).first()
     times = np.array(row, float) + np.bincount(np.minimum(head, LOW + 2), minlength=LOW + 3)[: LOW + 2]
-    d = discounts(times)
     size = len(lex.prob)
+    more = None
+    if not lex.fold:
+        # Contexts of the lexicon with rare words after them; the counts of all loose pairs under no context.
+        stats = [c.alias(name) for c, name in zip(_stats(), STATS)]
+        next_one = F.count_if(F.col("first") & (F.col("c") == LOW + 1)).alias("next")
+        more = others.groupBy(F.when(F.col("v") >= 0, F.col("v")).alias("id")).agg(*stats, next_one).toArrow()
+        for r in range(1, LOW + 1):
+            times[r] += more[STATS[r - 1]].to_numpy().sum()
+        times[LOW + 1] += more["next"].to_numpy().sum()
+        more = more.filter(more["id"].is_valid())
+    d = discounts(times)
     stats = np.zeros((LOW + 2, size))
     got = table.where("kind = 'context'").groupBy("id").agg(*sums).toArrow()
     for i in range(LOW + 2):
@@ -322,16 +418,11 @@ def estimate(table: DataFrame, lex: Lexicon) -> Model:
         np.add.at(stats[r - 1], v, c == r)
     np.add.at(stats[LOW], v, np.where(c > LOW, c, 0))
     np.add.at(stats[LOW + 1], v, lex.prob[w])
-    r = np.arange(1, LOW + 1)[:, None]
-    whole = (r * stats[:LOW]).sum(0) + stats[LOW]
-    mass = (d[1:, None] * r * stats[:LOW]).sum(0) + stats[LOW]
-    rest = np.maximum(1 - stats[LOW + 1], 0)
-    # A context with no discounted pair counts one token more; one that no word is left for, none.
-    whole = np.where((whole - mass < 1e-9) & (whole > 0), whole + 1, whole)
-    whole = np.where(rest < 1e-12, mass, whole)
+    if more is not None:
+        for i, name in enumerate(STATS):
+            stats[i, more["id"].to_numpy()] += more[name].to_numpy()
+    back, whole = weights(stats, d)
     with np.errstate(divide="ignore", invalid="ignore"):
-        back = np.where(whole > 0, np.log10((1 - mass / whole) / rest), 0.0)
-        whole = np.where(whole > 0, np.log10(whole), 0.0)
         v, w = np.divmod(np.arange(HEAD * HEAD), HEAD)
         v, w = np.minimum(v + 1, size - 1), np.minimum(w + 1, size - 1)
         seen = np.log10(np.where(head <= LOW, d[np.minimum(head, LOW)], 1) * head) - whole[v]
@@ -342,8 +433,8 @@ def estimate(table: DataFrame, lex: Lexicon) -> Model:
 # --- scores ----------------------------------------------------------------------------
 
 def _facts(rows: DataFrame, model) -> DataFrame:
-    """Per document what needs no join: tokens, the head's part, sums over the vocabulary, and the other words."""
-    schema = "doc_id long, k long, learn boolean, n_tokens long, known long, base double, part double, rare_h array<long>, rare_n array<int>"
+    """Per document what needs no join: tokens, the head's part and sums over the words of the lexicon."""
+    schema = "doc_id long, k long, learn boolean, n_tokens long, known long, base double, part double"
 
     def run(batches):
         m: Model = model.value
@@ -352,25 +443,16 @@ def _facts(rows: DataFrame, model) -> DataFrame:
         base[OTHER] = 0
         for batch in batches:
             for i, j, words in W.each_slice(batch.column(2), W.GRAPHIC):
-                v, w, owner, new = _classes(words, lex)
+                v, w, owner, _ = _classes(words, lex)
                 texts = j - i
                 total = lambda x: np.bincount(owner, weights=x, minlength=texts)  # noqa: B023, E731
                 head = (v > OTHER) & (v <= HEAD) & (w > OTHER) & (w <= HEAD)
                 part = np.zeros(len(w))
                 part[head] = m.head[(v[head] - 1) * HEAD + w[head] - 1]
-                rare, of = words.hash.view(np.int64)[new], words.owner()[new]
-                order = np.lexsort((rare, of))
-                rare, of = rare[order], of[order]
-                first = np.ones(len(rare), bool)
-                first[1:] = (rare[1:] != rare[:-1]) | (of[1:] != of[:-1])
-                place = np.flatnonzero(first)
-                times = np.diff(np.r_[place, len(rare)]).astype(np.int32)
-                border = np.searchsorted(of[place], np.arange(texts + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(c).slice(i, texts) for c in (0, 1, 3)), pa.array(np.bincount(owner, minlength=texts)),
-                     pa.array(total((w != OTHER) & (lex.count[w] > 0)).astype(np.int64)), pa.array(total(base[w])), pa.array(total(part)),
-                     pa.ListArray.from_arrays(border, pa.array(rare[place])), pa.ListArray.from_arrays(border, pa.array(times))],
-                    names=["doc_id", "k", "learn", "n_tokens", "known", "base", "part", "rare_h", "rare_n"])
+                     pa.array(total((w != OTHER) & (lex.count[w] > 0)).astype(np.int64)), pa.array(total(base[w])), pa.array(total(part))],
+                    names=["doc_id", "k", "learn", "n_tokens", "known", "base", "part"])
 
     return written(rows.select("doc_id", "k", "text", "learn").mapInArrow(run, schema), "facts")
 
@@ -406,35 +488,64 @@ def _answered(table: DataFrame, model, buckets: int) -> DataFrame:
     return answers.repartition(buckets, "batch").sortWithinPartitions("batch").mapInArrow(run, "k long, pairs double")
 
 
-def lm_scores(docs: DataFrame, vocabulary: int = VOCABULARY) -> DataFrame:
+def _loose_values(counts: DataFrame, model, fold: bool) -> DataFrame:
+    """(k, n, cw, part): what each loose pair adds to its document's score."""
+    def run(batches):
+        m: Model = model.value
+        for batch in batches:
+            v, p, n, c = (batch.column(batch.schema.get_field_index(x)).to_numpy() for x in ("v", "p", "n", "c"))
+            if fold:
+                value = np.log10(p) - np.log10(max(m.lex.prob[OTHER], 1e-300))
+            else:
+                if "s0" in batch.schema.names:
+                    back, whole = weights(np.stack([batch.column(x).to_numpy() for x in STATS]), m.d)
+                else:
+                    back, whole = m.back[v], m.whole[v]
+                with np.errstate(divide="ignore"):
+                    seen = np.log10(np.where(c <= LOW, m.d[np.minimum(c, LOW)], 1) * c) - whole
+                    value = np.where(c > 0, seen, back + np.log10(p))
+            yield pa.RecordBatch.from_arrays([batch.column("k"), batch.column("n"), batch.column("cw"), pa.array(value * n)],
+                                             names=["k", "n", "cw", "part"])
+
+    kept, schema = ["v", "p", "k", "n", "c", "cw"], "k long, n int, cw long, part double"
+    values = counts.where("v >= 0").select(*kept).mapInArrow(run, schema)
+    if fold:
+        return values
+    context = Window.partitionBy("v")
+    stats = [c.over(context).alias(name) for c, name in zip(_stats(), STATS)]
+    return values.unionAll(counts.where("v < 0").select(*kept, *stats).mapInArrow(run, schema))
+
+
+def lm_scores(docs: DataFrame, vocabulary: int | None = None, held: int = VOCABULARY) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Learns from the rows whose crc32(doc_id) mod 7 is not 2.  A null text reads as an
     empty one, whose only token is the end; a null doc_id is not held out.  Repeated rows
     are learnt and scored each.  Other columns are left aside.
+
+    The model is over all words.  With ``vocabulary`` it is over that many of the most
+    frequent ones, and all others are one class.  ``held`` is the number of words whose
+    table is broadcast; no result depends on it.
     """
     spark = docs.sparkSession
     # A task takes its buckets one after the other, and holds the pairs of one.
-    buckets = min(parts(spark) * BUCKETS_A_TASK, 1 << 14)
+    buckets = min(parts(spark) * BUCKETS_A_TASK, 1 << 13)
+    fold = vocabulary is not None
     rows = source(docs).withColumn("k", F.xxhash64("doc_id", "text"))
     words = word_counts(rows)
-    lex = lexicon(words, vocabulary)
+    lex = lexicon(words, min(vocabulary if fold else held, VOCABULARY), fold)
     shared = spark.sparkContext.broadcast(lex)
     table = counted(requests(rows, shared, buckets), shared, buckets)
+    others = loose_counts(loose(rows, shared), lex)
     shared.destroy()
-    model = estimate(table, lex)
+    model = estimate(table, lex, others)
     shared_model = spark.sparkContext.broadcast(model)
     facts = _facts(rows, shared_model)
-    many = lex.total + lex.distinct + 1
-    c, n = F.coalesce("c", F.lit(0)), F.col("x.rare_n")
-    low = F.element_at(F.array(*(F.lit(float(x)) for x in lex.d)), F.least(c, F.lit(LOW)).cast("int") + 1)
-    single = F.when(c == 0, F.lit(lex.new)).when(c <= LOW, low * c * lex.scale / max(lex.total, 1)).otherwise(
-        c * lex.scale / max(lex.total, 1))
-    rare = (facts.select("k", F.explode(F.arrays_zip("rare_h", "rare_n")).alias("x")).withColumn("h", F.col("x.rare_h"))
-            .join(words, "h", "left").groupBy("k").agg(
-                F.sum(n * F.log10((c + 1) / F.lit(float(many)))).alias("rare_base"),
-                F.sum(F.when(c > 0, n).otherwise(0)).alias("rare_known"),
-                F.sum(n * F.log10(single / F.lit(float(max(lex.prob[OTHER], 1e-300))))).alias("rare_part")))
+    many = float(lex.total + lex.distinct + 1)
+    # No row of a document has a partner in its task, so the rows are sent as they are and summed there.
+    rare = _loose_values(others, shared_model, fold).repartition("k").groupBy("k").agg(
+        F.sum(F.when(F.col("cw").isNotNull(), F.col("n") * F.log10((F.col("cw") + 1) / F.lit(many)))).alias("rare_base"),
+        F.sum(F.when(F.col("cw") > 0, F.col("n"))).alias("rare_known"), F.sum("part").alias("rare_part"))
     copies = facts.groupBy("k").agg(F.count(F.lit(1)).alias("copies"))
     pairs = _answered(table, shared_model, min(parts(spark), 1 << 14)).groupBy("k").agg(F.max("pairs").alias("pairs"))
     rare = copies.join(rare, "k", "left").join(pairs, "k", "left")

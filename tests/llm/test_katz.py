@@ -86,6 +86,17 @@ def test_scores_equal_the_plain_model(docs_of, size):
         assert sum(model.pair(a, b) for b in model.p) == pytest.approx(1)
 
 
+def test_words_outside_the_broadcast_table_have_pair_counts_of_their_own(docs_of):
+    texts = corpus() + [(100 + n, f"twin{n % 4} other{n % 4} W1") for n in range(20)]
+    model = Plain(texts, katz.VOCABULARY)
+    for held in (4, 9, katz.VOCABULARY):
+        found = by_id(katz.lm_scores(docs_of(texts), held=held))
+        for i, t in texts:
+            assert found[i]["score"] == pytest.approx(model.score(t), rel=1e-9)
+            assert found[i]["n_known"] == sum(x in model.c for x in tokens(t))
+            assert found[i]["base_score"] == pytest.approx(sum(math.log10((model.c[x] + 1) / (model.n + model.v + 1)) for x in tokens(t)), rel=1e-9)
+
+
 def test_odd_rows(odd, none, docs_of):
     found = katz.lm_scores(odd).collect()
     assert len(found) == odd.count()
