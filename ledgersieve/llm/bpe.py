@@ -1,11 +1,11 @@
 """Byte-level BPE encoding through a table of distinct words, and decoding through pieces.
 
 Texts are split into words by the tokenizer's own splitting rule, vectorised over bytes.
-The table of distinct words is aggregated in Spark and every distinct word is encoded
-once.  Ids come back to their places in two ways: the most frequent words, a table of at
-most ``HEAD_WORDS`` rows, are broadcast; all other words of a text are joined with the
-word table by a shuffle.  Decoding joins each id with its piece, a table as long as the
-vocabulary.
+Documents are taken in blocks of about ``BLOCK_BYTES``.  A block sends each of its distinct
+words once to the word's bucket; a bucket holds a part of the table of distinct words, has
+every one of them encoded once, and sends each block the ids of the words it asked for, in
+their order.  The block's texts, packed, meet these ids by a shuffle.  Decoding looks each id
+up among the pieces, a table as long as the vocabulary.
 
 Words meet by a 64-bit hash; among n distinct words two are confused with probability
 n*n / 2**65, 3e-5 for 30 million.
@@ -16,16 +16,24 @@ from __future__ import annotations
 import functools
 import hashlib
 import json
+import pickle
+from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgersieve.llm import words as W
-from ledgersieve.llm.store import text_key, written
+from ledgersieve.llm.store import parts
 
-HEAD_WORDS = 1 << 20
+#: Distinct words that a task has encoded at a time.
+HEAD_WORDS = 1 << 16
+BLOCK_BYTES = 2 << 20
+SLICE_BYTES = 1 << 18
+BUCKETS_A_TASK = 4
 LETTER, NUMBER, OTHER, SPACE, SPECIAL = range(5)
 
 
@@ -161,98 +169,144 @@ def _vocabulary(path: str):
     return tuple(added.values()), flat(table), flat(decimals)
 
 
-def _words_of(batch_text: pa.Array, path: str):
+class Tables(NamedTuple):
+    classes: np.ndarray            # class of every code point
+    specials: tuple[bytes, ...]
+    piece: np.ndarray              # bytes of all pieces, and where each id's begin
+    piece_at: np.ndarray
+    decimal: np.ndarray            # the same for decimals with a comma
+    decimal_at: np.ndarray
+
+
+def tables(spark: SparkSession, path: str) -> Tables:
+    """What the tokenizer's file says, some MB, read by one task, so that only encoding needs the tokenizer in a worker."""
+    def run(batches):
+        for _ in batches:
+            specials, piece, decimal = _vocabulary(path)
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((_classes(path), specials, *piece, *decimal))], pa.binary())], names=["data"])
+
+    return Tables(*pickle.loads(spark.range(0, 1, 1, 1).mapInArrow(run, "data binary").first()["data"]))
+
+
+def _words_of(raw: np.ndarray, offsets: np.ndarray, t: Tables):
     """For each slice: first and end text, the bytes, word borders and hashes."""
-    classes, specials = _classes(path), _vocabulary(path)[0]
-    raw, offsets = W.text_bytes(batch_text)
-    for i, j in W.slices(offsets):
+    for i, j in W.slices(offsets, SLICE_BYTES):
         part, borders = raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
-        start, end, first = split(part, borders, classes, specials)
+        start, end, first = split(part, borders, t.classes, t.specials)
         yield i, j, part, start, end, first, W.word_hash(part, start, end) if len(part) else np.empty(0, np.uint64)
 
 
-def word_table(docs: DataFrame, path: str) -> DataFrame:
-    """(h, n, ids): every distinct word of all texts, how often it occurs, and its token ids; written."""
-    def count(batches):
-        for batch in batches:
-            seen, number, sizes, kept = [], [], [], []
-            for _, _, part, start, end, _, h in _words_of(batch.column(0), path):
-                unique, at, n = np.unique(h, return_index=True, return_counts=True)
-                size = end[at] - start[at]
-                seen.append(unique), number.append(n), sizes.append(size), kept.append(gather(part, start[at], size))
-            if not seen:
-                continue
-            h, n, size, flat = map(np.concatenate, (seen, number, sizes, kept))
-            unique, at, back = np.unique(h, return_index=True, return_inverse=True)
-            total = np.bincount(back, weights=n).astype(np.int64)
-            begin = (np.cumsum(size) - size)[at]
-            data = gather(flat, begin, size[at])
-            border = np.r_[0, np.cumsum(size[at])].astype(np.int32)
-            word = pa.Array.from_buffers(pa.binary(), len(unique), [None, pa.py_buffer(border), pa.py_buffer(data)])
-            yield pa.RecordBatch.from_arrays([word, pa.array(total)], names=["word", "n"])
-
-    def encode(batches):
-        tokenizer = _tokenizer(path)
-        for batch in batches:
-            data = batch.column(0).cast(pa.string())
-            raw, offsets = W.text_bytes(data)
-            h = W.word_hash(raw, offsets[:-1], offsets[1:])
-            texts = data.to_pylist()
-            ids = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
-            border = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-            flat = np.fromiter((i for x in ids for i in x), np.int32, border[-1])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h.view(np.int64)), batch.column(1), pa.ListArray.from_arrays(border, pa.array(flat))], names=["h", "n", "ids"])
+def _packed(size: np.ndarray, flat: np.ndarray) -> bytes:
+    """Lists of numbers, as their sizes and the numbers one after the other; by byte planes, compressed."""
+    planes = lambda x: np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
+    return zstandard.ZstdCompressor(level=3).compress(np.int64(len(size)).tobytes() + planes(size.astype(np.uint32)) + planes(flat))
 
-    words = docs.select(F.col("text").cast("string")).mapInArrow(count, "word binary, n long")
-    distinct = words.groupBy("word").agg(F.sum("n").alias("n"))
-    return written(distinct.select("word", "n").mapInArrow(encode, "h long, n long, ids array<int>"), "words")
 
+def _unpacked(data: bytes, kind) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    n, wide = int(raw[:8].view(np.int64)[0]), np.dtype(kind).itemsize
+    planes = lambda x, width, kind: np.ascontiguousarray(x.reshape(width, -1).T).view(kind).ravel()
+    return planes(raw[8 : 8 + 4 * n], 4, np.uint32).astype(np.int64), planes(raw[8 + 4 * n :], wide, kind)
 
-class Table:
-    """Words by hash: ascending hashes, and their ids one after the other."""
 
-    def __init__(self, table: pa.Table | pa.RecordBatch | None):
-        if table is None or table.num_rows == 0:
-            self.hash, self.start, self.size, self.ids = (np.empty(0, t) for t in (np.uint64, np.int64, np.int64, np.int32))
-            return
-        h = table.column("h").to_numpy().view(np.uint64)
-        lists = table.column("ids")
-        lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
-        lists = pa.concat_arrays(lists.chunks) if isinstance(lists, pa.ChunkedArray) else lists
-        size = np.diff(lists.offsets.to_numpy()).astype(np.int64)
-        order = np.argsort(h, kind="stable")
-        self.hash, self.size, self.start = h[order], size[order], (np.cumsum(size) - size)[order]
-        self.ids = lists.flatten().to_numpy().astype(np.int32)
+def _blocks(batches: Iterator[pa.RecordBatch]):
+    """(name, rows) of each block of documents.
 
-    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not len(self.hash):
-            return np.zeros(len(h), np.int64), np.zeros(len(h), bool)
-        at = np.minimum(np.searchsorted(self.hash, h), len(self.hash) - 1)
-        return at, self.hash[at] == h
+    The name holds the block's place and its texts: input that reads otherwise a second time
+    gives a name without ids, never another block's ids.
+    """
+    place = TaskContext.get().partitionId() << 32
+    for batch in batches:
+        raw, offsets = W.text_bytes(batch.column(1))
+        for i, j in W.slices(offsets, BLOCK_BYTES):
+            place += 1
+            name = hashlib.blake2b(place.to_bytes(8, "little"), digest_size=8)
+            name.update(offsets[i : j + 1] - offsets[i])
+            name.update(raw[offsets[i] : offsets[j]])
+            yield int.from_bytes(name.digest(), "little", signed=True), batch.slice(i, j - i)
+
+
+def _by_bucket(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of ascending hashes by bucket, and the borders of the buckets in it."""
+    bucket = (W.mix(h) % W.U(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
+
+
+def asked(rows: DataFrame, shared, buckets: int) -> DataFrame:
+    """(block, bucket, data): the distinct words of each block, by bucket and ascending hash."""
+    def run(batches):
+        for name, batch in _blocks(batches):
+            seen, sizes, kept = [], [], []
+            for _, _, part, start, end, _, h in _words_of(*W.text_bytes(batch.column(1)), shared.value):
+                unique, at = np.unique(h, return_index=True)
+                size = end[at] - start[at]
+                seen.append(unique), sizes.append(size), kept.append(gather(part, start[at], size))
+            h, size, flat = map(np.concatenate, (seen, sizes, kept))
+            begin = np.cumsum(size) - size
+            h, at = np.unique(h, return_index=True)
+            order, border = _by_bucket(h, buckets)
+            at = at[order]
+            there = np.flatnonzero(np.diff(border))
+            data = [_packed(size[x], gather(flat, begin[x], size[x])) for x in (at[border[b] : border[b + 1]] for b in there)]
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(data), pa.int64()), pa.array(there.astype(np.int32)), pa.array(data, pa.binary())],
+                                             names=["block", "bucket", "data"])
+
+    return rows.mapInArrow(run, "block long, bucket int, data binary")
+
+
+def answered(words: DataFrame, path: str, at_once: int) -> DataFrame:
+    """(block, bucket, data): the ids of the words that each block asked for, in the same order; every distinct word is encoded once."""
+    def encode(tokenizer, flat, start, size):
+        counts, found = [np.empty(0, np.int64)], [np.empty(0, np.int32)]
+        for low in range(0, len(start), max(at_once, 1)):
+            here = slice(low, low + max(at_once, 1))
+            ids = [tokenizer.encode(flat[a : a + n].tobytes().decode(), add_special_tokens=False).ids for a, n in zip(start[here], size[here])]
+            counts.append(np.fromiter(map(len, ids), np.int64, len(ids)))
+            found.append(np.fromiter((i for x in ids for i in x), np.int32, counts[-1].sum()))
+        return np.concatenate(counts), np.concatenate(found)
+
+    def answer(tokenizer, bucket, names, data):
+        sizes, flats = zip(*(_unpacked(x, np.uint8) for x in data))
+        ends = [np.cumsum(x) for x in sizes]
+        h = np.concatenate([W.word_hash(f, e - n, e) for f, e, n in zip(flats, ends, sizes)])
+        size, flat = np.concatenate(sizes), np.concatenate(flats)
+        _, at, back = np.unique(h, return_index=True, return_inverse=True)
+        n, ids = encode(tokenizer, flat, (np.cumsum(size) - size)[at], size[at])
+        first, border = np.cumsum(n) - n, np.cumsum([0, *map(len, sizes)])
+        lists = (back[a:b] for a, b in zip(border[:-1], border[1:]))
+        out = [_packed(n[x], gather(ids, first[x], n[x])) for x in lists]
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array([bucket] * len(out), pa.int32()), pa.array(out, pa.binary())],
+                                          names=["block", "bucket", "data"])
 
+    def run(batches):
+        tokenizer, last, names, data = _tokenizer(path), None, [], []
+        for batch in batches:
+            for name, bucket, words in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if bucket != last and names:
+                    yield answer(tokenizer, last, names, data)
+                    names, data = [], []
+                last = bucket
+                names.append(name), data.append(words)
+        if names:
+            yield answer(tokenizer, last, names, data)
 
-def head_table(words: DataFrame, size: int = HEAD_WORDS) -> Table:
-    """The ``size`` most frequent words; all of them fit in about 30 bytes each."""
-    return Table(words.orderBy(F.desc("n"), "h").limit(size).select("h", "ids").toArrow())
+    dealt = words.repartition(parts(words.sparkSession), "bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(run, "block long, bucket int, data binary")
 
 
-def _rest(docs: DataFrame, words: DataFrame, head, path: str) -> DataFrame:
-    """(k, rest): ids of the words of each text that the head lacks."""
+def _texts(rows: DataFrame) -> DataFrame:
+    """(block, bucket, data): the documents of each block, packed, before all its buckets."""
     def run(batches):
-        for batch in batches:
-            for i, j, _, _, _, first, h in _words_of(batch.column(1), path):
-                _, known = head.value.find(h)
-                place = np.flatnonzero(~known)
-                if not len(place):
-                    continue
-                owner = np.searchsorted(first, place, "right") - 1
-                pair = np.unique(np.rec.fromarrays([owner, h[place]], names="o,h"))
-                keys = batch.column(0).to_numpy()[i:j]
-                yield pa.RecordBatch.from_arrays([pa.array(keys[pair.o]), pa.array(pair.h.view(np.int64))], names=["k", "h"])
+        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))
+        for name, batch in _blocks(batches):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, batch.schema, options=options) as stream:
+                stream.write_batch(batch)
+            yield pa.RecordBatch.from_arrays([pa.array([name], pa.int64()), pa.array([-1], pa.int32()), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
+                                             names=["block", "bucket", "data"])
 
-    rare = docs.select("k", "text").mapInArrow(run, "k long, h long")
-    return rare.join(words.select("h", "ids"), "h").groupBy("k").agg(F.collect_list(F.struct("h", "ids")).alias("rest"))
+    return rows.mapInArrow(run, "block long, bucket int, data binary")
 
 
 def encode_decode(docs: DataFrame, path: str, digests: bool = True, head_words: int = HEAD_WORDS) -> DataFrame:
@@ -263,67 +317,71 @@ def encode_decode(docs: DataFrame, path: str, digests: bool = True, head_words:
 
     A null text reads as an empty one and has no ids; null doc_ids, repeated rows and
     very long texts are encoded like any other; other columns are left aside; an empty
-    table gives no rows.  ``path`` is the tokenizer's file on every executor.
+    table gives no rows.  ``path`` is the tokenizer's file on every executor.  A task has
+    ``head_words`` distinct words encoded at a time; no result depends on it.  ``docs`` is
+    read twice and must give the same rows in the same order, as a stored table does.
     """
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    source = source.withColumn("k", F.xxhash64("doc_id", text_key()))
-    words = word_table(source, path)
-    head = docs.sparkSession.sparkContext.broadcast(head_table(words, head_words))
-
-    def pack(batches):
-        squeeze = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
-            packed = [squeeze.compress(t.encode()) for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())],
-                                             names=["doc_id", "k", "packed"])
-
-    # Texts are shuffled once, packed; the words they lack come beside them.
-    packed = source.select("doc_id", "k", "text").mapInArrow(pack, "doc_id long, k long, packed binary")
-    both = packed.join(_rest(source, words, head, path), "k", "left").select("doc_id", "packed", "rest")
+    spark = docs.sparkSession
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    buckets = min(parts(spark) * BUCKETS_A_TASK, 1 << 14)
+    shared = spark.sparkContext.broadcast(tables(spark, path))
+    both = _texts(source).unionAll(answered(asked(source, shared, buckets), path, head_words))
+
+    def block(documents: pa.Table, answers: list[bytes]):
+        t: Tables = shared.value
+        raw, offsets = W.text_bytes(documents.column("text"))
+        cut = [(i, j, first, h) for i, j, _, _, _, first, h in _words_of(raw, offsets, t)]
+        unique, back = np.unique(np.concatenate([x[3] for x in cut]), return_inverse=True)
+        sizes, flats = zip(*(_unpacked(x, np.int32) for x in answers)) if answers else ([np.empty(0, np.int64)], [np.empty(0, np.int32)])
+        size, flat = np.concatenate(sizes), np.concatenate(flats)
+        if len(size) != len(unique):
+            raise ValueError("the documents read otherwise a second time: write them first")
+        order, _ = _by_bucket(unique, buckets)
+        count, begin = np.empty(len(unique), np.int64), np.empty(len(unique), np.int64)
+        count[order], begin[order] = size, np.cumsum(size) - size
+        low = 0
+        for i, j, first, h in cut:
+            at = back[low : low + len(h)]
+            low += len(h)
+            ids = gather(flat, begin[at], count[at])
+            border = np.r_[0, np.cumsum(count[at])][first]
+            piece_size = (t.piece_at[1:] - t.piece_at[:-1])[ids]
+            text = gather(t.piece, t.piece_at[ids], piece_size).tobytes()
+            text_at = np.r_[0, np.cumsum(piece_size)][border]
+            if digests:
+                digit_size = (t.decimal_at[1:] - t.decimal_at[:-1])[ids]
+                digits = gather(t.decimal, t.decimal_at[ids], digit_size).tobytes()
+                digit_at = np.r_[0, np.cumsum(digit_size)][border]
+            rows = []
+            for n in range(j - i):
+                decoded = text[text_at[n] : text_at[n + 1]].decode("utf-8", "replace")
+                if digests:
+                    line = digits[digit_at[n] : digit_at[n + 1]][:-1]
+                    rows.append((int(border[n + 1] - border[n]), hashlib.sha256(line).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()))
+                else:
+                    rows.append((ids[border[n] : border[n + 1]], decoded))
+            kinds = (pa.int64(), pa.string(), pa.string()) if digests else (pa.list_(pa.int32()), pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [documents.column("doc_id").slice(i, j - i).combine_chunks(), *(pa.array(c, k) for c, k in zip(zip(*rows), kinds))],
+                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["doc_id", "ids", "decoded"])
 
     def run(batches):
-        _, (piece, piece_at), (decimal, decimal_at) = _vocabulary(path)
-        unpack = zstandard.ZstdDecompressor()
-        for whole in batches:
-            for low in range(0, whole.num_rows, 512):
-                batch = whole.slice(low, 512)
-                texts = pa.array([unpack.decompress(p) for p in batch.column(1).to_pylist()], pa.binary()).cast(pa.string())
-                lists = batch.column(2)
-                items = lists.flatten()
-                tail = Table(pa.RecordBatch.from_arrays([items.field("h"), items.field("ids")], names=["h", "ids"])
-                             if len(items) else None)
-                rows = []
-                for i, j, _, _, _, first, h in _words_of(texts, path):
-                    at, known = head.value.find(h)
-                    there, found = tail.find(h[~known])
-                    if not found.all():
-                        raise ValueError("a word of a text is not in the word table")
-                    start, size = head.value.start[np.where(known, at, 0)] if len(head.value.hash) else np.zeros(len(h), np.int64), \
-                        head.value.size[np.where(known, at, 0)] if len(head.value.hash) else np.zeros(len(h), np.int64)
-                    start[~known], size[~known] = tail.start[there] + len(head.value.ids), tail.size[there]
-                    ids = gather(np.r_[head.value.ids, tail.ids] if len(tail.ids) else head.value.ids, start, size)
-                    border = np.r_[0, np.cumsum(size)][first]
-                    piece_size = (piece_at[1:] - piece_at[:-1])[ids]
-                    text = gather(piece, piece_at[ids], piece_size).tobytes()
-                    text_at = np.r_[0, np.cumsum(piece_size)][border]
-                    if digests:
-                        digit_size = (decimal_at[1:] - decimal_at[:-1])[ids]
-                        digits = gather(decimal, decimal_at[ids], digit_size).tobytes()
-                        digit_at = np.r_[0, np.cumsum(digit_size)][border]
-                    for t in range(j - i):
-                        back = text[text_at[t] : text_at[t + 1]].decode("utf-8", "replace")
-                        if digests:
-                            line = digits[digit_at[t] : digit_at[t + 1]][:-1]
-                            rows.append((int(border[t + 1] - border[t]), hashlib.sha256(line).hexdigest(),
-                                         hashlib.sha256(back.encode()).hexdigest()))
-                        else:
-                            rows.append((ids[border[t] : border[t + 1]], back))
-                columns = list(zip(*rows))
-                kinds = (pa.int64(), pa.string(), pa.string()) if digests else (pa.list_(pa.int32()), pa.string())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds))],
-                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["doc_id", "ids", "decoded"])
-
-    return both.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" if digests
-                           else "doc_id long, ids array<int>, decoded string")
+        last, documents, answers = None, None, []
+        for batch in batches:
+            for name, bucket, data in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if name != last:
+                    if documents is not None:
+                        yield from block(documents, answers)
+                    last, documents, answers = name, None, []
+                if bucket < 0:
+                    documents = pa.ipc.open_stream(data).read_all()
+                elif documents is None:
+                    raise ValueError("the documents read otherwise a second time: write them first")
+                else:
+                    answers.append(data)
+        if documents is not None:
+            yield from block(documents, answers)
+
+    dealt = both.repartition(parts(spark), "block").sortWithinPartitions("block", "bucket")
+    return dealt.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" if digests
+                            else "doc_id long, ids array<int>, decoded string")

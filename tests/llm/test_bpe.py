@@ -50,3 +50,13 @@ def test_long_words_of_one_pattern_are_told_apart(docs_of):
     texts = [(1, one), (2, other), (3, f"{one} {other}")]
     found = by_id(bpe.encode_decode(docs_of(texts), PATH, head_words=0))
     assert {i: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for i, r in found.items()} == {i: plain(t) for i, t in texts}
+
+
+def test_blocks_get_the_ids_of_their_words_without_a_join(docs_of):
+    draw = random.Random(2)
+    words = ["".join(draw.choices("abcdefghé ", k=draw.randint(1, 9))) for _ in range(3000)]
+    texts = [(n, " ".join(draw.choices(words, k=1500))) for n in range(600)]
+    coded = bpe.encode_decode(docs_of(texts).repartition(2, "doc_id"), PATH)
+    found = by_id(coded)
+    assert {i: (found[i]["n_tokens"], found[i]["ids_sha256"], found[i]["decoded_sha256"]) for i, _ in texts} == {i: plain(t) for i, t in texts}
+    assert "Join" not in coded._jdf.queryExecution().toString()
