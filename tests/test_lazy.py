@@ -38,6 +38,18 @@ def test_entries_are_the_transactions(spark):
     assert narrow.count() == same.count() and narrow.exceptAll(same).isEmpty()
 
 
+def test_totals_are_taken_from_rows_without_numbers(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    whole, plain = R.entries(spark, sf_dir), V.unnumbered(spark, sf_dir)
+    same = whole.select(*plain.columns)
+    assert set(whole.columns) - set(plain.columns) == {"txn_id", "txn_seq", "source_row"}
+    assert plain.count() == same.count() and plain.exceptAll(same).isEmpty()
+    for name in ("monthly_totals", "merged_layouts"):
+        plan = R.queries()[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+        assert "lineitem" in R.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan
+
+
 def test_a_description_is_prepared_once(spark):
     """The text a category is looked up in stands once in the plan, not once a category."""
     frame = spark.createDataFrame([("a",)], "description string")
