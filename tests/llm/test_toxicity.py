@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import corpus_pipeline
 import numpy as np
@@ -134,3 +135,30 @@ def test_shards_are_learnt_apart_wherever_they_meet(spark, docs_of, monkeypatch)
             expected[i] = expected.get(i, 0.0) + v / shards
     found = {r["place"]: r["weight"] for r in X.train(docs, labelled).collect()}
     assert set(found) == set(expected) and np.allclose([found[i] for i in expected], list(expected.values()), atol=1e-5)
+
+
+def peak_mb(run):
+    """What ``run`` gives, and the most memory it held."""
+    tracemalloc.start()
+    try:
+        return run(), tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_scoring_and_learning_hold_little():
+    """Scores need no number per coordinate, learning the two of its rule and no more copies of them."""
+    texts = X.pa.array([None, ""] + [f"some words {i} and {i * 7} more of them" for i in range(300)])
+    places = X.features(next(X.W.each_slice(texts))[2])[0]
+    some = np.unique(np.r_[X.BIAS, places[::3], X.BIAS + 5]).astype(np.int64)
+    weights = X.Weights(some, np.random.default_rng(2).normal(size=len(some)))
+    X.W.powers(X.W._BASE, 1), X.W.powers(X.W._BASE_INVERSE, 1)
+    found, held = peak_mb(lambda: X._scores(weights)(texts))
+    assert held < 20
+    of = dict(zip(some.tolist(), weights.value.astype(np.float32).tolist()))
+    for i, text in enumerate(texts.to_pylist()):
+        own = X.features(next(X.W.each_slice(X.pa.array([text], X.pa.string())))[2])[0]
+        total = of[X.BIAS] + sum(of.get(p, 0.0) for p in own.tolist())
+        assert abs(found[i] - 1 / (1 + np.exp(-total))) < 1e-6
+    rows = [(np.array([X.BIAS, 3], np.int32), 1)]
+    assert peak_mb(lambda: X.ftrl(rows, 1))[1] < 175
