@@ -1,14 +1,17 @@
 """Steps that a query does not read are not made, and conditions stay small enough to be compiled."""
 
+import datetime as dt
+import glob
 import re
 
 from pyspark.sql import functions as F
 
 from ledgersieve.functions import classify as K, text as X
 from ledgersieve.plans import registry as R
-from ledgersieve.plans.consolidate import consolidate
+from ledgersieve.plans.consolidate import consolidate, screened
 from ledgersieve.sources import fixtures as V, grid as G
 from ledgersieve.sources.intake import enriched
+from ledgersieve.sources.staging import is_staged, shared_folder
 
 GRID = "source_file string, source_sheet string, row_no bigint, cells array<string>"
 
@@ -50,6 +53,48 @@ def test_totals_are_taken_from_rows_without_numbers(spark):
         assert "Window" not in plan
 
 
+def tables(spark, folder):
+    """Line items, orders, suppliers and customers of a few weeks; some prices are whole thousands, those of a Saturday large."""
+    put = lambda name, rows, schema: spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")
+    day = lambda i: dt.datetime(1996, 3, 1) + dt.timedelta(days=i % 40)
+    price = lambda i: 400000.0 + i if i % 40 == 1 else 20000.0 + 700 * i if i % 4 else 3000.0
+    put("lineitem", [(i // 3, i % 3 + 1, i % 50, i % 7, price(i), day(i)) for i in range(200)],
+        "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_extendedprice double, l_shipdate timestamp")
+    put("supplier", [(i, f"Supplier#{i:05d}") for i in range(7)], "s_suppkey bigint, s_name string")
+    put("orders", [(i, i % 5, day(i), 500.0 * i) for i in range(70)], "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp, o_totalprice double")
+    put("customer", [(i, f"Customer#{i:05d}") for i in range(5)], "c_custkey bigint, c_name string")
+    return str(folder)
+
+
+def test_rules_on_few_rows_write_no_described_transactions(spark, tmp_path):
+    sf_dir = tables(spark, tmp_path)
+    names = ("round_amounts", "weekend_few", "weekend_single", "weekend_collapsed")
+    found = {name: sorted(map(str, R.queries()[name](spark, sf_dir).collect())) for name in names}
+    assert found["round_amounts"] and found["weekend_collapsed"]
+    assert not is_staged(spark, V.transactions_name(sf_dir, "actual"))
+    lazy = V.described(spark, sf_dir)
+    whole = V.transactions(spark, sf_dir)
+    assert lazy.columns == whole.columns and whole.count() == 270 and lazy.exceptAll(whole).isEmpty() and whole.exceptAll(lazy).isEmpty()
+    # With the written transactions at hand the rules read those, and say the same.
+    assert {name: sorted(map(str, R.queries()[name](spark, sf_dir).collect())) for name in names} == found
+
+
+def test_a_rule_prepares_what_it_needs(spark, tmp_path):
+    sf_dir = tables(spark, tmp_path)
+    R.queries()["new_counterparties"](spark, sf_dir).collect()
+    built = {name for app, name in R._runs if app == spark.sparkContext.applicationId and name.startswith(f"actual-{R._slug(sf_dir)}")}
+    assert {name.rsplit("-", 1)[1] for name in built} == {"firsts"}
+
+
+def test_findings_are_written_once_in_their_order(spark, tmp_path):
+    rows = V.transactions(spark, tables(spark, tmp_path))
+    found, _ = screened(spark, rows, "once-only")
+    numbers = [r.alert_seq for r in found.orderBy("alert_seq").collect()]
+    assert numbers and numbers == list(range(1, len(numbers) + 1))
+    folder = shared_folder(spark).removeprefix("file://")
+    assert glob.glob(f"{folder}/ledgersieve/*/once-only-drafts*") and not glob.glob(f"{folder}/ledgersieve/*/once-only-findings*")
+
+
 def test_a_description_is_prepared_once(spark):
     """The text a category is looked up in stands once in the plan, not once a category."""
     frame = spark.createDataFrame([("a",)], "description string")
