@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgersieve.llm import words as W
-from ledgersieve.llm.store import parts
+from ledgersieve.llm.store import lean, parts
 
 #: Distinct words that a task has encoded at a time.
 HEAD_WORDS = 1 << 16
@@ -185,7 +185,7 @@ def tables(spark: SparkSession, path: str) -> Tables:
             specials, piece, decimal = _vocabulary(path)
             yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((_classes(path), specials, *piece, *decimal))], pa.binary())], names=["data"])
 
-    return Tables(*pickle.loads(spark.range(0, 1, 1, 1).mapInArrow(run, "data binary").first()["data"]))
+    return Tables(*pickle.loads(spark.range(0, 1, 1, 1).mapInArrow(lean(run), "data binary").first()["data"]))
 
 
 def _words_of(raw: np.ndarray, offsets: np.ndarray, t: Tables):
@@ -252,7 +252,7 @@ def asked(rows: DataFrame, shared, buckets: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(data), pa.int64()), pa.array(there.astype(np.int32)), pa.array(data, pa.binary())],
                                              names=["block", "bucket", "data"])
 
-    return rows.mapInArrow(run, "block long, bucket int, data binary")
+    return rows.mapInArrow(lean(run), "block long, bucket int, data binary")
 
 
 def answered(words: DataFrame, path: str, at_once: int) -> DataFrame:
@@ -292,7 +292,7 @@ def answered(words: DataFrame, path: str, at_once: int) -> DataFrame:
             yield answer(tokenizer, last, names, data)
 
     dealt = words.repartition(parts(words.sparkSession), "bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(run, "block long, bucket int, data binary")
+    return dealt.mapInArrow(lean(run), "block long, bucket int, data binary")
 
 
 def _texts(rows: DataFrame) -> DataFrame:
@@ -306,7 +306,7 @@ def _texts(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([name], pa.int64()), pa.array([-1], pa.int32()), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
                                              names=["block", "bucket", "data"])
 
-    return rows.mapInArrow(run, "block long, bucket int, data binary")
+    return rows.mapInArrow(lean(run), "block long, bucket int, data binary")
 
 
 def encode_decode(docs: DataFrame, path: str, digests: bool = True, head_words: int = HEAD_WORDS) -> DataFrame:
@@ -383,5 +383,5 @@ def encode_decode(docs: DataFrame, path: str, digests: bool = True, head_words:
             yield from block(documents, answers)
 
     dealt = both.repartition(parts(spark), "block").sortWithinPartitions("block", "bucket")
-    return dealt.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" if digests
+    return dealt.mapInArrow(lean(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" if digests
                             else "doc_id long, ids array<int>, decoded string")

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgersieve.llm import words as W
 from ledgersieve.llm.components import components
-from ledgersieve.llm.store import text_key, without, written
+from ledgersieve.llm.store import lean, text_key, without, written
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: A pair at plain similarity 0.8 is missed by all bands with probability (1 - 0.8**4)**20 = 3e-5 at most.
@@ -135,7 +135,7 @@ def sketches(docs: DataFrame, k: int = SHINGLE, bands: int = BANDS, rows: int =
                     names=["doc_id", "key", "node", "n_shingles", "bands"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), text_key()).mapInArrow(
-        run, "doc_id long, key long, node binary, n_shingles long, bands array<long>")
+        lean(run), "doc_id long, key long, node binary, n_shingles long, bands array<long>")
 
 
 def _shingles(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
@@ -167,7 +167,7 @@ def _shingles(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
                     names=["doc_id", "node", "shingles"])
 
     found = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, node binary, shingles array<long>").where("node is not null")
+        lean(run), "doc_id long, node binary, shingles array<long>").where("node is not null")
     wanted = nodes.select("node", F.coalesce("doc_id", F.lit(0)).alias("w_id"))
     one = found.join(wanted, (found.node == wanted.node) & (F.coalesce(found.doc_id, F.lit(0)) == wanted.w_id), "left_semi")
     one = one.dropDuplicates(["node"])

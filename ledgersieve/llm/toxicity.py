@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ledgersieve.llm import words as W
-from ledgersieve.llm.store import written
+from ledgersieve.llm.store import lean, written
 
 #: Coordinates of the hashed feature space; with 2**24, a text of 1,000 words meets a given
 #: coordinate by chance with probability 2e-4.
@@ -151,7 +151,7 @@ def train(docs: DataFrame, labelled: DataFrame, max_rows: int = MAX_ROWS, epochs
 
     shard = F.pmod(F.xxhash64("h", F.lit(1)), F.lit(shards)).cast("int")
     dealt = rows.withColumn("shard", shard).repartition(shards, "shard").sortWithinPartitions("shard", "h", "text")
-    learnt = dealt.select("text", "label", "shard").mapInArrow(run, "place long, weight double")
+    learnt = dealt.select("text", "label", "shard").mapInArrow(lean(run), "place long, weight double")
     return learnt.groupBy("place").agg((F.sum("weight") / shards).alias("weight"))
 
 
@@ -203,7 +203,7 @@ def score(docs: DataFrame, weights: Weights) -> DataFrame:
                                              names=["doc_id", "score"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, score double")
+        lean(run), "doc_id long, score double")
 
 
 def kept(docs: DataFrame, weights: Weights) -> DataFrame:
@@ -218,7 +218,7 @@ def kept(docs: DataFrame, weights: Weights) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(scores(batch.column(place)) < 0.5))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def fold() -> "F.Column":
