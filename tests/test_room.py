@@ -6,9 +6,10 @@ import time
 
 from pyspark.sql import functions as F
 
+from ledgersieve.functions import text as X
 from ledgersieve.operators import findings as R, quality as Q, screening as S
 from ledgersieve.plans.consolidate import consolidate
-from ledgersieve.sources import grid as G
+from ledgersieve.sources import fixtures as V, grid as G
 from ledgersieve.sources.sinks import Run
 from ledgersieve.sources.staging import CLEANUP, settled, shared_folder, short, stage
 
@@ -105,3 +106,29 @@ def test_reconciliation_writes_no_transactions(spark):
     lazy, whole = run.described, run.transactions
     assert lazy.dtypes == whole.dtypes and lazy.exceptAll(whole).isEmpty() and whole.exceptAll(lazy).isEmpty()
     assert run.described.inputFiles() == whole.inputFiles()
+
+
+def test_a_date_is_prepared_once(spark):
+    """The bare day stands once in the plan, not once a format."""
+    frame = spark.createDataFrame([("a",)], "t string")
+    plan = frame.select(X.parse_date(F.col("t")).alias("d"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("trim(") == 1
+
+
+def test_line_items_are_not_shuffled_to_meet_suppliers(spark, tmp_path):
+    put = lambda name, rows, schema: spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    day = dt.datetime(1996, 3, 1)
+    put("lineitem", [(1, 1, 7, 2, 150.0, day), (1, 2, 7, 9, 10.0, day), (2, 1, 7, None, 10.0, day)],
+        "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_extendedprice double, l_shipdate timestamp")
+    put("supplier", [(2, "Supplier#2"), (2, "Supplier#2b"), (None, "Supplier#x")], "s_suppkey bigint, s_name string")
+    put("orders", [], "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp, o_totalprice double")
+    put("customer", [], "c_custkey bigint, c_name string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = V.movements(spark, str(tmp_path))
+        payments = rows._jdf.queryExecution().optimizedPlan().children().apply(0).toString()
+        assert "rightHint=(strategy=broadcast)" in payments
+        assert sorted(r.description for r in rows.collect()) == ["WIRE OUT - Wholesale Trader 2, Inc INV 1", "WIRE OUT - Wholesale Trader 2b, Inc INV 1"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
